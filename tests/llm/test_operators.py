@@ -1,0 +1,334 @@
+"""The operators against brute force, libraries and held-out labels, on the small tables and on odd rows."""
+
+import hashlib
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import public_tokenizers
+import pytest
+import tiktoken
+import xxhash
+from pyspark.sql import functions as F
+
+from keelstone.llm import bpe, chat, decontam, langid, quality, queries, sharding, simhash, suffix_dedup, topk, toxicity
+
+DIR, SMALL = "/root/testdata/sf0.01", "/root/testdata/sf0.001"
+ODD = [(90001, None), (90002, ""), (90003, "a" * 450), (90004, "ab" * 9000), (90005, "short"), (90005, "short"), (90006, "éa" * 110 + "b"), (None, "no id"), (90007, "  \n\t "), (90008, "x'" * 300 + " " * 700 + "é1 2"), (90009, "!?!?")]
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    """Small documents, odd rows, and a column whose name clashes with the operators' own."""
+    own = spark.read.parquet(f"{SMALL}/documents.parquet")
+    odd = spark.createDataFrame([(i, t, "en", "src0", len(t or "")) for i, t in ODD], own.schema)
+    return own.unionByName(odd).withColumn("d1", F.lit("clash")).withColumn("h", F.lit(1)).withColumn("score", F.lit(None).cast("int"))
+
+
+@pytest.fixture(scope="module")
+def rows(docs):
+    return [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()]
+
+
+def empty(docs):
+    return docs.limit(0)
+
+
+def repeats_by_force(texts, width):
+    raws = [(t or "").encode() for t in texts]
+    seen = Counter(b[i : i + width] for b in raws for i in range(len(b) - width + 1))
+    out = []
+    for b in raws:
+        mask = bytearray(len(b))
+        for i in range(len(b) - width + 1):
+            if seen[b[i : i + width]] > 1:
+                mask[i : i + width] = b"\1" * width
+        kept = bytes(x for x, m in zip(b, mask) if not m)
+        out.append((len(b), sum(mask), sum(m and (i == 0 or not mask[i - 1]) for i, m in enumerate(mask)), hashlib.sha256(kept).hexdigest()))
+    return out
+
+
+def test_suffix_dedup(docs, rows):
+    found = Counter(tuple(r) for r in suffix_dedup.remove_repeats(docs).collect())
+    assert found == Counter((i, *e) for (i, _), e in zip(rows, repeats_by_force([t for _, t in rows], 200)))
+    assert suffix_dedup.remove_repeats(empty(docs)).count() == 0
+
+
+def test_suffix_dedup_of_large_groups(monkeypatch):
+    """Groups beyond memory are matched over a spool file, with the same result."""
+    rng = np.random.default_rng(1)
+    common = rng.integers(97, 123, 300, dtype=np.uint8).tobytes()
+    segments = [rng.integers(97, 123, 150, dtype=np.uint8).tobytes() + common[: 230 + k] + rng.integers(97, 123, 100, dtype=np.uint8).tobytes() for k in range(40)]
+    import pyarrow as pa
+
+    batch = pa.RecordBatch.from_arrays([pa.array([7] * 40), pa.array(range(40)), pa.array([int(suffix_dedup._pack(0, np.int64(0), np.int64(len(s) - 199))) for s in segments]), pa.array(segments)], ["h", "d1", "p", "s"])
+
+    def covered(at_once):
+        out = defaultdict(set)
+        for b in suffix_dedup._match(200, at_once)([batch]):
+            for d, p in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                out[d] |= set(range((p >> 16) & 0xFFFFFFFF, ((p >> 16) & 0xFFFFFFFF) + (p & 0x7FFF)))
+        return out
+
+    seen = Counter(s[i : i + 200] for s in segments for i in range(len(s) - 199))
+    expected = {k: {i for i in range(len(s) - 199) if seen[s[i : i + 200]] > 1} for k, s in enumerate(segments)}
+    assert covered(1 << 20) == expected == covered(2000)
+
+
+def test_colliding_hashes_are_verified(monkeypatch):
+    data = np.frombuffer(b"abcdefgh" * 3 + b"ijklmnop" * 3, np.uint8)
+    monkeypatch.setattr(suffix_dedup.PrefixHashes, "of", lambda self, at, length: np.zeros(len(at), np.uint64))
+    starts = np.arange(0, 41)
+    found = suffix_dedup.repeated_windows(data, starts, 8)
+    text = data.tobytes()
+    seen = Counter(text[i : i + 8] for i in starts)
+    assert found.tolist() == [seen[text[i : i + 8]] > 1 for i in starts]
+
+
+def crc(i):
+    return zlib.crc32(b"" if i is None else str(i).encode())
+
+
+def test_language(spark, docs):
+    got = queries.op3_language_id(spark, DIR).toPandas()
+    lang = dict(spark.read.parquet(f"{DIR}/documents.parquet").select("doc_id", "lang").collect())
+    assert all(h == (crc(i) % 4 == 2) for i, h in zip(got.doc_id, got.held_out))
+    held = got[got.held_out]
+    assert (held.lang_pred == held.doc_id.map(lang)).mean() > 0.95
+    assert got.score.between(0, 1).all() and got.rejected.mean() < 0.01
+    model = langid.fit(docs)
+    odd = {(r.doc_id, r.lang_pred, r.rejected) for r in langid.identify(docs, model).where("doc_id > 90000").collect()}
+    assert {(90001, "und", True), (90002, "und", True), (90009, "und", True), (90007, "und", True)} <= odd
+    nobody = langid.fit(empty(docs))
+    assert {r.lang_pred for r in langid.identify(docs, nobody).collect()} == {"und"}
+    assert langid.identify(empty(docs), model).count() == 0
+
+
+def test_toxicity(spark, docs):
+    got = queries.op2_toxicity(spark, DIR).toPandas().set_index("doc_id")
+    labels = spark.read.parquet(f"{DIR}/labels.parquet").toPandas().set_index("doc_id").toxic
+    held = got[got.held_out].join(labels, how="inner")
+    assert all(h == (crc(i) % 3 == 1) for i, h in zip(got.index, got.held_out))
+    assert (held.predicted == held.toxic).mean() > 0.9
+    assert got[got.predicted == 1].spans.map(len).min() > 0
+    none = toxicity.fit(docs, spark.createDataFrame([], "doc_id long, toxic int"))
+    assert {r.predicted for r in toxicity.score(docs, none).collect()} == {0}
+    assert toxicity.score(empty(docs), none).count() == 0
+
+
+def test_marginals_are_exact():
+    field = toxicity.Field({}, 0.0, 0.3, -0.7, 1.1)
+    e = [0.5, -1.0, 2.0, 0.1]
+    total, toxic = 0.0, [0.0] * 4
+    for path in np.ndindex(2, 2, 2, 2):
+        z = sum(x for x, s in zip(e, path) if s) + sum({(0, 1): 0.3, (1, 0): -0.7, (1, 1): 1.1, (0, 0): 0.0}[p] for p in zip(path, path[1:]))
+        total += np.exp(z)
+        for k, s in enumerate(path):
+            toxic[k] += s * np.exp(z)
+    assert np.allclose(field.marginals(e), np.array(toxic) / total)
+
+
+def test_sharding(spark, docs, rows):
+    got = sharding.shard(docs, shards=7).toPandas()
+    assert len(got) == len(rows)
+    assert sorted(zip(got["size"], got.text_crc32)) == sorted((len((t or "").encode()) + 16, zlib.crc32((t or "").encode())) for _, t in rows)
+    assert set(got.shard) <= set(range(7)) and set(got.law) == {"bytes"}
+    for _, part in got.groupby("shard"):
+        assert sorted(part.slot) == list(range(len(part)))
+    sizes = got.groupby("shard")["size"].sum()
+    assert sizes.max() - sizes.min() <= 2 * got["size"].max()
+    assert sharding.shard(empty(docs)).count() == 0
+    calm = got[~got.text_crc32.isin(got.groupby("text_crc32")["size"].sum()[lambda s: s > got["size"].sum() / 28].index)]
+    assert (calm.groupby("text_crc32").shard.nunique() == 1).all()  # equal texts stay together
+
+
+def test_sharding_of_many_copies(spark):
+    docs = spark.range(4000).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 3 == 0, F.lit("same text")).otherwise(F.concat(F.lit("text "), F.col("id"))).alias("text"), F.lit("en").alias("lang"), F.lit("s").alias("source"))
+    sizes = sharding.shard(docs, shards=10).groupBy("shard").agg(F.sum("size").alias("n")).toPandas().n
+    assert len(sizes) == 10 and sizes.max() < 1.1 * sizes.mean()
+
+
+def best_by_force(vectors, ask, k):
+    q = {i: np.floor(256 * np.array(v, np.float64)).astype(int) for i, v in vectors if v is not None and all(x is not None and np.isfinite(x) for x in v)}
+    out = []
+    for i in filter(ask, q):
+        score = lambda j: int(sum(a * b for a, b in zip(q[i], q[j])))  # noqa: B023, E731
+        best = sorted((-score(j), j) for j in q if j != i)[:k]
+        out += [(i, r + 1, j, -s) for r, (s, j) in enumerate(best)]
+    return Counter(out)
+
+
+def test_topk(spark):
+    rng = np.random.default_rng(3)
+    vectors = [(i, rng.normal(size=6).tolist()) for i in range(400)] + [(i, [0.5] * 6) for i in range(400, 600)]
+    vectors += [(900, None), (901, [1.0, None, 1.0, 1.0, 1.0, 1.0]), (902, [float("nan")] * 6), (903, [float("inf")] * 6), (950, [0.1, 0.2])]
+    df = spark.createDataFrame(vectors, "vec_id long, embedding array<double>").withColumn("part", F.lit("clash"))
+    got = topk.top_k(df, F.col("vec_id") % 50 == 0, pivots=8, annulus=40)
+    assert Counter(tuple(r) for r in got.collect()) == best_by_force(vectors, lambda i: i % 50 == 0, 5)
+    few = topk.top_k(df.where("vec_id < 3"), F.col("vec_id") == 0)
+    assert few.count() == 2
+    assert topk.top_k(df.limit(0), F.lit(True)).count() == 0
+
+
+def windows_by_force(texts, items, n=10):
+    import re
+
+    words = lambda t: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))
+    grams = defaultdict(set)
+    for i, t in items:
+        w = words(t)
+        for k in range(max(1, len(w) - n + 1) if w else 0):
+            grams[tuple(w[k : k + n])].add(str(i))
+    out = []
+    for i, t in texts:
+        w, hit, found = words(t), set(), set()
+        for length in {len(g) for g in grams}:
+            for k in range(len(w) - length + 1):
+                if (g := tuple(w[k : k + length])) in grams:
+                    hit |= set(range(k, k + length))
+                    found |= grams[g]
+        out.append((i, len(w), len(hit), len(found), hashlib.sha256(",".join(sorted(found)).encode()).hexdigest(), bool(hit)))
+    return Counter(out)
+
+
+@pytest.mark.parametrize("parts", [False, True])
+def test_decontamination(spark, docs, rows, parts, monkeypatch):
+    if parts:
+        monkeypatch.setattr(decontam, "BROADCAST_BYTES", 4000)
+    own = [(r.item_id, r.text) for r in spark.read.parquet(f"{SMALL}/benchmark.parquet").collect()]
+    own += [(777, "Short"), (778, ""), (779, None)]
+    items = spark.createDataFrame(own, "item_id long, text string")
+    got = Counter(tuple(r) for r in decontam.contamination(docs, items).collect())
+    assert got == windows_by_force(rows, own)
+    assert not decontam.contamination(docs, items.limit(0)).where("contaminated").count()
+    assert decontam.contamination(empty(docs), items).count() == 0
+
+
+def test_decontaminated_texts_hold_no_window(spark, docs):
+    items = spark.read.parquet(f"{SMALL}/benchmark.parquet")
+    was, now = docs.select("doc_id", "text"), decontam.decontaminate(docs, items)
+    assert now.columns == docs.columns and now.count() == was.count()
+    assert not decontam.contamination(now, items).where("contaminated").count()
+    clean = decontam.contamination(docs, items).where("not contaminated").select("doc_id")
+    assert not was.join(clean, "doc_id", "left_semi").exceptAll(now.select("doc_id", "text")).where("doc_id is not null").count()
+
+
+@pytest.mark.parametrize(("chunk", "overlap"), [(32_768, 2_048), (300, 60)])
+def test_bpe(docs, rows, chunk, overlap):
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    enc = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=bpe.read_ranks(path), special_tokens={})
+    expected = Counter()
+    for i, t in rows:
+        ids = enc.encode_ordinary(t or "")
+        expected[i, len(ids), hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest(), hashlib.sha256((t or "").encode()).hexdigest()] += 1
+    got = bpe.encode_documents(docs, path, public_tokenizers.PATTERN, chunk=chunk, overlap=overlap, with_ids=True).collect()
+    assert Counter(tuple(r)[:4] for r in got) == expected
+    assert all(len(r.ids) == r.n_tokens for r in got)
+    assert bpe.encode_documents(empty(docs), path, public_tokenizers.PATTERN).count() == 0
+
+
+def fingerprint_by_force(text):
+    import re
+
+    words = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+    if not words:
+        return 0
+    h = [xxhash.xxh64_intdigest(" ".join(words[k : k + 3]).encode(), 42) for k in range(max(1, len(words) - 2))]
+    return sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h))
+
+
+def classes_by_force(fps):
+    """Smallest index reachable over fingerprints within two bits."""
+    root = list(range(len(fps)))
+
+    def find(a):
+        while root[a] != a:
+            a = root[a]
+        return a
+
+    for a in range(len(fps)):
+        for b in range(a):
+            if (fps[a] ^ fps[b]).bit_count() <= 2:
+                x, y = sorted((find(a), find(b)))
+                root[y] = x
+    return [find(a) for a in range(len(fps))]
+
+
+def test_simhash(docs, rows):
+    got = simhash.near_duplicates(docs).collect()
+    fps = [fingerprint_by_force(t) for _, t in rows]
+    classes = classes_by_force(fps)
+    least = defaultdict(lambda: None)
+    for c, (i, _) in zip(classes, rows):
+        least[c] = i if least[c] is None else least[c] if i is None else min(i, least[c])
+    assert Counter((r.doc_id, r.fp % 2**64, r.component_id) for r in got) == Counter((i, f, least[c]) for (i, _), f, c in zip(rows, fps, classes))
+    assert simhash.near_duplicates(empty(docs)).count() == 0
+
+
+def test_links_of_crowded_points(spark, monkeypatch):
+    """Many fingerprints within a few bits, with small and with crowded grid points."""
+    rng = np.random.default_rng(5)
+    base = [int(x) for x in rng.integers(0, 2**63, 3)]
+    fps = sorted({(b ^ (1 << int(i)) ^ (1 << int(j))) & (2**63 - 1) for b in base for i, j in rng.integers(0, 30, (300, 2))})
+    df = spark.createDataFrame([(f,) for f in fps], "fp long")
+    for crowded in (64, 2, 10_000):
+        monkeypatch.setattr(simhash, "CROWDED", crowded)
+        roots = dict(simhash.components(simhash.links(df), "fp").collect())
+        got = [roots.get(f, f) for f in fps]
+        assert got == [fps[c] for c in classes_by_force(fps)]
+
+
+def test_quality(spark, docs):
+    got = queries.op9_quality(spark, DIR).toPandas().set_index("doc_id")
+    labels = spark.read.parquet(f"{DIR}/labels.parquet").toPandas().set_index("doc_id").quality
+    both = got.join(labels, how="inner")
+    assert (both.predicted == both.quality).mean() > 0.9
+    assert got.score.between(0, 1).all()
+    assert quality.score_quality(docs).count() == docs.count()
+    assert quality.score_quality(empty(docs)).count() == 0
+
+
+def test_expectation_maximisation_finds_the_reliable_labellers():
+    rng, m = np.random.default_rng(2), len(quality.LABELLERS)
+    truth = rng.random(20_000) < 0.8
+    right = np.array([0.95] * (m - 1) + [0.55])
+    v = np.where(rng.random((20_000, m)) < right, truth[:, None], ~truth[:, None]).astype(int)
+    v = np.where(rng.random((20_000, m)) < 0.2, quality.NONE, v)
+    counts = Counter((v @ 3 ** np.arange(m)).tolist())
+    rate, share, _ = quality.accuracies(counts)
+    assert abs(share - 0.8) < 0.05 and rate[1][0] - rate[0][0] > 0.7 and rate[1][-1] - rate[0][-1] < 0.25
+
+
+def cost_by_force(roles):
+    """Cheapest repair by trying every sequence of moves."""
+    best = {chat.START: 0}
+    for r in roles:
+        new = {}
+        for a, b, c, _, _ in chat.MOVES[r]:
+            if a in best:
+                new[b] = min(new.get(b, 1 << 60), best[a] + c)
+        best = new
+    return min(best.values())
+
+
+def test_chat(spark):
+    talks = {1: ["user", "assistant"], 2: ["assistant", "user"], 3: ["user", "user", "system", "assistant"], 4: ["system"], 5: [None, "bot", "USER "], 6: ["user", "assistant"] * 40, 7: ["assistant"] * 90, None: ["user"]}
+    data = [(c, k, r, f"t{k}" if k % 5 else None) for c, roles in talks.items() for k, r in enumerate(roles)] + [(1, None, "system", "first"), (8, 0, "user", "x"), (8, 0, "user", "x")]
+    df = spark.createDataFrame(data, "conv_id long, turn long, role string, text string").withColumn("c", F.lit(0))
+    whole = {}
+    for rows_per_part in (50_000, 16):
+        parts = defaultdict(list)
+        for r in chat.format_chats(df, rows_per_part=rows_per_part).collect():
+            parts[r.conv_id].append(r)
+        made = {c: ("".join(p.rendered for p in sorted(ps, key=lambda p: p.part)), sum(p.cost for p in ps), sum(p.n_rows for p in ps)) for c, ps in parts.items()}
+        whole[rows_per_part] = {c: x[1:] for c, x in made.items()}
+        for c, (text, _, _) in made.items():
+            order = [x[2:].split("|")[0] for x in text.split("\n") if x.startswith("<|") and x != "<|end|>"]
+            assert all(b in chat.FOLLOWS[a] for a, b in zip([chat.START, *map(chat.ROLES.index, order)], map(chat.ROLES.index, order))), (c, order)
+            assert text.count("<|end|>") == len(order)
+    assert whole[50_000] == whole[16]
+    for c, roles in talks.items():
+        if c != 1:
+            assert whole[16][c][0] == cost_by_force([chat.role_of(r) for r in roles])
+    assert len(parts[7]) > 1  # crosses partitions
+    assert chat.format_chats(df.limit(0)).count() == 0
