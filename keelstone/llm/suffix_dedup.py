@@ -241,7 +241,7 @@ def _without_repeats(rows):
             yield r
 
 
-def _match(width: int, at_once: int = 3 * AT_ONCE // 4):
+def _match(width: int, at_once: int = AT_ONCE // 4):
     """(d1, p) of the runs of repeated windows among segments that come sorted by h. Whole groups of h are matched together; one too large for memory is matched in parts by window hash over a spool file of the task's own."""
 
     def found(d1, p, texts, part=(1, 0)):
@@ -311,11 +311,11 @@ def _match(width: int, at_once: int = 3 * AT_ONCE // 4):
                         yield batch_of(d1, p)
                     mine, big = [], 0
                     break
-            held += mine
-            size += big
-            if size > at_once:
+            if held and size + big > at_once:
                 yield flush()
                 held, size = [], 0
+            held += mine
+            size += big
         if held:
             yield flush()
 
