@@ -18,7 +18,7 @@ import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import as_binary, partitions
+from .common import as_binary, partitions, tidied
 
 #: Bytes of a gram; windows of a segment at most; bytes of text that are worked on at once.
 GRAM, LONGEST, AT_ONCE = 32, 4096, 2 << 20
@@ -175,7 +175,7 @@ def _texts(docs: DataFrame, text_col: str, width: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(keep, pa.int64())), batch.column(1).take(pa.array(keep, pa.int64())), pa.array([press.compress(texts[k].as_buffer()) for k in keep], pa.binary())], ["d1", "d2", "blob"])
 
     n = partitions(docs.sparkSession)
-    return rows.mapInArrow(pack, "d1 long, d2 long, blob binary").where("d1 is not null").repartition(n, "d1").sortWithinPartitions("d1", "d2")
+    return rows.mapInArrow(tidied(pack), "d1 long, d2 long, blob binary").where("d1 is not null").repartition(n, "d1").sortWithinPartitions("d1", "d2")
 
 
 def _firsts(batches):
@@ -364,7 +364,7 @@ def remove_repeats(docs: DataFrame, id_col="doc_id", text_col="text", width: int
     rows = docs.select(F.col(id_col), *carry, size.alias("n_bytes"), own.alias("__own"), F.xxhash64(text_col).alias("__d1"), F.xxhash64(F.lit(1), text_col).alias("__d2"))
     texts = _texts(docs, text_col, width)
     ends = Window.partitionBy("h").orderBy("g", "d1", "p")
-    near = texts.mapInArrow(_segment_rows(width), "h long, g long, d1 long, p long")
+    near = texts.mapInArrow(tidied(_segment_rows(width)), "h long, g long, d1 long, p long")
     for name, f in (("b", F.lag), ("a", F.lead)):
         near = near.withColumn(name, f("g").over(ends))
     same = lambda c: F.coalesce(F.col(c) == F.col("g"), F.lit(False))
@@ -372,10 +372,10 @@ def remove_repeats(docs: DataFrame, id_col="doc_id", text_col="text", width: int
     marks = near.select("h", "d1", "p", (same("b") | same("a")).alias("full"), (other("b") | other("a") | (F.col("p").bitwiseAND(F.lit(SELF)) != 0)).alias("ask")).where("full or ask")
     asked = marks.groupBy("d1").agg(F.collect_list(F.when(F.col("full"), F.col("p").bitwiseAND(F.lit(~SELF)))).alias("full"), F.collect_list(F.when(F.col("ask"), F.struct("h", F.col("p").bitwiseAND(F.lit(~SELF)).alias("p")))).alias("ask"))
     both = texts.join(asked, "d1", "left")
-    cut = both.where(F.size("ask") > 0).select("d1", "d2", "blob", "full", "ask").mapInArrow(_cut(width), "h long, d1 long, p long, s binary")
-    matched = cut.repartition(partitions(docs.sparkSession), "h").sortWithinPartitions("h", "d1", "p").mapInArrow(_match(width), "d1 long, p long")
+    cut = both.where(F.size("ask") > 0).select("d1", "d2", "blob", "full", "ask").mapInArrow(tidied(_cut(width)), "h long, d1 long, p long, s binary")
+    matched = cut.repartition(partitions(docs.sparkSession), "h").sortWithinPartitions("h", "d1", "p").mapInArrow(tidied(_match(width)), "d1 long, p long")
     extra = matched.groupBy("d1").agg(F.collect_list("p").alias("more"))
-    done = both.join(extra, "d1", "left").select("d1", "d2", "blob", "full", "more").mapInArrow(_kept(width, with_text), "d1 long, d2 long, n_removed long, n_spans long, kept_sha256 string" + ", cleaned string" * with_text)
+    done = both.join(extra, "d1", "left").select("d1", "d2", "blob", "full", "more").mapInArrow(tidied(_kept(width, with_text)), "d1 long, d2 long, n_removed long, n_spans long, kept_sha256 string" + ", cleaned string" * with_text)
     times = rows.where(F.col("n_bytes") >= width).groupBy("__d1", "__d2").agg((F.count(F.lit(1)) > 1).alias("__copied"))
     known = done.toDF(*(f"__{c}" for c in done.columns)).dropDuplicates(["__d1", "__d2"]).join(times, ["__d1", "__d2"])
     copied, short = F.col("__copied"), F.col("n_bytes") < width
