@@ -22,6 +22,8 @@ from .common import as_binary, partitions, tidied
 
 #: Bytes of a gram; windows of a segment at most; bytes of text that are worked on at once.
 GRAM, LONGEST, AT_ONCE = 32, 4096, 2 << 20
+#: Windows of a spooled group up to which its marks are kept in memory and put out as runs; beyond, one by one.
+MARKED = 16 << 20
 BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 BASE2 = np.uint64(0xD6E8FEB86659FD93)
 SELF = 1 << 15
@@ -251,7 +253,9 @@ def _match(width: int, at_once: int = AT_ONCE // 4):
         n = lengths - width + 1
         owner = np.repeat(np.arange(len(n)), n)
         inner = np.arange(len(owner)) - np.repeat(np.cumsum(n) - n, n)
-        yes = repeated_windows(data, base[owner] + inner, width, part)
+        return runs(d1, p, owner, inner, repeated_windows(data, base[owner] + inner, width, part))
+
+    def runs(d1, p, owner, inner, yes):
         edge = np.flatnonzero(yes & np.concatenate([[True], ~yes[:-1] | (owner[1:] != owner[:-1])]))
         stop = np.flatnonzero(yes & np.concatenate([~yes[1:] | (owner[1:] != owner[:-1]), [True]]))
         o = owner[edge]
@@ -271,6 +275,8 @@ def _match(width: int, at_once: int = AT_ONCE // 4):
                 size += len(s)
             parts = max(1, -(-size // (2 * at_once)))
             d1, p, n = (np.array(x, np.int64) for x in zip(*heads, strict=True))
+            base = np.concatenate([[0], np.cumsum(n - width + 1)])
+            flags = np.zeros(base[-1], bool) if base[-1] <= MARKED else None
             for k in range(parts):
                 spool.seek(0)
                 owners, inners, one, two = [], [], [], []
@@ -286,7 +292,12 @@ def _match(width: int, at_once: int = AT_ONCE // 4):
                 order = np.lexsort((two, one))
                 same = (one[order[1:]] == one[order[:-1]]) & (two[order[1:]] == two[order[:-1]])
                 yes = np.sort(order[np.concatenate([[False], same]) | np.concatenate([same, [False]])]) if len(order) else order
-                yield d1[owner[yes]], _pack((p[owner[yes]] >> 48) & 0xFFFF, ((p[owner[yes]] >> 16) & 0xFFFFFFFF) + inner[yes], np.ones(len(yes), np.int64))
+                if flags is not None:
+                    flags[base[owner[yes]] + inner[yes]] = True
+                else:
+                    yield d1[owner[yes]], _pack((p[owner[yes]] >> 48) & 0xFFFF, ((p[owner[yes]] >> 16) & 0xFFFFFFFF) + inner[yes], np.ones(len(yes), np.int64))
+            if flags is not None:
+                yield runs(d1, p, np.repeat(np.arange(len(n)), n - width + 1), np.arange(base[-1]) - np.repeat(base[:-1], n - width + 1), flags)
 
     def run(batches):
         def rows():
