@@ -37,3 +37,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     return dict(_SQL)
+
+
+from . import fixtures  # noqa: E402, F401  registers the queries over small fixtures
+from . import star  # noqa: E402, F401  registers the queries over the tables

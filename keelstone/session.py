@@ -24,8 +24,9 @@ def session(cpus: int | str = "*", partitions: int = 8, **conf: str) -> SparkSes
 def ship(spark: SparkSession) -> SparkSession:
     """Let the executors' Python workers import this package: it is sent along once for each Spark context.
 
-    Rows go to the workers in batches that stay small for long texts, too.
+    Times are UTC. Rows go to the workers in batches that stay small for long texts, too.
     """
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
     context = spark.sparkContext
     if getattr(context, "_keelstone_sent", False):
