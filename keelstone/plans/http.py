@@ -7,6 +7,7 @@ from http.server import BaseHTTPRequestHandler, ThreadingHTTPServer
 from urllib.parse import parse_qsl, urlsplit
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 from ..errors import AccessError, Refused
 from ..operators import ports, serving
@@ -42,8 +43,8 @@ def answer(spark: SparkSession, scope: Scope, policy: Policy, secret: bytes, tar
             return 200, rows(serving.values(values.read(), runs.read(), **dict(parse_qsl(url.query, strict_parsing=bool(url.query)))))
         if url.path.startswith("/reports/"):
             run = url.path.removeprefix("/reports/")
-            found = runs.read().where(runs.read()["run_id"] == run).collect()
-            return (200, serving.report(values.read().where(values.read()["run_id"] == run), run, found[0].period)) if found else (404, {"error": "no such run"})
+            found = runs.read().where(F.col("run_id") == run).collect()
+            return (200, serving.report(values.read().where(F.col("run_id") == run), run, found[0].period)) if found else (404, {"error": "no such run"})
     except (Refused, ValueError) as e:
         return 400, {"error": str(e)}
     return 404, {"error": "no such page"}
