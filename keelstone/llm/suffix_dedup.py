@@ -26,7 +26,9 @@ GRAM, LONGEST, AT_ONCE = 32, 4096, 2 << 20
 MARKED = 16 << 20
 BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 BASE2 = np.uint64(0xD6E8FEB86659FD93)
-SELF = 1 << 15
+SELF, CROWDED, COUNT = 1 << 15, 1 << 14, (1 << 13) - 1
+#: Segments of one gram hash that a task matches; more are matched window by window over the cluster.
+CROWD = 50_000
 
 
 _powers: dict[np.uint64, np.ndarray] = {}
@@ -159,7 +161,7 @@ def _pack(d2: np.ndarray | int, first: np.ndarray, n: np.ndarray) -> np.ndarray:
 
 def _unpack(packed: np.ndarray, d2: int) -> tuple[np.ndarray, np.ndarray]:
     packed = packed[(packed >> 48) & 0xFFFF == d2 & 0xFFFF]
-    return (packed >> 16) & 0xFFFFFFFF, packed & 0x7FFF
+    return (packed >> 16) & 0xFFFFFFFF, packed & COUNT
 
 
 def _texts(docs: DataFrame, text_col: str, width: int) -> DataFrame:
@@ -227,14 +229,32 @@ def _cut(width: int):
     def run(batches):
         for batch, k, d1, _, data in _firsts(batches):
             asked = batch.column(4)[k].values
-            h, p = asked.field(0), asked.field(1).to_numpy(zero_copy_only=False)
-            first, n = (p >> 16) & 0xFFFFFFFF, p & 0x7FFF
+            p = asked.field(1).to_numpy(zero_copy_only=False)
+            calm = np.flatnonzero(p & CROWDED == 0)
+            h, p = asked.field(0).take(pa.array(calm)), p[calm]
+            first, n = (p >> 16) & 0xFFFFFFFF, p & COUNT
             text = memoryview(data)
             yield pa.RecordBatch.from_arrays([h, pa.array(np.full(len(p), d1, np.int64)), pa.array(p), pa.array([text[a:b] for a, b in zip(first.tolist(), (first + n + width - 1).tolist(), strict=True)], pa.binary())], ["h", "d1", "p", "s"])
 
     return run
 
 
+def _windows(width: int):
+    """(w1, w2, d1, p): each window of the crowded segments, by two hashes."""
+
+    def run(batches):
+        for batch, k, d1, d2, data in _firsts(batches):
+            p = batch.column(4)[k].values.field(1).to_numpy(zero_copy_only=False)
+            first, n = _unpack(p[p & CROWDED != 0], d2)
+            if not len(first):
+                continue
+            at = np.concatenate([np.arange(a, a + m) for a, m in zip(first.tolist(), n.tolist(), strict=True)])
+            w1, w2 = (PrefixHashes(data, base).of(at, width).view(np.int64) for base in (BASE, BASE2))
+            yield pa.RecordBatch.from_arrays([pa.array(w1), pa.array(w2), pa.array(np.full(len(at), d1, np.int64)), pa.array(_pack(d2, at, np.ones(len(at), np.int64)))], ["w1", "w2", "d1", "p"])
+
+    return run
+
+
 def _without_repeats(rows):
     last = None
     for r in rows:
@@ -378,14 +398,19 @@ def remove_repeats(docs: DataFrame, id_col="doc_id", text_col="text", width: int
     near = texts.mapInArrow(tidied(_segment_rows(width)), "h long, g long, d1 long, p long")
     for name, f in (("b", F.lag), ("a", F.lead)):
         near = near.withColumn(name, f("g").over(ends))
+    near = near.withColumn("crowd", F.count(F.lit(1)).over(Window.partitionBy("h")))
     same = lambda c: F.coalesce(F.col(c) == F.col("g"), F.lit(False))
     other = lambda c: F.coalesce(F.col(c) != F.col("g"), F.lit(False))
-    marks = near.select("h", "d1", "p", (same("b") | same("a")).alias("full"), (other("b") | other("a") | (F.col("p").bitwiseAND(F.lit(SELF)) != 0)).alias("ask")).where("full or ask")
-    asked = marks.groupBy("d1").agg(F.collect_list(F.when(F.col("full"), F.col("p").bitwiseAND(F.lit(~SELF)))).alias("full"), F.collect_list(F.when(F.col("ask"), F.struct("h", F.col("p").bitwiseAND(F.lit(~SELF)).alias("p")))).alias("ask"))
+    crowded = F.col("p").bitwiseOR(F.when(F.col("crowd") > CROWD, F.lit(CROWDED)).otherwise(F.lit(0)))
+    marks = near.select("h", "d1", crowded.alias("p"), (same("b") | same("a")).alias("full"), (other("b") | other("a") | (F.col("p").bitwiseAND(F.lit(SELF)) != 0)).alias("ask")).where("full or ask")
+    asked = marks.groupBy("d1").agg(F.collect_list(F.when(F.col("full"), F.col("p").bitwiseAND(F.lit(~(SELF | CROWDED))))).alias("full"), F.collect_list(F.when(F.col("ask"), F.struct("h", F.col("p").bitwiseAND(F.lit(~SELF)).alias("p")))).alias("ask"))
     both = texts.join(asked, "d1", "left")
     cut = both.where(F.size("ask") > 0).select("d1", "d2", "blob", "full", "ask").mapInArrow(tidied(_cut(width)), "h long, d1 long, p long, s binary")
     matched = cut.repartition(partitions(docs.sparkSession), "h").sortWithinPartitions("h", "d1", "p").mapInArrow(tidied(_match(width)), "d1 long, p long")
-    extra = matched.groupBy("d1").agg(F.collect_list("p").alias("more"))
+    alone = both.where(F.exists("ask", lambda x: x["p"].bitwiseAND(F.lit(CROWDED)) != 0)).select("d1", "d2", "blob", "full", "ask").mapInArrow(tidied(_windows(width)), "w1 long, w2 long, d1 long, p long")
+    often = alone.groupBy("w1", "w2").agg(F.count(F.lit(1)).alias("n")).where("n > 1")  # summed before the shuffle, so a common window is no task's burden
+    found = matched.unionByName(alone.join(often, ["w1", "w2"], "left_semi").select("d1", "p"))
+    extra = found.groupBy("d1").agg(F.collect_list("p").alias("more"))
     done = both.join(extra, "d1", "left").select("d1", "d2", "blob", "full", "more").mapInArrow(tidied(_kept(width, with_text)), "d1 long, d2 long, n_removed long, n_spans long, kept_sha256 string" + ", cleaned string" * with_text)
     times = rows.where(F.col("n_bytes") >= width).groupBy("__d1", "__d2").agg((F.count(F.lit(1)) > 1).alias("__copied"))
     known = done.toDF(*(f"__{c}" for c in done.columns)).dropDuplicates(["__d1", "__d2"]).join(times, ["__d1", "__d2"])

@@ -48,7 +48,9 @@ def repeats_by_force(texts, width):
     return out
 
 
-def test_suffix_dedup(docs, rows):
+@pytest.mark.parametrize("crowd", [50_000, 2])
+def test_suffix_dedup(docs, rows, crowd, monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "CROWD", crowd)
     found = Counter(tuple(r) for r in suffix_dedup.remove_repeats(docs).collect())
     assert found == Counter((i, *e) for (i, _), e in zip(rows, repeats_by_force([t for _, t in rows], 200)))
     assert suffix_dedup.remove_repeats(empty(docs)).count() == 0
@@ -67,7 +69,7 @@ def test_suffix_dedup_of_large_groups(monkeypatch):
         out = defaultdict(set)
         for b in suffix_dedup._match(200, at_once)([batch]):
             for d, p in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                out[d] |= set(range((p >> 16) & 0xFFFFFFFF, ((p >> 16) & 0xFFFFFFFF) + (p & 0x7FFF)))
+                out[d] |= set(range((p >> 16) & 0xFFFFFFFF, ((p >> 16) & 0xFFFFFFFF) + (p & suffix_dedup.COUNT)))
         return out
 
     seen = Counter(s[i : i + 200] for s in segments for i in range(len(s) - 199))
