@@ -234,7 +234,7 @@ def _cut(width: int):
             h, p = asked.field(0).take(pa.array(calm)), p[calm]
             first, n = (p >> 16) & 0xFFFFFFFF, p & COUNT
             text = memoryview(data)
-            yield pa.RecordBatch.from_arrays([h, pa.array(np.full(len(p), d1, np.int64)), pa.array(p), pa.array([text[a:b] for a, b in zip(first.tolist(), (first + n + width - 1).tolist(), strict=True)], pa.binary())], ["h", "d1", "p", "s"])
+            yield pa.RecordBatch.from_arrays([h, pa.array(np.full(len(p), d1, np.int64)), pa.array(p), pa.array([bytes(text[a:b]) for a, b in zip(first.tolist(), (first + n + width - 1).tolist(), strict=True)], pa.binary())], ["h", "d1", "p", "s"])
 
     return run
 
