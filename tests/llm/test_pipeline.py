@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from keelstone.llm import bpe, decontam, suffix_dedup
-from test_operators import classes_by_force, fingerprint_by_force, repeats_by_force
+from test_llm_operators import classes_by_force, fingerprint_by_force, repeats_by_force
 
 DIR = "/root/testdata/sf0.001"
 
