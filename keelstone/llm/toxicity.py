@@ -69,11 +69,12 @@ class Field:
 
 
 class _Emissions(dict):
-    """Emissions of the tokens met so far."""
+    """Emissions of the tokens met so far, and the sum and peak of the marginals of texts without any feature, by length."""
 
     def __init__(self, field: Field):
         super().__init__()
         self.field = field
+        self.plain: dict[int, tuple[float, float]] = {}
 
     def __missing__(self, token: bytes) -> float:
         e = self.field.emission(token)
@@ -82,13 +83,25 @@ class _Emissions(dict):
         return e
 
 
-def expected_toxic(field: Field, memory: dict, tokens: list[bytes]) -> tuple[float, list[float] | None]:
-    """Expected toxic tokens and the marginals; a text without any token that speaks for toxicity has none."""
-    e = list(map(memory.__getitem__, tokens))
-    if not e or max(e) <= field.bias + 1e-9:
+def excess_toxic(field: Field, memory: _Emissions, e: list[float], span_at: float) -> tuple[float, list[float] | None]:
+    """Expected toxic tokens of a text of these emissions beyond those of a text of its length without any feature, and the marginals (None if none reaches `span_at`).
+
+    The bias alone gives each token a small chance; without subtracting what it adds up to, long clean texts would look toxic and
+    texts of one token, too. A text without any feature has no excess.
+    """
+    n = len(e)
+    if not n:
+        return 0.0, None
+    if n not in memory.plain:
+        m = field.marginals([field.bias] * n)
+        if len(memory.plain) > REMEMBERED:
+            memory.plain.clear()
+        memory.plain[n] = sum(m), max(m)
+    total, peak = memory.plain[n]
+    if max(e) == field.bias == min(e) and peak < span_at:
         return 0.0, None
     m = field.marginals(e)
-    return sum(m), m
+    return max(0.0, sum(m) - total), m
 
 
 def _train(sequences: list[tuple[np.ndarray, np.ndarray]], patterns: np.ndarray, n_features: int, rounds: int = 80) -> tuple[np.ndarray, float, float, float, float]:
@@ -190,10 +203,10 @@ def fit(docs: DataFrame, labels: DataFrame, id_col="doc_id", text_col="text", la
     w, bias, into, out, stay = _train(stretches, patterns, len(signs))
     field = Field({f: float(w[k]) for f, k in number.items() if abs(w[k]) > 1e-6}, float(bias), float(into), float(out), float(stay))
     per = field.bias + w[patterns].sum(axis=1)
-    x, y = [], []
+    x, y, memory = [], [], _Emissions(field)
     for label, ids in documents:
         e = per[ids].tolist()
-        expected = sum(field.marginals(e)) if e and max(e) > field.bias + 1e-9 else 0.0
+        expected, _ = excess_toxic(field, memory, e, 1.0)
         x.append((math.log1p(expected), math.log1p(1000 * expected / max(len(e), 1)), 1.0))
         y.append(label)
     field.scale = _calibrate(np.array(x), np.array(y, float), n1, n0)
@@ -229,7 +242,7 @@ def score(docs: DataFrame, field: Field, id_col="doc_id", text_col="text", thres
             scores, spans = [], []
             for text in as_binary(batch.column(1)):
                 tokens = tokens_of(text.as_py())
-                expected, marginals = expected_toxic(field, memory, tokens)
+                expected, marginals = excess_toxic(field, memory, list(map(memory.__getitem__, tokens)), span_at)
                 scores.append(field.score(expected, len(tokens)))
                 edge = np.flatnonzero(np.diff(np.concatenate([[0], (np.array(marginals) >= span_at).astype(np.int8), [0]]))) if marginals else np.zeros(0, int)
                 spans.append([{"first": int(a), "last": int(b) - 1} for a, b in zip(edge[::2], edge[1::2], strict=True)])

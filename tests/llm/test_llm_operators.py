@@ -130,6 +130,17 @@ def test_marginals_are_exact():
     assert np.allclose(field.marginals(e), np.array(toxic) / total)
 
 
+def test_excess_is_over_a_text_without_features():
+    field = toxicity.Field({b"wbad": 6.0}, -4.0, -1.0, -0.5, 0.5)
+    memory = toxicity._Emissions(field)
+    assert toxicity.excess_toxic(field, memory, [], 0.5) == (0.0, None)
+    for n in (1, 3, 5000):
+        assert toxicity.excess_toxic(field, memory, [-4.0] * n, 0.5) == (0.0, None)
+    e = [memory[t] for t in (b"so", b"bad", b"it", b"was")]
+    excess, marginals = toxicity.excess_toxic(field, memory, e, 0.5)
+    assert np.isclose(excess, sum(field.marginals(e)) - sum(field.marginals([-4.0] * 4))) and np.argmax(marginals) == 1
+
+
 def test_sharding(spark, docs, rows):
     got = sharding.shard(docs, shards=7).toPandas()
     assert len(got) == len(rows)
