@@ -2,14 +2,13 @@
 
 Every window (string of `width` bytes) is sent where all its equals go: it belongs to the smallest hash among its grams, and
 consecutive windows of one smallest hash form a segment. Segments are known by that hash and a digest; only where they are not
-equal as a whole does their text travel. There suffixes are sorted by the polynomial hash of their first `width` bytes, common
-extensions of neighbours are found by binary search over prefix hashes, and every match is verified on the bytes.
+equal as a whole does their text travel. There suffixes are put in lexicographic order by a mergesort that compares two of them by
+the byte after their common extension, found by binary search over prefix hashes; every match of neighbours is verified on the bytes.
 """
 
 from __future__ import annotations
 
 import hashlib
-import tempfile
 
 import numpy as np
 import pyarrow as pa
@@ -22,13 +21,13 @@ from .common import as_binary, partitions, tidied
 
 #: Bytes of a gram; windows of a segment at most; bytes of text that are worked on at once.
 GRAM, LONGEST, AT_ONCE = 32, 4096, 2 << 20
-#: Windows of a spooled group up to which its marks are kept in memory and put out as runs; beyond, one by one.
-MARKED = 16 << 20
+#: Words of eight bytes that suffixes are sorted by before the mergesort; strings compared at once; segments hashed at once.
+HEADS, COMPARED, SOME = 4, 16_384, 1_000
 BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 BASE2 = np.uint64(0xD6E8FEB86659FD93)
 SELF, CROWDED, COUNT = 1 << 15, 1 << 14, (1 << 13) - 1
-#: Segments of one gram hash that a task matches; more are matched window by window over the cluster.
-CROWD = 50_000
+#: Bytes in segments of one gram hash that a task matches; more are matched window by window over the cluster.
+CROWD = 16 << 20
 
 
 _powers: dict[np.uint64, np.ndarray] = {}
@@ -118,14 +117,80 @@ def segments(data: np.ndarray, lengths: np.ndarray, width: int) -> tuple[np.ndar
     return least[starts][keep], starts[keep], n[keep], inside[keep]
 
 
-def repeated_windows(data: np.ndarray, starts: np.ndarray, width: int, part: tuple[int, int] = (1, 0)) -> np.ndarray:
-    """Which of the window starts in `data` have an equal among the others; all strings are of `width` bytes. `part` (n, k): only those whose hash is k modulo n are looked at, the others answered False."""
+def suffix_order(data: np.ndarray, prefix: PrefixHashes, whole: np.ndarray, starts: np.ndarray, width: int) -> np.ndarray:
+    """Places of `starts` in the lexicographic order of the `width` bytes that begin there; equal ones keep their order.
+
+    Begins with the order of the first HEADS words of eight bytes and goes on with a mergesort among those that agree in them: an
+    element's place among the other run's is found by binary search, and two suffixes are compared by the byte after their common
+    extension. `whole` are the hashes of the strings themselves: equal hashes need no search.
+    """
+    words = np.ndarray((len(data) - 7,), ">u8", data, strides=(1,))
+    heads = [words[starts + 8 * k].astype(np.uint64) for k in range(min(HEADS, width // 8))]
+    order = np.lexsort(heads[::-1])
+    new = np.ones(len(order), bool)
+    new[1:] = np.logical_or.reduce([x[order[1:]] != x[order[:-1]] for x in heads])
+    first = np.flatnonzero(new)
+    mixed = np.zeros(len(order), bool)
+    mixed[1:] = ~new[1:] & (whole[order[1:]] != whole[order[:-1]])
+    size = np.diff(np.concatenate([first, [len(order)]]))
+    unsorted = np.logical_or.reduceat(mixed, first) if len(first) else mixed
+    place = np.flatnonzero(np.repeat(unsorted, size))
+    base, size = np.repeat(first, size)[place], np.repeat(size, size)[place]
+    inner = place - base
+
+    def compared(x, y):
+        out = np.zeros(len(x), np.int16)
+        differ = np.flatnonzero(whole[x] != whole[y])
+        a, b = starts[x[differ]], starts[y[differ]]
+        at = prefix.common(a, b, np.full(len(a), width - 1))
+        out[differ] = data[a + at].astype(np.int16) - data[b + at]
+        return out
+
+    run, longest = 1, size.max(initial=0)
+    while run < longest:
+        pair = inner // (2 * run) * (2 * run)
+        left = inner - pair < run
+        high = np.where(left, np.minimum(pair + 2 * run, size), pair + run)
+        low = np.minimum(np.where(left, pair + run, pair), high)
+        begin, live = low.copy(), np.flatnonzero(low < high)
+        while len(live):
+            mid = (low[live] + high[live]) >> 1
+            c = compared(order[place[live]], order[base[live] + mid])
+            after = c >= np.where(left[live], 1, 0)
+            low[live], high[live] = np.where(after, mid + 1, low[live]), np.where(after, high[live], mid)
+            live = live[low[live] < high[live]]
+        order[base + inner - np.where(left, 0, run) + low - begin] = order[place]
+        run *= 2
+    return order
+
+
+def _agree(data: np.ndarray, a: np.ndarray, b: np.ndarray, width: int) -> np.ndarray:
+    """Whether the strings of `width` bytes at a and b are equal, byte by byte."""
+    rows = np.lib.stride_tricks.sliding_window_view(data, width)
+    out = np.zeros(len(a), bool)
+    for k in range(0, len(a), COMPARED):
+        out[k : k + COMPARED] = (rows[a[k : k + COMPARED]] == rows[b[k : k + COMPARED]]).all(axis=1)
+    return out
+
+
+def _recount(data: np.ndarray, starts: np.ndarray, doubtful: np.ndarray, out: np.ndarray, width: int) -> None:
+    """Put right `out` where hashes have collided: the strings themselves are counted."""
+    text = memoryview(data)
+    seen: dict[bytes, list[int]] = {}
+    for k in np.flatnonzero(doubtful).tolist():
+        seen.setdefault(bytes(text[starts[k] : starts[k] + width]), []).append(k)
+    out[doubtful] = False
+    for ks in seen.values():
+        if len(ks) > 1:
+            out[ks] = True
+
+
+def repeated_windows(data: np.ndarray, starts: np.ndarray, width: int) -> np.ndarray:
+    """Which of the window starts in `data` have an equal among the others; all strings are of `width` bytes."""
     prefix = PrefixHashes(data)
-    h = prefix.of(starts, width)
-    mixed = (h ^ (h >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
-    mine = np.flatnonzero((mixed >> np.uint64(40)) % np.uint64(part[0]) == part[1]) if part[0] > 1 else np.arange(len(starts))
-    order = mine[np.argsort(mixed[mine], kind="stable")]  # suffixes in the order of the hashes of their first bytes
-    same = np.flatnonzero(mixed[order[1:]] == mixed[order[:-1]])
+    whole = prefix.of(starts, width)
+    order = suffix_order(data, prefix, whole, starts, width)
+    same = np.flatnonzero(whole[order[1:]] == whole[order[:-1]])
     a, b = order[same], order[same + 1]  # neighbours, a before b in the text
     out = np.zeros(len(starts), bool)
     if not len(a):
@@ -142,15 +207,8 @@ def repeated_windows(data: np.ndarray, starts: np.ndarray, width: int, part: tup
             out[a[r : r + n]] = out[b[r : r + n]] = True
         else:
             wrong += b[r : r + n].tolist() + a[r : r + n].tolist()
-    if wrong:  # a collision: count those strings themselves
-        mixed_wrong = np.isin(mixed, mixed[wrong])
-        seen: dict[bytes, list[int]] = {}
-        for k in np.flatnonzero(mixed_wrong).tolist():
-            seen.setdefault(bytes(text[starts[k] : starts[k] + width]), []).append(k)
-        out[mixed_wrong] = False
-        for ks in seen.values():
-            if len(ks) > 1:
-                out[ks] = True
+    if wrong:
+        _recount(data, starts, np.isin(whole, whole[wrong]), out, width)
     return out
 
 
@@ -264,16 +322,16 @@ def _without_repeats(rows):
 
 
 def _match(width: int, at_once: int = AT_ONCE // 4):
-    """(d1, p) of the runs of repeated windows among segments that come sorted by h. Whole groups of h are matched together; one too large for memory is matched in parts by window hash over a spool file of the task's own."""
+    """(d1, p) of the runs of repeated windows among segments that come sorted by h. Whole groups of h are matched together; one too large to be sorted at once is matched in parts by window hash."""
 
-    def found(d1, p, texts, part=(1, 0)):
+    def found(d1, p, texts):
         lengths = np.array([len(t) for t in texts], np.int64)
         data = np.frombuffer(b"".join(texts), np.uint8)
         base = np.concatenate([[0], np.cumsum(lengths)])[:-1]
         n = lengths - width + 1
         owner = np.repeat(np.arange(len(n)), n)
         inner = np.arange(len(owner)) - np.repeat(np.cumsum(n) - n, n)
-        return runs(d1, p, owner, inner, repeated_windows(data, base[owner] + inner, width, part))
+        return runs(d1, p, owner, inner, repeated_windows(data, base[owner] + inner, width))
 
     def runs(d1, p, owner, inner, yes):
         edge = np.flatnonzero(yes & np.concatenate([[True], ~yes[:-1] | (owner[1:] != owner[:-1])]))
@@ -285,39 +343,39 @@ def _match(width: int, at_once: int = AT_ONCE // 4):
     def batch_of(d1, p):
         return pa.RecordBatch.from_arrays([pa.array(d1), pa.array(p)], ["d1", "p"])
 
-    def spooled(rows):
-        """One group of any size."""
-        with tempfile.TemporaryFile() as spool:
-            size, heads = 0, []
-            for d1, p, s in rows:
-                spool.write(s)
-                heads.append((d1, p, len(s)))
-                size += len(s)
-            parts = max(1, -(-size // (2 * at_once)))
-            d1, p, n = (np.array(x, np.int64) for x in zip(*heads, strict=True))
-            base = np.concatenate([[0], np.cumsum(n - width + 1)])
-            flags = np.zeros(base[-1], bool) if base[-1] <= MARKED else None
-            for k in range(parts):
-                spool.seek(0)
-                owners, inners, one, two = [], [], [], []
-                for j, length in enumerate(n.tolist()):
-                    data = np.frombuffer(spool.read(length), np.uint8)
-                    h = PrefixHashes(data).all(width)
-                    mine = np.flatnonzero((h >> np.uint64(40)) % np.uint64(parts) == k)
-                    owners.append(np.full(len(mine), j))
-                    inners.append(mine)
-                    one.append(h[mine])
-                    two.append(PrefixHashes(data, BASE2).all(width)[mine])
-                owner, inner, one, two = (np.concatenate(x) for x in (owners, inners, one, two))
-                order = np.lexsort((two, one))
-                same = (one[order[1:]] == one[order[:-1]]) & (two[order[1:]] == two[order[:-1]])
-                yes = np.sort(order[np.concatenate([[False], same]) | np.concatenate([same, [False]])]) if len(order) else order
-                if flags is not None:
-                    flags[base[owner[yes]] + inner[yes]] = True
-                else:
-                    yield d1[owner[yes]], _pack((p[owner[yes]] >> 48) & 0xFFFF, ((p[owner[yes]] >> 16) & 0xFFFFFFFF) + inner[yes], np.ones(len(yes), np.int64))
-            if flags is not None:
-                yield runs(d1, p, np.repeat(np.arange(len(n)), n - width + 1), np.arange(base[-1]) - np.repeat(base[:-1], n - width + 1), flags)
+    def large(rows):
+        """One group of at most about CROWD bytes, a part of its windows (by hash) at a time."""
+        d1, p, texts = zip(*rows, strict=True)
+        d1, p, n = np.array(d1, np.int64), np.array(p, np.int64), np.array([len(t) for t in texts], np.int64)
+        data = np.frombuffer(b"".join(texts), np.uint8)
+        del texts
+        at = np.cumsum(n) - n
+        base = np.concatenate([[0], np.cumsum(n - width + 1)])
+        flags = np.zeros(base[-1], bool)
+        parts = max(1, -(-len(data) // (2 * at_once)))
+        for k in range(parts):
+            places, hashes = [], []
+            for j in range(0, len(n), SOME):
+                a, b = at[j], (at[j : j + SOME] + n[j : j + SOME])[-1]
+                h = PrefixHashes(data[a:b]).all(width)
+                # strings across two segments don't count
+                inner = np.arange(base[j], base[min(j + SOME, len(n))])
+                h = h[inner + (np.searchsorted(base, inner, "right") - 1) * (width - 1) - a]
+                mine = np.flatnonzero((h >> np.uint64(40)) % np.uint64(parts) == k)
+                places.append(inner[mine])
+                hashes.append(h[mine])
+            place, h = np.concatenate(places), np.concatenate(hashes)
+            start = place + (np.searchsorted(base, place, "right") - 1) * (width - 1)
+            order = np.argsort(h, kind="stable")
+            same = np.flatnonzero(h[order[1:]] == h[order[:-1]])
+            a, b = order[same], order[same + 1]
+            yes = np.zeros(len(place), bool)
+            yes[a] = yes[b] = True
+            wrong = ~_agree(data, start[a], start[b], width)
+            if wrong.any():
+                _recount(data, start, np.isin(h, h[a[wrong]]), yes, width)
+            flags[place] = yes
+        return runs(d1, p, np.repeat(np.arange(len(n)), n - width + 1), np.arange(base[-1]) - np.repeat(base[:-1], n - width + 1), flags)
 
     def run(batches):
         def rows():
@@ -338,8 +396,7 @@ def _match(width: int, at_once: int = AT_ONCE // 4):
                 mine.append(r[1:])
                 big += len(r[3])
                 if big > 2 * at_once:
-                    for d1, p in spooled(chain(mine, (r[1:] for r in group))):
-                        yield batch_of(d1, p)
+                    yield batch_of(*large(chain(mine, (r[1:] for r in group))))
                     mine, big = [], 0
                     break
             if held and size + big > at_once:
@@ -398,7 +455,7 @@ def remove_repeats(docs: DataFrame, id_col="doc_id", text_col="text", width: int
     near = texts.mapInArrow(tidied(_segment_rows(width)), "h long, g long, d1 long, p long")
     for name, f in (("b", F.lag), ("a", F.lead)):
         near = near.withColumn(name, f("g").over(ends))
-    near = near.withColumn("crowd", F.count(F.lit(1)).over(Window.partitionBy("h")))
+    near = near.withColumn("crowd", F.sum(F.col("p").bitwiseAND(F.lit(COUNT)) + width - 1).over(Window.partitionBy("h")))
     same = lambda c: F.coalesce(F.col(c) == F.col("g"), F.lit(False))
     other = lambda c: F.coalesce(F.col(c) != F.col("g"), F.lit(False))
     crowded = F.col("p").bitwiseOR(F.when(F.col("crowd") > CROWD, F.lit(CROWDED)).otherwise(F.lit(0)))

@@ -75,6 +75,23 @@ def test_suffix_dedup_of_large_groups(monkeypatch):
     seen = Counter(s[i : i + 200] for s in segments for i in range(len(s) - 199))
     expected = {k: {i for i in range(len(s) - 199) if seen[s[i : i + 200]] > 1} for k, s in enumerate(segments)}
     assert covered(1 << 20) == expected == covered(2000)
+    monkeypatch.setattr(suffix_dedup, "SOME", 7)
+    assert covered(2000) == expected
+    every = suffix_dedup.PrefixHashes.all
+    monkeypatch.setattr(suffix_dedup.PrefixHashes, "all", lambda self, length: every(self, length) % np.uint64(3))  # collisions
+    assert covered(2000) == expected
+
+
+@pytest.mark.parametrize(("letters", "n", "width"), [(1, 500, 64), (2, 3000, 40), (3, 3000, 33), (26, 5000, 200)])
+def test_suffixes_are_in_lexicographic_order(letters, n, width):
+    rng = np.random.default_rng(letters)
+    data = rng.integers(97, 97 + letters, n, dtype=np.uint8)
+    data[n // 2 : n // 2 + n // 4] = data[: n // 4]
+    starts, prefix, text = np.arange(n - width + 1), suffix_dedup.PrefixHashes(data), data.tobytes()
+    whole = prefix.of(starts, width)
+    assert suffix_dedup.suffix_order(data, prefix, whole, starts, width).tolist() == sorted(starts.tolist(), key=lambda i: text[i : i + width])
+    seen = Counter(text[i : i + width] for i in starts)
+    assert suffix_dedup.repeated_windows(data, starts, width).tolist() == [seen[text[i : i + width]] > 1 for i in starts]
 
 
 def test_colliding_hashes_are_verified(monkeypatch):
