@@ -62,7 +62,7 @@ def ais_checksums(spark, sf_dir):
 
 def _port_events(spark, sf_dir):
     """Port-call, gate and booking events made of orders and line items."""
-    orders = table(spark, sf_dir, "orders").where("o_orderdate >= timestamp '1997-05-01' and o_orderdate < timestamp '1997-07-01'")
+    orders = table(spark, sf_dir, "orders")
     port = F.concat(F.lit("AB"), F.lpad((F.col("o_custkey") % 7).cast("string"), 3, "0"))
     text = lambda c: F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss'Z'")
     plus = lambda n: F.timestamp_micros(F.unix_micros("o_orderdate") + F.col("o_orderkey") % n * 3_600_000_000)
