@@ -79,26 +79,32 @@ def domain_fields(resource: Column, schema: str) -> Column:
     return F.struct(*[F.coalesce(more[n], own[n]).alias(n) for n in names])
 
 
-def to_events(envelopes: DataFrame, ingested_at: Column, source_system: str = "event-stream") -> DataFrame:
-    """Internal rows of valid envelopes. The payload is the first resource with the provenance added, as canonical JSON."""
+def event_columns(ingested_at: Column, source_system: str = "event-stream") -> list[Column]:
+    """Columns of an internal row, from the envelope `e`. The payload is the first resource with the provenance added, as canonical JSON."""
     e = F.col("e")
     resource = e["fhir"]["entry"][0]["resource"]
     body = F.concat(F.regexp_replace(resource, r"\}\s*\z", ""), F.when(F.size(F.json_object_keys(resource)) > 0, F.lit(",")).otherwise(F.lit("")), F.lit('"provenance":'), F.to_json(e["provenance"]), F.lit("}"))
     occurred = instant(e["occurredAt"])
-    return envelopes.select(
+    return [
         e["eventId"].alias("event_id"), e["eventType"].alias("event_type"), e["producer"].alias("producer"), occurred.alias("occurred_at"), occurred.alias("recorded_at"),
         e["classification"].alias("data_classification"), F.lit(source_system).alias("source_system"), e["eventId"].alias("source_record_reference"), e["correlationId"].alias("correlation_id"),
         to_canonical_json(body).alias("payload_json"), ingested_at.alias("ingested_at"), e["recordClassification"].alias("record_classification"),
-    )
+    ]
+
+
+def to_events(envelopes: DataFrame, ingested_at: Column, source_system: str = "event-stream") -> DataFrame:
+    """Internal rows of valid envelopes."""
+    return envelopes.select(*event_columns(ingested_at, source_system))
 
 
-def event_faults() -> Column:
-    """What is wrong with an internal row."""
+def event_faults(row: str = "") -> Column:
+    """What is wrong with an internal row; `row` is the prefix of its columns."""
+    c = lambda name: F.col(f"{row}{name}")
     rules = {
-        "payload": F.coalesce(F.octet_length("payload_json") <= MAX_PAYLOAD, F.lit(False)),
-        "order": F.coalesce(F.col("recorded_at") >= F.col("occurred_at"), F.lit(False)),
-        "producer": is_canonical_text(F.col("producer"), 256),
-        "correlation_id": F.col("correlation_id").isNull() | is_canonical_text(F.col("correlation_id"), 256),
+        "payload": F.coalesce(F.octet_length(c("payload_json")) <= MAX_PAYLOAD, F.lit(False)),
+        "order": F.coalesce(c("recorded_at") >= c("occurred_at"), F.lit(False)),
+        "producer": is_canonical_text(c("producer"), 256),
+        "correlation_id": c("correlation_id").isNull() | is_canonical_text(c("correlation_id"), 256),
     }
     return F.filter(F.array(*[F.when(~ok, F.lit(name)) for name, ok in rules.items()]), lambda x: x.isNotNull())
 

@@ -8,22 +8,24 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.signing import envelope_fault
 from ..operators.governance import Scope
-from ..sources.envelopes import MAX_LINE, event_faults, faults, parsed, to_events
+from ..sources.envelopes import MAX_LINE, event_columns, event_faults, faults, parsed
 from ..sources.tables import VersionedTable
 
 #: Text of a fault that is kept.
 DETAIL = 512
 
 
-def classified(batch: DataFrame, keys: dict[str, bytes] | None) -> DataFrame:
-    """Lines (line, topic, partition, offset) with their envelope and `reason`: empty, or the first cause to reject the line. Of repeated ids in a batch the first by (partition, offset) is accepted."""
+def classified(batch: DataFrame, keys: dict[str, bytes] | None, at: Column) -> DataFrame:
+    """Lines (line, topic, partition, offset) with their envelope, the internal `event` it becomes, and `reason`: empty, or the first cause to reject the line. Of repeated ids in a batch the first good one by (partition, offset) is accepted."""
     rows = parsed(batch).withColumn("faults", faults())
     trust = envelope_fault(F.col("line"), keys) if keys is not None else F.lit("")
     rows = rows.withColumn("trust", F.when(F.size("faults") == 0, trust))
     rows = rows.withColumn("reason", F.when(F.octet_length("line") > MAX_LINE, "oversized").when(F.array_contains("faults", "document"), "malformed-json").when(F.size("faults") > 0, "schema-violation").when(F.col("trust") != "", F.col("trust")).otherwise(""))
+    sound = rows.where("reason = ''").withColumn("event", F.struct(*event_columns(at))).withColumn("faults", event_faults("event."))
+    sound = sound.withColumn("reason", F.when(F.size("faults") > 0, "invalid-event").otherwise(""))
     again = F.row_number().over(Window.partitionBy("e.eventId").orderBy("partition", "offset"))
-    good = rows.where("reason = ''").withColumn("again", again).withColumn("reason", F.when(F.col("again") > 1, "duplicate-in-batch").otherwise(""))
-    return good.drop("again").unionByName(rows.where("reason != ''"))
+    good = sound.where("reason = ''").withColumn("again", again).withColumn("reason", F.when(F.col("again") > 1, "duplicate-in-batch").otherwise(""))
+    return good.drop("again").unionByName(sound.where("reason != ''")).unionByName(rows.where("reason != ''"), allowMissingColumns=True)
 
 
 def quarantine_rows(rejected: DataFrame, at: Column) -> DataFrame:
@@ -39,11 +41,10 @@ def quarantine_rows(rejected: DataFrame, at: Column) -> DataFrame:
 def ingest_batch(batch: DataFrame, scope: Scope, bronze: VersionedTable, quarantine: VersionedTable, keys: dict[str, bytes] | None, at: Column | None = None) -> dict[str, int]:
     """Write one batch: quarantine, then bronze. Both merges are idempotent, so a batch that is replayed after a failure changes nothing twice."""
     at = F.current_timestamp() if at is None else at
-    rows = classified(batch, keys).persist()
+    rows = classified(batch, keys, at).persist()
     try:
-        events = to_events(rows.where("reason = ''"), at).withColumn("faults", event_faults())
-        label = F.coalesce(*_labels(events))
-        events = events.where(F.size("faults") == 0).drop("faults").withColumn("data_classification", label)
+        events = rows.where("reason = ''").select("event.*")
+        events = events.withColumn("data_classification", F.coalesce(*_labels(events)))
         counts = {r.reason or "accepted": r.n for r in rows.groupBy("reason").agg(F.count(F.lit(1)).alias("n")).collect()}
         if sum(v for k, v in counts.items() if k != "accepted"):
             quarantine.append_new(quarantine_rows(rows.where("reason != ''"), at), "dlq_event_id")

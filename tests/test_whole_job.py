@@ -1,8 +1,14 @@
 """Queries and ways that have to work on everything they are given, not on a part of it."""
 
+import json
+
 from pyspark.sql import functions as F
 
+from keelstone.operators import governance
 from keelstone.plans import fixtures, workload
+from keelstone.sources.tables import VersionedTable
+from keelstone.streaming import ingest
+from test_operators import envelope
 
 SMALL = "/root/testdata/sf0.01"
 
@@ -17,3 +23,19 @@ def test_port_statistics_sees_all_orders(spark):
     wanted = {r.port: r["count"] for r in due.groupBy(port.alias("port")).count().collect()}
     values = workload.queries()["port_statistics"](spark, SMALL).where("kpi_id = 'slot_utilisation_pct'").collect()
     assert {r.port_code: r.n_observations for r in values if r.n_observations} == wanted
+
+
+def test_lines_that_make_no_valid_event_are_quarantined(spark, tmp_path):
+    wide = {"resourceType": "Bundle", "type": "message", "entry": [{"resource": {"a": "x" * (1 << 20)}}]}
+    bad = [envelope(1, producer=" p"), envelope(2, correlationId="c\u0007"), envelope(3, producer="é" * 200), envelope(4, fhir=wide)]
+    lines = [json.dumps(x) for x in [*bad, envelope(1), envelope(5), envelope(5)]]
+    batch = spark.createDataFrame([(x, "t", 0, k) for k, x in enumerate(lines)], "line string, topic string, partition int, offset long")
+    bronze, dlq = (VersionedTable(spark, str(tmp_path / n)) for n in ("b", "q"))
+    scope = governance.Scope("platform", str(tmp_path / "lake"))
+    for _ in range(2):  # a replay changes nothing
+        counts = ingest.ingest_batch(batch, scope, bronze, dlq, None)
+        assert {k: counts.get(k) for k in ("accepted", "invalid-event", "duplicate-in-batch")} == {"accepted": 2, "invalid-event": 4, "duplicate-in-batch": 1}
+        assert sorted(r.event_id[-1] for r in bronze.read().collect()) == ["1", "5"]  # a bad line of an id doesn't stand in the way of a good one
+        found = {r.offset: (r.reason, r.detail) for r in dlq.read().collect()}
+        bad = "invalid-event"
+        assert found == {0: (bad, "producer"), 1: (bad, "correlation_id"), 2: (bad, "producer"), 3: (bad, "payload"), 6: ("duplicate-in-batch", "")}
