@@ -130,6 +130,12 @@ def near_duplicates(docs: DataFrame, id_col="doc_id", text_col="text", shingle:
 
 
 def one_of_each(docs: DataFrame, distance: int = 2) -> DataFrame:
-    """The documents whose id is the smallest of their component; of repeated rows of one id, one."""
-    keep = near_duplicates(docs, distance=distance).where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    return docs.join(keep, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns)
+    """One row of each component: the one of the smallest id, a null id last, and among equal ids that of the smallest digest.
+
+    So documents without an id stay, one for each component that has no id at all; rows of one id are told apart by the SHA-256
+    of the whole row. Rows that agree in every column are one.
+    """
+    keyed = docs.withColumn("__key", F.sha2(F.to_json(F.struct(*docs.columns)), 256))
+    named = keyed.select(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", F.col("__key").alias("key")).alias("row"), "text")
+    keep = near_duplicates(named, id_col="row", distance=distance).where(F.col("row.key") == F.col("component_id.key"))
+    return keyed.join(keep.select(F.col("row.key").alias("__key")), "__key", "left_semi").dropDuplicates(["__key"]).select(*docs.columns)
