@@ -6,7 +6,7 @@ import json
 from http.server import BaseHTTPRequestHandler, ThreadingHTTPServer
 from urllib.parse import parse_qsl, urlsplit
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..errors import AccessError, Refused
@@ -14,9 +14,22 @@ from ..operators import ports, serving
 from ..operators.governance import Policy, Scope
 from .assembly import table
 
+#: An answer of more rows is refused; it has to be narrowed by values to equal.
 MAX_ROWS = 10_000
 
 
+def _rows(df: DataFrame) -> list:
+    """All rows, or none if they are more than MAX_ROWS."""
+    found = [json.loads(x) for x in df.limit(MAX_ROWS + 1).toJSON().collect()]
+    if len(found) > MAX_ROWS:
+        raise TooMany(f"more than {MAX_ROWS} rows; narrow the question")
+    return found
+
+
+class TooMany(Exception):
+    """An answer that would have to be cut."""
+
+
 def answer(spark: SparkSession, scope: Scope, policy: Policy, secret: bytes, target: str, authorization: str | None) -> tuple[int, object]:
     """Status and body of a GET request. Only published tables are read; a missing one is 503."""
     url = urlsplit(target)
@@ -35,16 +48,17 @@ def answer(spark: SparkSession, scope: Scope, policy: Policy, secret: bytes, tar
     runs, values = (table(spark, scope, "gold", n) for n in ("port_kpi_runs", "port_kpi_values"))
     if not runs.exists() or not values.exists():
         return 503, {"error": "nothing is published"}
-    rows = lambda df: [json.loads(x) for x in df.limit(MAX_ROWS).toJSON().collect()]
     try:
         if url.path == "/runs":
-            return 200, rows(serving.list_runs(runs.read()))
+            return 200, _rows(serving.list_runs(runs.read()))
         if url.path == "/values":
-            return 200, rows(serving.values(values.read(), runs.read(), **dict(parse_qsl(url.query, strict_parsing=bool(url.query)))))
+            return 200, _rows(serving.values(values.read(), runs.read(), **dict(parse_qsl(url.query, strict_parsing=bool(url.query)))))
         if url.path.startswith("/reports/"):
             run = url.path.removeprefix("/reports/")
             found = runs.read().where(F.col("run_id") == run).collect()
             return (200, serving.report(values.read().where(F.col("run_id") == run), run, found[0].period)) if found else (404, {"error": "no such run"})
+    except TooMany as e:
+        return 413, {"error": str(e)}
     except (Refused, ValueError) as e:
         return 400, {"error": str(e)}
     return 404, {"error": "no such page"}

@@ -1,14 +1,15 @@
 """Queries and ways that have to work on everything they are given, not on a part of it."""
 
 import json
+from datetime import UTC, datetime
 
 from pyspark.sql import functions as F
 
-from keelstone.operators import governance
-from keelstone.plans import fixtures, workload
+from keelstone.operators import governance, serving
+from keelstone.plans import assembly, fixtures, http, workload
 from keelstone.sources.tables import VersionedTable
 from keelstone.streaming import ingest
-from test_operators import envelope
+from test_operators import envelope, port_events
 
 SMALL = "/root/testdata/sf0.01"
 
@@ -39,3 +40,18 @@ def test_lines_that_make_no_valid_event_are_quarantined(spark, tmp_path):
         found = {r.offset: (r.reason, r.detail) for r in dlq.read().collect()}
         bad = "invalid-event"
         assert found == {0: (bad, "producer"), 1: (bad, "correlation_id"), 2: (bad, "producer"), 3: (bad, "payload"), 6: ("duplicate-in-batch", "")}
+
+
+def test_answers_are_whole_or_refused(spark, tmp_path, monkeypatch):
+    scope = governance.Scope("platform", str(tmp_path / "lake"))
+    assembly.table(spark, scope, "silver").overwrite(port_events(spark))
+    assembly.publish_month(spark, scope, "2026-03", datetime(2026, 4, 1, tzinfo=UTC), str(tmp_path), bytes(32), "k")
+    policy = governance.Policy({"reader": governance.whole_scope("platform", "gold")})
+    ask = lambda target: http.answer(spark, scope, policy, b"s", target, serving.bearer({"roles": ["reader"], "exp": 1e12}, b"s"))
+    n = len(ask("/values")[1])
+    monkeypatch.setattr(http, "MAX_ROWS", n)
+    assert ask("/values")[0] == 200 and len(ask("/values")[1]) == n
+    monkeypatch.setattr(http, "MAX_ROWS", n - 1)
+    status, body = ask("/values")
+    assert status == 413 and "more than" in body["error"]
+    assert ask("/values?port_code=BBBBB")[0] == 200 and ask("/runs")[0] == 200
