@@ -60,7 +60,8 @@ class Centroids:
         best = cosine.argmax(axis=1)
         score = np.clip(cosine[np.arange(len(best)), best].astype(np.float64), 0, 1)
         owner = self.owner[best]
-        return [self.names[k] for k in owner], score, score < self.reach[owner]
+        sizes = np.diff(raw(as_binary(texts))[1])
+        return [self.names[k] for k in owner], score, score <= self.reach[owner, np.searchsorted(CUTS, sizes, "right")]
 
 
 def spherical_clusters(v: np.ndarray, k: int, rounds: int = 12) -> np.ndarray:
@@ -76,8 +77,21 @@ def spherical_clusters(v: np.ndarray, k: int, rounds: int = 12) -> np.ndarray:
     return centres
 
 
-#: A document is rejected where its cosine is below this part of the lowest hundredth of its language's training cosines.
-REACH = 0.25
+#: A document is rejected where its cosine isn't above a limit of its language and length in bytes. Cosines grow with the length,
+#: so a limit is REACH of the lowest twentieth of the cosines of training texts cut to the length's lower bound in CUTS, at most
+#: WHOLE of the lowest hundredth of those of whole training texts. Below the first bound only a cosine of zero is rejected.
+REACH, WHOLE = 0.6, 0.9
+CUTS = (8, 16, 32, 64, 128, 256, 512)
+
+
+def limits(heads: list[bytes], centres: np.ndarray, idf: np.ndarray, whole: np.ndarray) -> np.ndarray:
+    """The limit of a language for each length: below CUTS[0], and from each of CUTS on."""
+    most, out = WHOLE * float(np.quantile(whole, 0.01)), [0.0]
+    for cut in CUTS:
+        texts = [h[:cut].decode(errors="ignore") for h in heads if len(h) >= cut]
+        low = REACH * float(np.quantile((weighted(counts_of(pa.array(texts)), idf) @ centres.T).max(axis=1), 0.05)) if texts else out[-1]
+        out.append(min(low, most))
+    return np.array(out)
 
 
 def fit(labelled: DataFrame, text_col="text", lang_col="lang", sample: int = SAMPLE, clusters: int = CLUSTERS) -> Centroids:
@@ -111,19 +125,19 @@ def fit(labelled: DataFrame, text_col="text", lang_col="lang", sample: int = SAM
         for batch in batches:
             for a in range(0, batch.num_rows, 256):
                 c = counts_of(batch.column(1).slice(a, 256)).astype(np.float16)
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, 256), pa.array([row.tobytes() for row in c], pa.binary())], ["lang", "v"])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, 256), pa.array([row.tobytes() for row in c], pa.binary()), pa.array([(t or "")[: CUTS[-1]].encode()[: CUTS[-1]] for t in batch.column(1).slice(a, 256).to_pylist()], pa.binary())], ["lang", "v", "head"])
 
-    by: dict[str, list[bytes]] = {n: [] for n in names}
-    for r in chosen.mapInArrow(vectors, "lang string, v binary").toLocalIterator():
-        by[r.lang].append(bytes(r.v))
+    by: dict[str, list[tuple[bytes, bytes]]] = {n: [] for n in names}
+    for r in chosen.mapInArrow(vectors, "lang string, v binary, head binary").toLocalIterator():
+        by[r.lang].append((bytes(r.v), bytes(r.head)))
     centres, owner, reach = [], [], []
     for k, n in enumerate(names):
-        rows_n = sorted(by[n]) or [np.zeros(WIDTH, np.float16).tobytes()]
-        v = weighted(np.minimum(np.frombuffer(b"".join(rows_n), np.float16).reshape(-1, WIDTH).astype(np.float32), 6e4), idf)
+        rows_n = sorted(by[n]) or [(np.zeros(WIDTH, np.float16).tobytes(), b"")]
+        v = weighted(np.minimum(np.frombuffer(b"".join(r[0] for r in rows_n), np.float16).reshape(-1, WIDTH).astype(np.float32), 6e4), idf)
         c = spherical_clusters(v, clusters)
         centres.append(c)
         owner += [k] * len(c)
-        reach.append(REACH * float(np.quantile((v @ c.T).max(axis=1), 0.01)))
+        reach.append(limits([r[1] for r in rows_n], c, idf, (v @ c.T).max(axis=1)))
     return Centroids(names, np.vstack(centres) if centres else np.zeros((0, WIDTH), np.float32), np.array(owner, np.int64), idf, np.array(reach))
 
 
