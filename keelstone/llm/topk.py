@@ -15,10 +15,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut_lineage
+from .common import cut_lineage, tidied
 
-#: Rows of an annulus, and queries that meet it at once.
-ANNULUS, QUERY_BLOCK = 4096, 1024
+#: Rows of an annulus; queries that are sent to it together, and that meet it at once.
+ANNULUS, QUERY_BLOCK, AT_ONCE = 4096, 8192, 512
 #: Vectors that serve as pivots: a sample by hash of the id.
 PIVOTS = 32
 
@@ -48,16 +48,18 @@ def _matrix(column, width: int) -> np.ndarray:
 
 def _best(query_ids, q, ids, x, k: int, exact: bool) -> list[tuple[int, int, int]]:
     """(query, vec_id, score) of the k best of each query, its own id left out."""
-    score = np.rint(q @ x.T).astype(np.int64) if exact else q.astype(np.int64) @ x.astype(np.int64).T
     order = np.argsort(ids, kind="stable")
-    out = []
-    for row, own in zip(score[:, order], query_ids.tolist(), strict=True):
-        keep = np.flatnonzero(ids[order] != own)
-        if len(keep) > k:
-            s = row[keep]
-            keep = keep[s >= np.partition(s, len(s) - k)[len(s) - k]]
-        best = keep[np.argsort(-row[keep], kind="stable")][:k]
-        out += [(own, int(ids[order][j]), int(row[j])) for j in best.tolist()]
+    ids, x, out = ids[order], x[order], []
+    for a in range(0, len(query_ids), AT_ONCE):
+        some = q[a : a + AT_ONCE]
+        score = np.rint(some @ x.T).astype(np.int64) if exact else some.astype(np.int64) @ x.astype(np.int64).T
+        for row, own in zip(score, query_ids[a : a + AT_ONCE].tolist(), strict=True):
+            keep = np.flatnonzero(ids != own)
+            if len(keep) > k:
+                s = row[keep]
+                keep = keep[s >= np.partition(s, len(s) - k)[len(s) - k]]
+            best = keep[np.argsort(-row[keep], kind="stable")][:k]
+            out += [(own, int(ids[j]), int(row[j])) for j in best.tolist()]
     return out
 
 
@@ -71,6 +73,8 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, id_col="vec_id", vec
 
     Ties go to the smaller id. Vectors that are null or hold a null or non-finite component take no part, nor do null ids; a
     shorter vector is filled with zeros. A row is its own query's if it has its id. With fewer than k candidates all are returned.
+    Several query rows of one id are one query, whose k best are taken from the pairs of all of them; repeated rows are candidates
+    each. An empty table, or one without queries, gives an empty result; other columns are ignored.
     Products are exact while the squared norms stay below 2**53 (doubles), and wrap as 64-bit integers beyond. Nothing is dropped:
     an annulus that the bound doesn't exclude is searched.
     """
@@ -81,7 +85,7 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, id_col="vec_id", vec
             q, norms = _quantised(batch.column(2))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(q, pa.binary()), pa.array(norms)], ["vec_id", "asks", "q", "norm"])
 
-    all_ = cut_lineage(rows.mapInArrow(quantise, "vec_id long, asks boolean, q binary, norm double").where("q is not null"))
+    all_ = cut_lineage(rows.mapInArrow(tidied(quantise), "vec_id long, asks boolean, q binary, norm double").where("q is not null"))
     size = all_.agg(F.count(F.lit(1)), F.max("norm"), F.max(F.octet_length("q")), F.sum(F.col("asks").cast("long"))).first()
     if not size[0]:
         return all_.select(F.col("vec_id").alias("query_id"), F.lit(0).alias("rank"), "vec_id", F.lit(0).cast("long").alias("score"))
@@ -100,37 +104,36 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, id_col="vec_id", vec
             near = d.argmin(axis=1)
             yield pa.RecordBatch.from_arrays([*(batch.column(j) for j in range(4)), pa.array(near.astype(np.int32)), pa.array(d[np.arange(len(d)), near])], [*batch.schema.names, "pivot", "r"])
 
-    keyed = all_.mapInArrow(key, "vec_id long, asks boolean, q binary, norm double, pivot int, r double")
+    keyed = all_.mapInArrow(tidied(key), "vec_id long, asks boolean, q binary, norm double, pivot int, r double")
     index = cut_lineage(keyed.repartitionByRange(max(1, math.ceil(n / annulus)), "pivot", "r", "vec_id").withColumn("part", F.spark_partition_id() * pivots + F.col("pivot")))
 
     def own(table: pa.Table) -> pa.Table:
         asks, x, ids = np.array(table.column("asks")), _matrix(table.column("q"), width), np.array(table.column("vec_id"))
-        mine, found = np.flatnonzero(asks), []
-        for a in range(0, len(mine), QUERY_BLOCK):
-            at = mine[a : a + QUERY_BLOCK]
-            found += _best(ids[at], x[at], ids, x, k, exact)
-        return _rows(found)
+        mine = np.flatnonzero(asks)
+        return _rows(_best(ids[mine], x[mine], ids, x, k, exact))
 
     first = cut_lineage(index.groupBy("part").applyInArrow(own, "query_id long, vec_id long, score long"))
     rings = index.groupBy("part", "pivot").agg(F.min("r").alias("low"), F.max("r").alias("high"))
     kth = first.groupBy("query_id").agg(F.when(F.count(F.lit(1)) >= k, F.min("score")).alias("kth"))
-    queries = index.where("asks").select(F.col("vec_id").alias("query_id"), "q", "norm", F.col("part").alias("own")).join(kth, "query_id", "left")
+    queries = index.where("asks").select(F.col("vec_id").alias("query_id"), "q", F.xxhash64("q").alias("qh"), "norm", F.col("part").alias("own")).join(kth, "query_id", "left")
 
     def reach(batches):
         for batch in batches:
             x, norm = _matrix(batch.column(1), width), np.array(batch.column(2))
-            least = np.array([-np.inf if s is None else float(s) for s in batch.column(4).to_pylist()])
+            least = np.array([-np.inf if s is None else float(s) for s in batch.column(5).to_pylist()])
             d = np.sqrt(np.maximum(norm[:, None] + most - 2 * x @ p.T, 0))
             r = np.sqrt(np.maximum(norm + most - 2 * least + slack, 0))[:, None]
             m = len(p)
             take = pa.array(np.repeat(np.arange(batch.num_rows), m))
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(take), batch.column(3).take(take), pa.array(np.tile(np.arange(m, dtype=np.int32), batch.num_rows)), pa.array((d - r - slack).ravel()), pa.array((d + r + slack).ravel())], ["query_id", "own", "pivot", "least", "most"])
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(take), batch.column(3).take(take), batch.column(4).take(take), pa.array(np.tile(np.arange(m, dtype=np.int32), batch.num_rows)), pa.array((d - r - slack).ravel()), pa.array((d + r + slack).ravel())], ["query_id", "qh", "own", "pivot", "least", "most"])
 
-    wanted = queries.select("query_id", "q", "norm", "own", "kth").mapInArrow(reach, "query_id long, own int, pivot int, least double, most double")
-    pairs = wanted.join(rings, "pivot").where("high >= least and low <= most and part != own").select("query_id", "part")
+    # equal rows of one id ask once here; each of them gets the answer below
+    once = queries.select("query_id", "q", "norm", "qh", "own", "kth").dropDuplicates(["query_id", "qh"])
+    wanted = once.mapInArrow(tidied(reach), "query_id long, qh long, own int, pivot int, least double, most double")
+    pairs = wanted.join(rings, "pivot").where("high >= least and low <= most and part != own").select("query_id", "qh", "part")
     blocks = max(1, math.ceil(asking / QUERY_BLOCK))
     block = F.pmod(F.xxhash64("query_id"), F.lit(blocks))
-    left = pairs.join(queries.select("query_id", "q"), "query_id").withColumn("block", block)
+    left = pairs.join(queries.select("query_id", "qh", "q"), ["query_id", "qh"]).withColumn("block", block)
     met = left.select(F.col("part").alias("met_part"), F.col("block").alias("met_block")).distinct()
     right = index.select("part", "vec_id", "q").join(met, F.col("part") == F.col("met_part")).select("met_part", "met_block", "vec_id", "q")
 
