@@ -10,7 +10,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_binary
+from .common import as_binary, tidied
 
 #: Buckets of hashed features; documents that the scorer is trained on, about.
 WIDTH, SAMPLE = 1 << 12, 3_000
@@ -101,8 +101,9 @@ def score_quality(docs: DataFrame, id_col="doc_id", text_col="text", sample: int
     """Per row: score (0 to 1, higher is better), predicted (1 if score >= threshold), weak_label (posterior of the votes).
 
     The votes of all documents are counted by pattern (3 to the power of the labellers at most) and weighed by EM. The scorer is
-    trained on about `sample` documents chosen by hash of the text, read whole, and their posteriors. Null counts as empty text;
-    an empty table gives an empty result; repeated rows are each reported; other columns are ignored.
+    trained on about `sample` distinct texts chosen by hash, read whole, and their posteriors; of copies one is taken, so their
+    number doesn't matter. Null counts as empty text; an empty table gives an empty result; repeated rows are each reported; other
+    columns are ignored.
     """
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("t"))
     kind = rows.schema["id"].dataType.simpleString()
@@ -111,10 +112,10 @@ def score_quality(docs: DataFrame, id_col="doc_id", text_col="text", sample: int
         for batch in batches:
             yield pa.RecordBatch.from_arrays([pa.array([votes(measures(t.as_py())[0]) for t in as_binary(batch.column(0))], pa.int32())], ["v"])
 
-    counts = {r.v: r.n for r in rows.select("t").mapInArrow(vote, "v int").groupBy("v").agg(F.count(F.lit(1)).alias("n")).collect()}
+    counts = {r.v: r.n for r in rows.select("t").mapInArrow(tidied(vote), "v int").groupBy("v").agg(F.count(F.lit(1)).alias("n")).collect()}
     _, _, posterior = accuracies(counts) if counts else (None, None, {})
-    total = max(1, sum(counts.values()))
-    chosen = rows.select("t").where(F.pmod(F.xxhash64(F.lit(21), "t"), F.lit(1 << 20)) / float(1 << 20) < min(1.0, sample / total))
+    kinds = max(1, rows.agg(F.approx_count_distinct(F.xxhash64("t"), 0.02)).first()[0])
+    chosen = rows.select("t").where(F.pmod(F.xxhash64(F.lit(21), "t"), F.lit(1 << 20)) / float(1 << 20) < min(1.0, sample / kinds)).distinct()
 
     def features(batches):
         for batch in batches:
@@ -122,7 +123,7 @@ def score_quality(docs: DataFrame, id_col="doc_id", text_col="text", sample: int
                 values, n = measures(t.as_py())
                 yield pa.RecordBatch.from_arrays([pa.array([votes(values)], pa.int32()), pa.array([hashed(t.as_py(), n, values).astype(np.float16).tobytes()], pa.binary())], ["v", "x"])
 
-    trained = sorted((bytes(r.x), r.v) for r in chosen.mapInArrow(features, "v int, x binary").toLocalIterator())
+    trained = sorted((bytes(r.x), r.v) for r in chosen.mapInArrow(tidied(features), "v int, x binary").toLocalIterator())
     x = np.frombuffer(b"".join(a for a, _ in trained), np.float16).reshape(len(trained), -1).astype(np.float32) if trained else np.zeros((1, WIDTH + 256 + len(LABELLERS)), np.float32)
     w = _regress(x, np.array([posterior.get(v, 0.5) for _, v in trained] or [0.5]))
     shared = docs.sparkSession.sparkContext.broadcast((w.astype(np.float32), posterior))
@@ -138,4 +139,4 @@ def score_quality(docs: DataFrame, id_col="doc_id", text_col="text", sample: int
                 weak.append(posterior.get(votes(values), 0.5))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.float64()), pa.array([int(s >= threshold) for s in out], pa.int32()), pa.array(weak, pa.float64())], ["id", "score", "predicted", "weak_label"])
 
-    return rows.mapInArrow(run, f"id {kind}, score double, predicted int, weak_label double").withColumnRenamed("id", id_col)
+    return rows.mapInArrow(tidied(run), f"id {kind}, score double, predicted int, weak_label double").withColumnRenamed("id", id_col)
