@@ -10,12 +10,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER, as_binary, id_crc32
+from .common import LOWER, as_binary, id_crc32, tidied
 
 #: Labelled documents that the model is fitted on, at most (about); those whose tokens train the field; tokens of a training sequence.
 SAMPLE, SEQUENCES, STRETCH = 20_000, 3_000, 128
-#: A feature is a sign of toxicity if it is in so many kinds of toxic documents and so much likelier there (log odds).
-LEAST_KINDS, LEAST_ODDS = 8, 3.0
+#: A feature is a sign of toxicity if it is so much likelier in toxic documents (log odds), and that by so many standard errors.
+LEAST_ODDS, LEAST_ERRORS = 3.0, 2.5
+#: Signs that the field weighs, at most: they are broadcast.
 FEATURES = 5_000
 #: ASCII that is neither letter nor digit ends a token.
 SPACED = bytes(LOWER[b] if b >= 0x80 or chr(b).isalnum() else 0x20 for b in range(256))
@@ -147,8 +148,10 @@ def fit(docs: DataFrame, labels: DataFrame, id_col="doc_id", text_col="text", la
 
     Labels are of documents; those of tokens are derived: a feature that is far likelier in toxic documents is a sign, and in a
     toxic document tokens with a sign are toxic. Near copies must not count as evidence again and again, so documents are counted
-    by kind, the least hash of their five-word shingles. An id labelled several times is toxic if any label says so. Without
-    labelled documents of both classes nothing is toxic.
+    by kind, the least hash of their five-word shingles. How many it takes follows from the sample: a sign has to be LEAST_ODDS
+    likelier, by LEAST_ERRORS standard errors; of more than FEATURES signs those in most kinds are used. An id labelled several
+    times is toxic if any label says so. Without labelled documents of both classes, or with so few that no feature is a sign,
+    nothing is toxic and all scores are equal. Null texts teach nothing.
     """
     marked = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("i")).agg(F.max(F.col(label_col).cast("int")).alias("y"))
     sizes = {r.y: r.n for r in marked.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
@@ -170,11 +173,12 @@ def fit(docs: DataFrame, labels: DataFrame, id_col="doc_id", text_col="text", la
                 y = batch.column("y")[k].as_py()
                 yield pa.RecordBatch.from_arrays([pa.array(names, pa.binary()), pa.array(np.full(len(names), y), pa.int32()), pa.array(np.full(len(names), kind, np.int64))], ["f", "y", "kind"])
 
-    kinds = rows.mapInArrow(found, "f binary, y int, kind long").groupBy("f", "kind").agg(F.max("y").alias("y"))
-    counted = kinds.groupBy("f").agg(F.sum("y").alias("p"), F.sum(1 - F.col("y")).alias("n")).where(F.col("p") >= LEAST_KINDS)
+    kinds = rows.mapInArrow(tidied(found), "f binary, y int, kind long").groupBy("f", "kind").agg(F.max("y").alias("y"))
+    counted = kinds.groupBy("f").agg(F.sum("y").alias("p"), F.sum(1 - F.col("y")).alias("n")).where("p >= 2")
     n1, n0 = (max(1.0, sizes[y] * s) for y, s in ((1, toxic), (0, clean)))
     odds = F.log((F.col("p") + 0.5) / (n1 + 1)) - F.log((F.col("n") + 0.5) / (n0 + 1))
-    signs = [bytes(r.f) for r in counted.withColumn("o", odds).where(F.col("o") >= LEAST_ODDS).orderBy(F.desc("p"), "f").limit(FEATURES).collect()]
+    error = F.sqrt(1 / (F.col("p") + 0.5) + 1 / (F.col("n") + 0.5))
+    signs = [bytes(r.f) for r in counted.withColumns({"o": odds, "e": error}).where((F.col("o") >= LEAST_ODDS) & (F.col("o") >= LEAST_ERRORS * F.col("e"))).orderBy(F.desc("p"), "f").limit(FEATURES).collect()]
     if not signs:
         return Field({}, -20.0, 0.0, 0.0, 0.0, (0.0, 0.0, -20.0))
     number = {f: k + 1 for k, f in enumerate(signs)}
@@ -190,7 +194,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col="doc_id", text_col="text", la
 
     pattern_of: dict[str, int] = {"0": 0}
     stretches, documents = [], []
-    for r in part.select("i", "t", "y").mapInArrow(sequence, "y int, s string").toLocalIterator():
+    for r in part.select("i", "t", "y").mapInArrow(tidied(sequence), "y int, s string").toLocalIterator():
         ids = np.array([pattern_of.setdefault(p, len(pattern_of)) for p in r.s.split()], np.int64)
         y = (ids > 0) & (r.y == 1)
         documents.append((r.y, ids))
@@ -248,7 +252,7 @@ def score(docs: DataFrame, field: Field, id_col="doc_id", text_col="text", thres
                 spans.append([{"first": int(a), "last": int(b) - 1} for a, b in zip(edge[::2], edge[1::2], strict=True)])
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores, pa.float64()), pa.array([int(s >= threshold) for s in scores], pa.int32()), pa.array(spans, pa.list_(pa.struct([("first", pa.int32()), ("last", pa.int32())])))], [id_col, "score", "predicted", "spans"])
 
-    return rows.mapInArrow(run, f"`{id_col}` {kind}, score double, predicted int, spans array<struct<first: int, last: int>>")
+    return rows.mapInArrow(tidied(run), f"`{id_col}` {kind}, score double, predicted int, spans array<struct<first: int, last: int>>")
 
 
 def held_out(id_col: str, folds: int = 3, fold: int = 1):
