@@ -232,6 +232,7 @@ def _calibrate(x: np.ndarray, y: np.ndarray, n1: float, n0: float) -> tuple[floa
 def score(docs: DataFrame, field: Field, id_col="doc_id", text_col="text", threshold: float = 0.7, span_at: float = 0.5) -> DataFrame:
     """Per row: score (0 to 1), predicted (score >= threshold) and spans, the first and last offending token of each run by marginals.
 
+    Offending are tokens whose marginal reaches `span_at`; if none of a document predicted toxic does, those of the highest one.
     Token numbers count letter-and-digit runs from 0. Null and empty texts have no tokens and the lowest score. Repeated rows are
     each reported; other columns are ignored.
     """
@@ -248,7 +249,8 @@ def score(docs: DataFrame, field: Field, id_col="doc_id", text_col="text", thres
                 tokens = tokens_of(text.as_py())
                 expected, marginals = excess_toxic(field, memory, list(map(memory.__getitem__, tokens)), span_at)
                 scores.append(field.score(expected, len(tokens)))
-                edge = np.flatnonzero(np.diff(np.concatenate([[0], (np.array(marginals) >= span_at).astype(np.int8), [0]]))) if marginals else np.zeros(0, int)
+                least = span_at if not marginals or scores[-1] < threshold else min(span_at, max(marginals))
+                edge = np.flatnonzero(np.diff(np.concatenate([[0], (np.array(marginals) >= least).astype(np.int8), [0]]))) if marginals else np.zeros(0, int)
                 spans.append([{"first": int(a), "last": int(b) - 1} for a, b in zip(edge[::2], edge[1::2], strict=True)])
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores, pa.float64()), pa.array([int(s >= threshold) for s in scores], pa.int32()), pa.array(spans, pa.list_(pa.struct([("first", pa.int32()), ("last", pa.int32())])))], [id_col, "score", "predicted", "spans"])
 
