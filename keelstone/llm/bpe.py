@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import partitions
+from .common import partitions, tidied
 
 #: Characters of a chunk, and how far it looks into the next one.
 CHUNK, OVERLAP = 32_768, 2_048
@@ -103,7 +103,7 @@ def encode_documents(docs: DataFrame, path: str, pattern: str, id_col="doc_id",
     rows = docs.select(*kept, F.coalesce(F.col(text_col), F.lit("")).alias("__text"))
     head = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.select(*kept).schema)
     result = f"{head}, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids
-    short = rows.where(F.length("__text") <= chunk).mapInArrow(_encode_short(shared, len(kept), with_ids), result)
+    short = rows.where(F.length("__text") <= chunk).mapInArrow(tidied(_encode_short(shared, len(kept), with_ids)), result)
     return short.unionByName(_encode_long(rows.where(F.length("__text") > chunk), shared, kept, result, with_ids, chunk, overlap))
 
 
@@ -152,8 +152,8 @@ def _encode_long(rows: DataFrame, shared, kept: list[str], result: str, with_ids
                 tails.append([e - chunk for e in sure if e >= chunk])
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(heads, pa.list_(pa.int32())), pa.array(tails, pa.list_(pa.int32()))], [*batch.schema.names, "heads", "tails"])
 
-    chunks = keyed.mapInArrow(cut, f"row {row}, a long, b long, k long, last boolean, t string").repartition(partitions(rows.sparkSession), "row", "a", "b", "k")
-    found = chunks.mapInArrow(boundaries, f"row {row}, a long, b long, k long, last boolean, t string, heads array<int>, tails array<int>").dropDuplicates(["row", "a", "b", "k"])
+    chunks = keyed.mapInArrow(tidied(cut), f"row {row}, a long, b long, k long, last boolean, t string").repartition(partitions(rows.sparkSession), "row", "a", "b", "k")
+    found = chunks.mapInArrow(tidied(boundaries), f"row {row}, a long, b long, k long, last boolean, t string, heads array<int>, tails array<int>").dropDuplicates(["row", "a", "b", "k"])
     times = keyed.groupBy("row", "a", "b").agg(F.count(F.lit(1)).alias("times"))
     w = Window.partitionBy("row", "a", "b").orderBy("k")
     met = lambda tails, heads: F.array_min(F.array_intersect(tails, heads))
@@ -168,7 +168,7 @@ def _encode_long(rows: DataFrame, shared, kept: list[str], result: str, with_ids
             yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in ("row", "a", "b", "k", "times")), pa.array(text), pa.array(ids, pa.binary())], ["row", "a", "b", "k", "times", "t", "ids"])
 
     spread = stitched.drop("heads", "tails", "last").join(times, ["row", "a", "b"]).select("row", "a", "b", "k", "times", "t", "first", "stop").repartition(partitions(rows.sparkSession), "row", "a", "b", "k")
-    encoded = spread.mapInArrow(pieces, f"row {row}, a long, b long, k long, times long, t string, ids binary")
+    encoded = spread.mapInArrow(tidied(pieces), f"row {row}, a long, b long, k long, times long, t string, ids binary")
 
     def whole(table: pa.Table) -> pa.Table:
         codec, table = _codec(shared), table.sort_by("k")

@@ -6,6 +6,7 @@ import atexit
 import contextlib
 import ctypes
 import logging
+import re
 import uuid
 
 import numpy as np
@@ -17,8 +18,11 @@ LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvw
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share: the cluster's own if it names one, else one of this machine (tests)."""
-    return spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir() or "/tmp/keelstone-checkpoints"
+    """The folder that driver and executors share: the cluster's own. Only a master on this machine (tests) may do without one."""
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not named and not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        raise RuntimeError("spark.checkpoint.dir has to name a folder that all executors share")
+    return named or "/tmp/keelstone-checkpoints"
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
@@ -32,11 +36,12 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_folder(spark).rstrip('/')}/keelstone/{uuid.uuid4().hex}"
     df.write.parquet(path)
-    atexit.register(_delete, spark, path)
+    atexit.register(remove, spark, path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def _delete(spark: SparkSession, path: str) -> None:
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder of the shared file system, if it is still there."""
     try:
         jvm = spark._jvm
         target = jvm.org.apache.hadoop.fs.Path(path)
@@ -45,6 +50,19 @@ def _delete(spark: SparkSession, path: str) -> None:
         logging.getLogger(__name__).info("left behind: %s", path)
 
 
+def numbered(columns: list[Column], docs: DataFrame) -> DataFrame:
+    """The columns under names c0, c1, ... of our own, so that none can clash."""
+    return docs.select(*[c.alias(f"c{k}") for k, c in enumerate(columns)])
+
+
+def row_digest(docs: DataFrame) -> list[Column]:
+    """128 bits over all columns of a row, nulls told from empty values."""
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    columns = [F.to_json(F.struct(c)) if "map<" in t else c for c, (_, t) in zip(columns, docs.dtypes, strict=True)]
+    absent = F.concat(*[F.when(c.isNull(), F.lit("1")).otherwise(F.lit("0")) for c in columns])
+    return [F.xxhash64(F.lit(seed), absent, *columns) for seed in (31, 32)]
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

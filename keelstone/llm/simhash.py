@@ -8,7 +8,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER, as_binary, cut_lineage
+from .common import LOWER, as_binary, cut_lineage, row_digest, tidied
 from .graph import components
 
 #: Grid points with more fingerprints than this are joined again on the finest grid, where a point has at most 65.
@@ -45,7 +45,7 @@ def fingerprints(docs: DataFrame, id_col="doc_id", text_col="text", shingle: int
             fps = np.fromiter((fingerprint(t.as_py(), shingle) for t in as_binary(batch.column(1))), np.uint64, batch.num_rows)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps.view(np.int64))], ["id", "fp"])
 
-    return rows.mapInArrow(run, f"id {kind}, fp long")
+    return rows.mapInArrow(tidied(run), f"id {kind}, fp long")
 
 
 def _grid_points(fps: DataFrame, segments: int) -> DataFrame:
@@ -69,7 +69,7 @@ def _grid_points(fps: DataFrame, segments: int) -> DataFrame:
                     owners.append(fp[fits])
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(points).view(np.int64)), pa.array(np.concatenate(owners))], ["point", "fp"])
 
-    return fps.select("fp").mapInArrow(run, "point long, fp long")
+    return fps.select("fp").mapInArrow(tidied(run), "point long, fp long")
 
 
 def _neighbours(points: DataFrame) -> DataFrame:
@@ -129,13 +129,27 @@ def near_duplicates(docs: DataFrame, id_col="doc_id", text_col="text", shingle:
     return out.select(F.col("id").alias(id_col), "fp", "component_id")
 
 
+#: Rows to drop whose keys are broadcast, at most (24 bytes each); more are joined by a shuffle.
+SENT_ROWS = 1_000_000
+
+
 def one_of_each(docs: DataFrame, distance: int = 2) -> DataFrame:
     """One row of each component: the one of the smallest id, a null id last, and among equal ids that of the smallest digest.
 
-    So documents without an id stay, one for each component that has no id at all; rows of one id are told apart by the SHA-256
-    of the whole row. Rows that agree in every column are one.
+    So documents without an id stay, one for each component that has no id at all; rows of one id are told apart by a digest of
+    the whole row (128 bits over all columns). Rows that agree in every column are one. Null and empty texts are one component.
+    An empty table gives an empty result; columns of any name are kept as they are.
+
+    What is decided on are ids, digests and fingerprints; texts are read once for these and once more to be written. The keys of
+    the rows that go are broadcast if there are at most SENT_ROWS of them, else joined.
     """
-    keyed = docs.withColumn("__key", F.sha2(F.to_json(F.struct(*docs.columns)), 256))
-    named = keyed.select(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", F.col("__key").alias("key")).alias("row"), "text")
-    keep = near_duplicates(named, id_col="row", distance=distance).where(F.col("row.key") == F.col("component_id.key"))
-    return keyed.join(keep.select(F.col("row.key").alias("__key")), "__key", "left_semi").dropDuplicates(["__key"]).select(*docs.columns)
+    h1, h2 = row_digest(docs)
+    named = docs.select(F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").alias("doc_id"), h1.alias("h1"), h2.alias("h2")).alias("row"), F.col("text").alias("text"))
+    classes = cut_lineage(near_duplicates(named, id_col="row", distance=distance).withColumn("stays", (F.col("row.h1") == F.col("component_id.h1")) & (F.col("row.h2") == F.col("component_id.h2"))))
+    gone = classes.where("not stays").select("row.h1", "row.h2").distinct()
+    again = classes.where("stays").groupBy("row").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("row.h1", "row.h2")
+    marked = cut_lineage(gone.withColumn("repeated", F.lit(False)).unionByName(again.withColumn("repeated", F.lit(True))).toDF("__h1", "__h2", "__repeated"))
+    few = marked.count() <= SENT_ROWS
+    met = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row"), h1.alias("__h1"), h2.alias("__h2")).join(F.broadcast(marked) if few else marked, ["__h1", "__h2"], "left")
+    first = met.where("__repeated").dropDuplicates(["__h1", "__h2"])
+    return met.where("__repeated is null").unionByName(first).select("__row.*")

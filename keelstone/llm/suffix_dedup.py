@@ -482,10 +482,13 @@ def remove_repeats(docs: DataFrame, id_col="doc_id", text_col="text", width: int
 
 
 def without_repeats(docs: DataFrame, width: int = 200) -> DataFrame:
-    """`docs` (doc_id, text, n_chars and whatever else it has) with every repeated string taken out of the texts. No row is dropped: a text may end up empty."""
-    others = tuple(c for c in docs.columns if c not in ("doc_id", "text", "n_chars"))
-    # only rows that lose bytes meet a new text; the others keep their own
-    kept = docs.withColumn("__kept_text", F.col("text"))
-    found = remove_repeats(kept, width=width, carry=(*others, "n_chars", "__kept_text"), with_text=True)
-    lost = F.col("n_removed") > 0
-    return found.withColumn("text", F.when(lost, F.col("cleaned")).otherwise(F.col("__kept_text"))).withColumn("n_chars", F.when(lost, F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(*docs.columns)
+    """`docs` (doc_id, text, n_chars and whatever else it has) with every repeated string taken out of the texts.
+
+    No row is dropped: a text may end up empty, and texts that lose nothing, null ones too, stay as they are with their n_chars.
+    Repeated rows lose alike. An empty table gives an empty result; columns of any name are kept as they are.
+    """
+    packed = docs.select("doc_id", "text", F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row"))
+    found = remove_repeats(packed, width=width, carry=("__row",), with_text=True)
+    lost, own = F.col("n_removed") > 0, lambda c: F.col("__row").getField(c)
+    new = {"text": F.col("cleaned"), "n_chars": F.length("cleaned").cast("long")}
+    return found.select(*[(F.when(lost, new[c]).otherwise(own(c)) if c in new else own(c)).alias(c) for c in docs.columns])
