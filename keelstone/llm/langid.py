@@ -4,16 +4,19 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
-from .common import as_binary, blocks, id_crc32, raw
+from .common import as_binary, blocks, id_crc32, numbered, raw, tidied
 
 #: Buckets of hashed character n-grams.
 WIDTH = 1 << 13
 #: Labelled documents per language that the centroids are fitted on, about.
 SAMPLE = 400
 CLUSTERS = 4
+#: Bytes of a text whose n-grams are counted at once.
+PIECE = 1 << 20
 
 
 def counts_of(texts: pa.Array) -> np.ndarray:
@@ -28,20 +31,25 @@ def counts_of(texts: pa.Array) -> np.ndarray:
     letters = ((x >= 97) & (x <= 122)) | (x >= 128)
     b = np.where(letters, x, 32)[data]
     for k in range(len(texts)):
-        d = b[starts[k] : starts[k + 1]]
-        codes = []
-        for n in (2, 3, 4):
-            if len(d) >= n:
-                c = d[: len(d) - n + 1].copy()
-                for j in range(1, n):
-                    c *= np.uint32(0x01000193)
-                    c += d[j : len(d) - n + 1 + j]
-                codes.append((c * np.uint32(0x9E3779B1)) >> np.uint32(19))
-        if codes:
-            out[k] = np.bincount(np.concatenate(codes), minlength=WIDTH)
+        for a in range(int(starts[k]), int(starts[k + 1]), PIECE):
+            out[k] += _grams(b[a : min(a + PIECE + 3, starts[k + 1])], PIECE)
     return out
 
 
+def _grams(d: np.ndarray, most: int) -> np.ndarray:
+    """Hashed counts of the 2-, 3- and 4-grams that begin in the first `most` bytes."""
+    codes = []
+    for n in (2, 3, 4):
+        m = min(len(d) - n + 1, most)
+        if m > 0:
+            c = d[:m].copy()
+            for j in range(1, n):
+                c *= np.uint32(0x01000193)
+                c += d[j : m + j]
+            codes.append((c * np.uint32(0x9E3779B1)) >> np.uint32(19))
+    return np.bincount(np.concatenate(codes), minlength=WIDTH) if codes else np.zeros(WIDTH, np.int64)
+
+
 def weighted(counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
     """Normalised TF-IDF rows; a row without n-grams stays zero."""
     v = np.log1p(counts) * idf
@@ -95,13 +103,15 @@ def limits(heads: list[bytes], centres: np.ndarray, idf: np.ndarray, whole: np.n
 
 
 def fit(labelled: DataFrame, text_col="text", lang_col="lang", sample: int = SAMPLE, clusters: int = CLUSTERS) -> Centroids:
-    """Document frequencies are counted over all of `labelled`; centroids are fitted on about `sample` documents per language.
+    """Document frequencies are counted over all of `labelled`; centroids are fitted on about `sample` distinct texts per language.
 
-    The sample is chosen by a hash of the text and read whole. Null texts and null languages are left out; without any labelled
-    document every text is answered `und`.
+    The sample is chosen by a hash of the text and read whole; of copies one is taken, so their number doesn't matter. Null texts
+    and null languages are left out; without any labelled document every text is answered `und`. Languages are few: their names,
+    sizes and samples come to the driver.
     """
     rows = labelled.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text")).where("lang is not null and text is not null")
-    sizes = {r.lang: r.n for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
+    found = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.approx_count_distinct(F.xxhash64("text"), 0.02).alias("kinds")).collect()
+    sizes, kinds = {r.lang: r.n for r in found}, {r.lang: r.kinds for r in found}
     names = sorted(sizes)
 
     def frequencies(batches):
@@ -114,11 +124,11 @@ def fit(labelled: DataFrame, text_col="text", lang_col="lang", sample: int = SAM
         yield pa.RecordBatch.from_arrays([pa.array(hit.astype(np.int32)), pa.array(seen[hit])], ["k", "n"])
 
     df = np.zeros(WIDTH)
-    for r in rows.select("text").mapInArrow(frequencies, "k int, n long").groupBy("k").agg(F.sum("n").alias("n")).collect():
+    for r in rows.select("text").mapInArrow(tidied(frequencies), "k int, n long").groupBy("k").agg(F.sum("n").alias("n")).collect():
         df[r.k] = r.n
     total = sum(sizes.values())
     idf = (np.log((1 + total) / (1 + df)) + 1).astype(np.float32)
-    part = F.create_map(*[x for n in names for x in (F.lit(n), F.lit(min(1.0, sample / sizes[n])))]) if names else F.lit(None)
+    part = F.create_map(*[x for n in names for x in (F.lit(n), F.lit(min(1.0, sample / max(1, kinds[n]))))]) if names else F.lit(None)
     chosen = rows.where((F.pmod(F.xxhash64(F.lit(3), "text"), F.lit(1 << 20)) / float(1 << 20)) < part[F.col("lang")]) if names else rows
 
     def vectors(batches):
@@ -128,7 +138,7 @@ def fit(labelled: DataFrame, text_col="text", lang_col="lang", sample: int = SAM
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, 256), pa.array([row.tobytes() for row in c], pa.binary()), pa.array([(t or "")[: CUTS[-1]].encode()[: CUTS[-1]] for t in batch.column(1).slice(a, 256).to_pylist()], pa.binary())], ["lang", "v", "head"])
 
     by: dict[str, list[tuple[bytes, bytes]]] = {n: [] for n in names}
-    for r in chosen.mapInArrow(vectors, "lang string, v binary, head binary").toLocalIterator():
+    for r in chosen.distinct().mapInArrow(tidied(vectors), "lang string, v binary, head binary").toLocalIterator():
         by[r.lang].append((bytes(r.v), bytes(r.head)))
     centres, owner, reach = [], [], []
     for k, n in enumerate(names):
@@ -141,27 +151,40 @@ def fit(labelled: DataFrame, text_col="text", lang_col="lang", sample: int = SAM
     return Centroids(names, np.vstack(centres) if centres else np.zeros((0, WIDTH), np.float32), np.array(owner, np.int64), idf, np.array(reach))
 
 
-def identify(docs: DataFrame, model: Centroids, id_col="doc_id", text_col="text", carry: tuple[str, ...] = ()) -> DataFrame:
-    """Per row: lang_pred, score (cosine to the nearest centroid), rejected (no letter, or beyond the language's reach).
+def _answers(shared, at: int):
+    """For each batch its slices of bounded size, whose column `at` holds texts and the next one whether they have a letter, with (languages, scores, rejected)."""
+
+    def of(batch):
+        starts = raw(batch.column(at))[1]
+        for a, b in ((i, min(i + 256, y)) for x, y in blocks(starts, 16 << 20) for i in range(x, y, 256)):
+            part = batch.slice(a, b - a)
+            names, score, far = shared.value.nearest(part.column(at).fill_null(""))
+            some = np.array(part.column(at + 1).to_pylist(), bool)
+            yield part, [n if s else "und" for n, s in zip(names, some, strict=True)], np.where(some, score, 0.0), ~some | far
+
+    return of
+
+
+def _letters(text: Column) -> Column:
+    return F.coalesce(text.rlike(r"\p{L}"), F.lit(False))
+
 
-    `und` with score 0 where the text is null or has no letter. Repeated rows are each reported; other columns are ignored.
+def identify(docs: DataFrame, model: Centroids, id_col="doc_id", text_col="text") -> DataFrame:
+    """Per row: the id, lang_pred, score (cosine to the nearest centroid), rejected (no letter, or beyond the language's reach).
+
+    `und` with score 0 where the text is null or has no letter. Repeated rows are each reported; an empty table gives an empty
+    result; other columns are ignored.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)  # WIDTH floats a centroid
-    kept = [id_col, *carry]
-    rows = docs.select(*kept, F.col(text_col).alias("__text"), F.coalesce(F.col(text_col).rlike(r"\p{L}"), F.lit(False)).alias("__letters"))
-    head = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.select(*kept).schema)
+    rows = numbered([F.col(id_col), F.col(text_col), _letters(F.col(text_col))], docs)
+    answers = _answers(shared, 1)
 
     def run(batches):
-        model = shared.value
         for batch in batches:
-            starts = raw(batch.column(len(kept)))[1]
-            for a, b in ((i, min(i + 256, y)) for x, y in blocks(starts, 16 << 20) for i in range(x, y, 256)):
-                part = batch.slice(a, b - a)
-                names, score, far = model.nearest(part.column(len(kept)).fill_null(""))
-                some = np.array(part.column(len(kept) + 1).to_pylist(), bool)
-                yield pa.RecordBatch.from_arrays([*(part.column(k) for k in range(len(kept))), pa.array([n if s else "und" for n, s in zip(names, some, strict=True)]), pa.array(np.where(some, score, 0.0)), pa.array(~some | far)], [*kept, "lang_pred", "score", "rejected"])
+            for part, names, score, far in answers(batch):
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(names, pa.string()), pa.array(score), pa.array(far)], ["c0", "lang_pred", "score", "rejected"])
 
-    return rows.mapInArrow(run, f"{head}, lang_pred string, score double, rejected boolean")
+    return rows.mapInArrow(tidied(run), f"c0 {rows.schema[0].dataType.simpleString()}, lang_pred string, score double, rejected boolean").withColumnRenamed("c0", id_col)
 
 
 def held_out(id_col: str, folds: int, fold: int):
@@ -169,8 +192,23 @@ def held_out(id_col: str, folds: int, fold: int):
 
 
 def keep_identified(docs: DataFrame) -> DataFrame:
-    """The documents whose language is recognised, their `lang` set to it."""
-    model = fit(docs.where(~held_out("doc_id", 4, 2)))
-    others = tuple(c for c in docs.columns if c not in ("doc_id", "lang", "text"))
-    found = identify(docs.withColumn("__kept_text", F.col("text")), model, carry=(*others, "__kept_text"))
-    return found.where("not rejected").withColumn("lang", F.col("lang_pred")).withColumn("text", F.col("__kept_text")).select(*docs.columns)
+    """The documents whose language is recognised, their `lang` set to it; all other columns, of any name, as they are.
+
+    The centroids learn from the rows that aren't held out. Rows of null or letterless text go, and with no labelled row all do;
+    repeated rows each stay or go. An empty table gives an empty result.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(fit(docs.where(~held_out("doc_id", 4, 2))))
+    text, lang = docs.columns.index("text"), docs.columns.index("lang")
+    others = [k for k in range(len(docs.columns)) if k not in (text, lang)]
+    rows = numbered([*[F.col(f"`{docs.columns[k]}`") for k in others], F.col("text"), _letters(F.col("text"))], docs)
+    answers = _answers(shared, len(others))
+    schema = StructType([*rows.schema[: len(others) + 1], StructField("lang", StringType())])
+
+    def run(batches):
+        for batch in batches:
+            for part, names, _, far in answers(batch):
+                kept = pa.array(np.flatnonzero(~far))
+                yield pa.RecordBatch.from_arrays([*(part.column(k).take(kept) for k in range(len(others) + 1)), pa.array(names, pa.string()).take(kept)], schema.names)
+
+    place = {**{k: f"c{j}" for j, k in enumerate(others)}, text: f"c{len(others)}", lang: "lang"}
+    return rows.mapInArrow(tidied(run), schema).select(*[F.col(place[k]).alias(c) for k, c in enumerate(docs.columns)])
