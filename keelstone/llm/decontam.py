@@ -8,8 +8,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, LongType, StringType, StructField, StructType
 
-from .common import LOWER, as_batch, as_binary
+from .common import LOWER, as_binary, cut_lineage, numbered, tidied
 
 #: Every ASCII byte that belongs to no word becomes a space; A-Z become a-z; other bytes stay.
 WORDS = bytes(LOWER[b] if b >= 0x80 or 0x30 <= b <= 0x39 or 0x61 <= LOWER[b] <= 0x7A else 0x20 for b in range(256))
@@ -21,45 +22,71 @@ def words_of(text: bytes) -> list[bytes]:
 
 
 class NgramSet:
-    """Hash set of the word windows of all test items. Windows are equal only if their words are: a hit of the hash is verified."""
+    """Hash set of the word windows of all test items. Windows are equal only if their words are: a hit of the hash is verified.
+
+    Kept are the words of all items as numbers in one array and, for each length of window, the sorted hashes and where the windows
+    start: 16 bytes a window, besides the vocabulary.
+    """
 
     def __init__(self, items: list[tuple[str | None, bytes]], n: int):
         self.vocabulary: dict[bytes, int] = {}
-        self.windows: dict[tuple[bytes, ...], set[str]] = {}
-        for item_id, text in items:
+        self.names = [item_id for item_id, _ in items]
+        numbers, sizes = [], []
+        for _, text in items:
             words = words_of(text)
-            for w in words:
-                self.vocabulary.setdefault(w, len(self.vocabulary) + 1)
-            for i in range(max(1, len(words) - n + 1) if words else 0):
-                self.windows.setdefault(tuple(words[i : i + n]), set()).update([] if item_id is None else [item_id])
-        self.hashes: dict[int, np.ndarray] = {}
-        for length in {len(w) for w in self.windows}:
-            ids = np.array([[self.vocabulary[x] for x in w] for w in self.windows if len(w) == length], np.uint64)
-            self.hashes[length] = np.unique(sum(ids[:, j] * self.factor(j) for j in range(length)))
+            numbers.append(np.fromiter((self.vocabulary.setdefault(w, len(self.vocabulary) + 1) for w in words), np.int32, len(words)))
+            sizes.append(len(words))
+        self.words = np.concatenate([*numbers, np.zeros(0, np.int32)])
+        self.stops = np.cumsum(sizes)
+        starts: dict[int, list[np.ndarray]] = {}
+        for stop, size in zip(self.stops.tolist(), sizes, strict=True):
+            if size:
+                starts.setdefault(min(n, size), []).append(np.arange(stop - size, stop - min(n, size) + 1))
+        self.windows: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        for length, parts in starts.items():
+            at = np.concatenate(parts).astype(np.int32)
+            h = self.hashed(self.words.astype(np.uint64), at.astype(np.int64), length)
+            order = np.argsort(h, kind="stable")
+            self.windows[length] = h[order], at[order]
+        self.met: dict[tuple[int, int], dict[bytes, frozenset[str]]] = {}
 
     @staticmethod
-    def factor(j: int) -> np.uint64:
-        return np.uint64(pow(int(MIX), j + 1, 1 << 64))
+    def hashed(ids: np.ndarray, at: np.ndarray, length: int) -> np.ndarray:
+        h = np.zeros(len(at), np.uint64)
+        for j in range(length):
+            h += ids[at + j] * np.uint64(pow(int(MIX), j + 1, 1 << 64))
+        return h
+
+    def _items(self, length: int, low: int, high: int) -> dict[bytes, frozenset[str]]:
+        """Of the windows low to high, which share a hash: their words, and the items that have them."""
+        if (length, low) not in self.met:
+            by: dict[bytes, set[str]] = {}
+            for start in self.windows[length][1][low:high].tolist():
+                name = self.names[int(np.searchsorted(self.stops, start, "right"))]
+                by.setdefault(self.words[start : start + length].tobytes(), set()).update([] if name is None else [name])
+            if len(self.met) > 100_000:
+                self.met.clear()
+            self.met[length, low] = {k: frozenset(v) for k, v in by.items()}
+        return self.met[length, low]
 
     def hits(self, words: list[bytes]) -> tuple[np.ndarray, set[str]]:
         """Which words lie inside an occurring window, and the items that have one."""
         hit, items = np.zeros(len(words), bool), set()
         get = self.vocabulary.get
-        ids = np.fromiter((get(w, 0) for w in words), np.uint64, len(words))
-        for length, hashes in self.hashes.items():
+        ids = np.fromiter((get(w, 0) for w in words), np.int32, len(words))
+        foreign, wide = np.concatenate([[0], np.cumsum(ids == 0)]), ids.astype(np.uint64)
+        for length, (hashes, _) in self.windows.items():
             m = len(words) - length + 1
             if m <= 0:
                 continue
-            foreign = np.concatenate([[0], np.cumsum(ids == 0)])
             at = np.flatnonzero(foreign[length:] == foreign[:m])  # windows of known words only
             if not len(at):
                 continue
-            h = np.zeros(len(at), np.uint64)
-            for j in range(length):
-                h += ids[at + j] * self.factor(j)
-            slot = np.minimum(np.searchsorted(hashes, h), len(hashes) - 1)
-            for i in at[hashes[slot] == h].tolist():
-                found = self.windows.get(tuple(words[i : i + length]))
+            h = self.hashed(wide, at, length)
+            low, high = np.searchsorted(hashes, h, "left"), np.searchsorted(hashes, h, "right")
+            for k in np.flatnonzero(high > low).tolist():
+                i = int(at[k])
+                found = self._items(length, int(low[k]), int(high[k])).get(ids[i : i + length].tobytes())
                 if found is not None:
                     hit[i : i + length] = True
                     items |= found
@@ -83,90 +110,118 @@ def spans_removed(text: bytes, words: list[bytes], hit: np.ndarray) -> bytes:
     return b"\n".join([*kept, text[last:]])
 
 
-#: A test set up to this size is sent to every executor; a larger one is scanned in parts of this size.
-BROADCAST_BYTES = 32 << 20
+#: Bytes of test items whose set is sent to every executor at once; more are scanned in parts of this size, one after another.
+#: A set takes some 3 bytes for each byte of text and 100 to 150 for each distinct word: 180 MB at the worst, if none occurs twice.
+BROADCAST_BYTES = 8 << 20
 
 
-def contamination(docs: DataFrame, items: DataFrame, id_col="doc_id", text_col="text", item_id_col="item_id", item_text_col="text", n: int = 10, carry: tuple[str, ...] = (), cleaned: bool = False) -> DataFrame:
-    """Per document row: n_words, n_hit, n_items, items_sha256, contaminated (and with `cleaned` the text without the hit spans).
+def contamination(docs: DataFrame, items: DataFrame, id_col="doc_id", text_col="text", item_id_col="item_id", item_text_col="text", n: int = 10) -> DataFrame:
+    """Per document row: n_words, n_hit, n_items, items_sha256, contaminated.
 
     Words are maximal runs of digits, a-z (after lower-casing A-Z) and non-ASCII bytes. A window is n consecutive words of an
     item, or all of them if it has fewer. The items are collected only after their total size has been checked; beyond
-    BROADCAST_BYTES the set is split into parts by hash of the item, each part is scanned in turn and a document's parts are put
-    together by row (see `_in_parts`). Null texts have no words; items with null ids still hit but are not listed; repeated rows
-    are each reported; an empty test set contaminates nothing; other columns are ignored unless named in `carry`.
+    BROADCAST_BYTES they are dealt into parts by hash, and each part is scanned in turn (see `_in_parts`). Null texts have no
+    words; items with null ids still hit but are not listed; repeated rows are each reported; an empty test set contaminates
+    nothing; an empty table gives an empty result; other columns are ignored.
+    """
+    return _found(docs, [id_col], text_col, items, item_id_col, item_text_col, n, False)
+
+
+def decontaminate(docs: DataFrame, items: DataFrame, n: int = 10) -> DataFrame:
+    """`docs` (doc_id, text, n_chars and whatever else it has) with every span of benchmark words taken out of the text.
+
+    Documents without a hit stay as they are, null and empty texts among them; no row goes. Columns of any name are kept. An empty
+    table gives an empty result.
     """
-    items = items.select(F.col(item_id_col).cast("string").alias("i"), F.col(item_text_col).alias("t"))
+    others = [c for c in docs.columns if c != "text"]
+    made = _found(docs, others, "text", items, "item_id", "text", n, True).toDF(*[f"c{k}" for k in range(len(others) + 2)])
+    place = {c: F.col(f"c{k}") for k, c in enumerate(others)} | {"text": F.col(f"c{len(others)}")}
+    if "n_chars" in place:
+        place["n_chars"] = F.when(F.col(f"c{len(others) + 1}"), F.length(place["text"]).cast("long")).otherwise(place["n_chars"])
+    return made.select(*[place[c].alias(c) for c in docs.columns])
+
+
+def _found(docs: DataFrame, kept: list[str], text_col: str, items: DataFrame, item_id_col: str, item_text_col: str, n: int, cleaned: bool) -> DataFrame:
+    """The columns `kept` with the figures, or with the cleaned text and whether it was contaminated."""
+    items = items.select(F.col(item_id_col).cast("string").alias("i"), F.col(item_text_col).alias("t")).where("t is not null")
     size = items.agg(F.coalesce(F.sum(F.octet_length("t") + 64), F.lit(0))).first()[0]
-    parts = 1 + size // BROADCAST_BYTES
-    if parts > 1:
-        return _in_parts(docs, items, parts, id_col, text_col, n, carry, cleaned)
-    return _scan(docs, _collected(items), id_col, text_col, n, carry, cleaned)
+    rows = numbered([*[F.col(f"`{c}`") for c in kept], F.col(f"`{text_col}`")], docs)
+    if size <= BROADCAST_BYTES:
+        return _scan(rows, items, n, cleaned)[0].toDF(*kept, *FIGURES[cleaned])
+    return _in_parts(rows, items, 1 + size // BROADCAST_BYTES, n, cleaned).toDF(*kept, *FIGURES[cleaned])
+
+
+FIGURES = {False: ["n_words", "n_hit", "n_items", "items_sha256", "contaminated"], True: ["text", "contaminated"]}
+
 
+def _figures(words: list[bytes], hit: np.ndarray, items) -> tuple[int, int, int, str, bool]:
+    return len(words), int(hit.sum()), len(items), hashlib.sha256(",".join(sorted(items)).encode()).hexdigest(), bool(hit.any())
 
-def _collected(items: DataFrame) -> list[tuple[str | None, bytes]]:
-    return [(r.i, r.t.encode()) for r in items.collect() if r.t is not None]
 
+def _schema(rows: DataFrame, cleaned: bool) -> StructType:
+    types = [StringType(), BooleanType()] if cleaned else [LongType(), LongType(), LongType(), StringType(), BooleanType()]
+    return StructType([*rows.schema[:-1], *[StructField(f"f{k}", t) for k, t in enumerate(types)]])
 
-def _scan(docs, items, id_col, text_col, n, carry, cleaned, listed: bool = False) -> DataFrame:
-    spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(NgramSet(items, n))
-    kept = [id_col, *carry]
-    out = docs.select(*kept, F.col(text_col).alias("__text"))
-    ddl = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in out.select(*kept).schema), "n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean"]) + ", cleaned string" * cleaned + ", hit_words array<int>, item_list array<string>" * listed
+
+def _batch(own: list[pa.Array], schema: StructType, texts: list, made: list[tuple], cleaned: bool) -> pa.RecordBatch:
+    """made: words, which are hit, and items of each text."""
+    if cleaned:
+        out = [pa.array([t if t is None or not h.any() else spans_removed(t, w, h) for t, (w, h, _) in zip(texts, made, strict=True)], pa.binary()).cast(pa.string()), pa.array([bool(h.any()) for _, h, _ in made], pa.bool_())]
+    else:
+        figures = [_figures(*m) for m in made]
+        out = [pa.array([f[k] for f in figures], t) for k, t in enumerate((pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.bool_()))]
+    return pa.RecordBatch.from_arrays([*own, *out], schema.names)
+
+
+def _texts(column) -> list[bytes | None]:
+    return [None if x is None else bytes(x) for x in column.cast(pa.binary()).to_pylist()]
+
+
+def _scan(rows: DataFrame, items: DataFrame, n: int, cleaned: bool) -> tuple[DataFrame, object]:
+    """`rows` (the text last) looked up in the whole set, and the broadcast."""
+    shared = rows.sparkSession.sparkContext.broadcast(NgramSet([(r.i, r.t.encode()) for r in items.collect()], n))
+    schema, width = _schema(rows, cleaned), len(rows.columns) - 1
 
     def run(batches):
         grams = shared.value
         for batch in batches:
-            rows, cleans, lists = [], [], []
-            for text in as_binary(batch.column("__text")):
-                text = text.as_py()
-                words = words_of(text)
-                hit, items = grams.hits(words)
-                rows.append((len(words), int(hit.sum()), len(items), hashlib.sha256(",".join(sorted(items)).encode()).hexdigest()))
-                if cleaned:
-                    cleans.append(spans_removed(text, words, hit).decode())
-                if listed:
-                    lists.append((np.flatnonzero(hit).tolist(), sorted(items)))
-            a, b, c, d = zip(*rows, strict=True) if rows else ((),) * 4
-            more = [pa.array(cleans, pa.string())] if cleaned else []
-            more += [pa.array([x[0] for x in lists], pa.list_(pa.int32())), pa.array([x[1] for x in lists], pa.list_(pa.string()))] if listed else []
-            names = [*kept, "n_words", "n_hit", "n_items", "items_sha256", "contaminated", *["cleaned"] * cleaned, *["hit_words", "item_list"] * listed]
-            yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in range(len(kept))), pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(c, pa.int64()), pa.array(d, pa.string()), pa.array([x > 0 for x in b], pa.bool_()), *more], names)
-
-    return out.mapInArrow(run, ddl)
-
-
-def _in_parts(docs, items, parts, id_col, text_col, n, carry, cleaned) -> DataFrame:
-    """A test set too large to send whole: scan with one part of it at a time, chaining what has been hit along the row."""
-    state = docs.select(id_col, *carry, F.col(text_col).alias("__whole"), F.array().cast("array<int>").alias("__hit"), F.array().cast("array<string>").alias("__items"))
-    kept = [id_col, *carry, "__whole", "__hit", "__items"]
-    for p in range(parts):
-        mine = items.where(F.pmod(F.xxhash64("i", "t"), F.lit(parts)) == p)
-        found = _scan(state, _collected(mine), id_col, "__whole", n, tuple(kept[1:]), False, listed=True)
-        state = found.select(id_col, *carry, "__whole", F.array_union("__hit", "hit_words").alias("__hit"), F.array_union("__items", "item_list").alias("__items"), "n_words")
-    ddl = "struct<sha: string, cleaned: string>"
+            texts = _texts(batch.column(width))
+            made = [(w, *grams.hits(w)) for w in (words_of(t or b"") for t in texts)]
+            yield _batch([batch.column(k) for k in range(width)], schema, texts, made, cleaned)
 
-    @F.pandas_udf(ddl)
-    def digest(text, hit, items):
-        import pandas as pd
+    return rows.mapInArrow(tidied(run), schema), shared
 
-        rows = []
-        for t, h, i in zip(text, hit, items, strict=True):
-            raw = (t or "").encode()
-            words = words_of(raw)
-            mask = np.zeros(len(words), bool)
-            mask[np.asarray(h, np.int64)] = True
-            rows.append((hashlib.sha256(",".join(sorted(i)).encode()).hexdigest(), spans_removed(raw, words, mask).decode() if cleaned else None))
-        return pd.DataFrame(rows, columns=["sha", "cleaned"])
 
-    made = state.withColumn("__d", digest("__whole", "__hit", "__items"))
-    return made.select(id_col, *carry, F.col("n_words"), F.size("__hit").cast("long").alias("n_hit"), F.size("__items").cast("long").alias("n_items"), F.col("__d.sha").alias("items_sha256"), (F.size("__hit") > 0).alias("contaminated"), *[F.col("__d.cleaned").alias("cleaned")] * cleaned)
-
-
-def decontaminate(docs: DataFrame, items: DataFrame, n: int = 10) -> DataFrame:
-    """`docs` (doc_id, text, n_chars and whatever else it has) with every span of benchmark words taken out of the text. Documents without a hit stay as they are."""
-    others = tuple(c for c in docs.columns if c not in ("doc_id", "text", "n_chars"))
-    found = contamination(docs.withColumn("__kept_text", F.col("text")), items, n=n, carry=(*others, "__kept_text", "n_chars"), cleaned=True)
-    text = F.when(F.col("contaminated"), F.col("cleaned")).otherwise(F.col("__kept_text"))
-    return found.withColumn("text", text).withColumn("n_chars", F.when(F.col("contaminated"), F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(*docs.columns)
+def _in_parts(rows: DataFrame, items: DataFrame, parts: int, n: int, cleaned: bool) -> DataFrame:
+    """A test set too large to send whole: one part of it after another. What has been hit goes along with the row, and each part's rows are written to the shared folder, so that one set at a time is in memory."""
+    width = len(rows.columns) - 1
+    state = rows.withColumns({"hit": F.array().cast("array<int>"), "items": F.array().cast("array<string>")})
+    names = state.columns
+    for p in range(parts):
+        shared = rows.sparkSession.sparkContext.broadcast(NgramSet([(r.i, r.t.encode()) for r in items.where(F.pmod(F.xxhash64(F.lit(5), "i", "t"), F.lit(parts)) == p).collect()], n))
+
+        def run(batches, shared=shared):
+            grams = shared.value
+            for batch in batches:
+                hits, lists = [], []
+                for t, h, i in zip(_texts(batch.column(width)), batch.column(width + 1).to_pylist(), batch.column(width + 2).to_pylist(), strict=True):
+                    hit, items = grams.hits(words_of(t or b""))
+                    hits.append(sorted({*h, *np.flatnonzero(hit).tolist()}))
+                    lists.append(sorted({*i, *items}))
+                yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in range(width + 1)), pa.array(hits, pa.list_(pa.int32())), pa.array(lists, pa.list_(pa.string()))], names)
+
+        state = cut_lineage(state.mapInArrow(tidied(run), state.schema))
+        shared.unpersist()
+    schema = _schema(rows, cleaned)
+
+    def figures(batches):
+        for batch in batches:
+            texts, made = _texts(batch.column(width)), []
+            for t, h, i in zip(texts, batch.column(width + 1).to_pylist(), batch.column(width + 2).to_pylist(), strict=True):
+                words = words_of(t or b"")
+                hit = np.zeros(len(words), bool)
+                hit[np.array(h, np.int64)] = True
+                made.append((words, hit, i))
+            yield _batch([batch.column(k) for k in range(width)], schema, texts, made, cleaned)
+
+    return state.mapInArrow(tidied(figures), schema)
