@@ -57,7 +57,7 @@ def test_suffix_dedup(docs, rows, crowd, monkeypatch):
 
 
 def test_suffix_dedup_of_large_groups(monkeypatch):
-    """Groups beyond memory are matched over a spool file, with the same result."""
+    """Groups beyond a task's portion are matched in parts, with the same result."""
     rng = np.random.default_rng(1)
     common = rng.integers(97, 123, 300, dtype=np.uint8).tobytes()
     segments = [rng.integers(97, 123, 150, dtype=np.uint8).tobytes() + common[: 230 + k] + rng.integers(97, 123, 100, dtype=np.uint8).tobytes() for k in range(40)]
@@ -135,6 +135,40 @@ def test_toxicity(spark, docs):
     assert toxicity.score(empty(docs), none).count() == 0
 
 
+def test_toxic_documents_are_found_and_clean_ones_left_alone(spark):
+    folder = "/root/testdata/sf0.1"
+    got = queries.op2_toxicity(spark, folder).where("held_out").join(spark.read.parquet(f"{folder}/labels.parquet"), "doc_id").groupBy("toxic", "predicted").count().collect()
+    n = {(r.toxic, r.predicted): r["count"] for r in got}
+    recall, wrong = n[1, 1] / (n[1, 1] + n.get((1, 0), 0)), n.get((0, 1), 0) / (n.get((0, 1), 0) + n[0, 0])
+    print("recall", recall, "clean documents marked", wrong)
+    assert recall >= 0.9 and wrong <= 0.01
+
+
+def test_scores_of_whole_documents_by_force(spark):
+    """Scores and spans from the sum over all labellings of a text; null, empty and repeated rows."""
+    field = toxicity.Field({b"wbad": 4.0, b"3hor": 3.0, b"suble": 1.0}, -2.0, -1.0, -0.5, 0.9, (1.2, 2.0, -3.0))
+    texts = [None, "", " \n", "so bad it was", "bad horrible, BAD!", "a b c d e f g", "horror trouble trouble", "bad", "bad"]
+    rows = toxicity.score(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").withColumn("score", F.lit("clash")), field).collect()
+
+    def marginals(e):
+        odds, total = np.zeros(len(e)), 0.0
+        for path in np.ndindex(*[2] * len(e)):
+            z = np.exp(sum(x for x, s in zip(e, path) if s) + sum({(0, 1): -1.0, (1, 0): -0.5, (1, 1): 0.9, (0, 0): 0.0}[p] for p in zip(path, path[1:])))
+            odds, total = odds + z * np.array(path), total + z
+        return odds / total
+
+    for r in rows:
+        words = "".join(c.lower() if c.isalnum() else " " for c in texts[r.doc_id] or "").split()
+        e = [-2.0 + 4.0 * (w == "bad") + 3.0 * w.startswith("hor") * (len(w) > 3) + 1.0 * w.endswith("uble") for w in words]
+        m = marginals(e) if e else np.zeros(0)
+        excess = max(0.0, m.sum() - marginals([-2.0] * len(e)).sum()) if e else 0.0
+        z = 1.2 * np.log1p(excess) + 2.0 * np.log1p(1000 * excess / max(1, len(e))) - 3.0
+        assert np.isclose(r.score, 1 / (1 + np.exp(-z))) and r.predicted == int(r.score >= 0.7)
+        least = min(0.5, m.max()) - 1e-12 if len(m) and r.predicted else 0.5
+        assert {k for s in r.spans for k in range(s["first"], s["last"] + 1)} == set(np.flatnonzero(m >= least).tolist())
+    assert rows[0].score == rows[1].score == min(r.score for r in rows) and rows[7].score == rows[8].score
+
+
 def test_marginals_are_exact():
     field = toxicity.Field({}, 0.0, 0.3, -0.7, 1.1)
     e = [0.5, -1.0, 2.0, 0.1]
@@ -188,6 +222,16 @@ def best_by_force(vectors, ask, k):
     return Counter(out)
 
 
+def pooled_by_force(rows, k):
+    """As the query's SQL has it: pairs of all rows of a query id, ranked together."""
+    q = [(i, np.floor(256 * np.array(v, np.float64)).astype(int)) for i, v in rows if v is not None and all(x is not None and np.isfinite(x) for x in v)]
+    pairs = defaultdict(list)
+    for i, v in q:
+        if i % 50 == 0:
+            pairs[i] += [(-int(sum(a * b for a, b in zip(v, w))), j) for j, w in q if j != i]
+    return Counter((i, r + 1, j, -s) for i, found in pairs.items() for r, (s, j) in enumerate(sorted(found)[:k]))
+
+
 def test_topk(spark):
     rng = np.random.default_rng(3)
     vectors = [(i, rng.normal(size=6).tolist()) for i in range(400)] + [(i, [0.5] * 6) for i in range(400, 600)]
@@ -195,6 +239,9 @@ def test_topk(spark):
     df = spark.createDataFrame(vectors, "vec_id long, embedding array<double>").withColumn("part", F.lit("clash"))
     got = topk.top_k(df, F.col("vec_id") % 50 == 0, pivots=8, annulus=40)
     assert Counter(tuple(r) for r in got.collect()) == best_by_force(vectors, lambda i: i % 50 == 0, 5)
+    again = df.unionByName(spark.createDataFrame([(0, rng.normal(size=6).tolist(), "x"), (0, vectors[0][1], "x"), (7, vectors[7][1], "x")], df.schema))  # a query id of three rows, two of them equal
+    rows = [(i, v) for i, v, _ in again.collect()]
+    assert Counter(tuple(r) for r in topk.top_k(again, F.col("vec_id") % 50 == 0, pivots=8, annulus=40).select("query_id", "rank", "vec_id", "score").collect()) == pooled_by_force(rows, 5)
     few = topk.top_k(df.where("vec_id < 3"), F.col("vec_id") == 0)
     assert few.count() == 2
     assert topk.top_k(df.limit(0), F.lit(True)).count() == 0
@@ -230,6 +277,8 @@ def test_decontamination(spark, docs, rows, parts, monkeypatch):
     items = spark.createDataFrame(own, "item_id long, text string")
     got = Counter(tuple(r) for r in decontam.contamination(docs, items).collect())
     assert got == windows_by_force(rows, own)
+    clash = docs.withColumn("n_hit", F.lit("x")).withColumn("contaminated", F.lit(3))
+    assert decontam.decontaminate(clash, items).dtypes == clash.dtypes and decontam.decontaminate(clash, items).count() == len(rows)
     assert not decontam.contamination(docs, items.limit(0)).where("contaminated").count()
     assert decontam.contamination(empty(docs), items).count() == 0
 
@@ -308,6 +357,30 @@ def test_links_of_crowded_points(spark, monkeypatch):
         assert got == [fps[c] for c in classes_by_force(fps)]
 
 
+def test_copies_do_not_flood_a_sample(spark, monkeypatch):
+    """One text many times over: what comes to the driver is a row of it, not all."""
+    docs = spark.range(20_000).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 5 != 0, F.lit("the same text again and again")).otherwise(F.concat(F.lit("text number "), F.col("id"))).alias("text"), F.lit("en").alias("lang"))
+    seen = []
+    own = langid.spherical_clusters
+    monkeypatch.setattr(langid, "spherical_clusters", lambda v, k: seen.append(len(v)) or own(v, k))
+    regress = quality._regress
+    monkeypatch.setattr(quality, "_regress", lambda x, y: seen.append(len(x)) or regress(x, y))
+    langid.fit(docs)
+    assert quality.score_quality(docs, sample=400).count() == 20_000
+    assert len(seen) == 2 and all(200 <= n <= 650 for n in seen), seen
+
+
+def test_a_test_set_of_many_distinct_words_stays_small():
+    import pickle
+
+    words = [f"w{k:06d}x" for k in range(120_000)]
+    items = [(str(k), " ".join(words[k : k + 50]).encode()) for k in range(0, 120_000, 50)]
+    grams = decontam.NgramSet(items, 10)
+    assert len(pickle.dumps(grams)) < 8 * sum(len(t) for _, t in items)
+    hit, found = grams.hits(decontam.words_of(b"before " + items[7][1] + b" after"))
+    assert hit.sum() == 50 and found == {"350"}
+
+
 def test_quality(spark, docs):
     got = queries.op9_quality(spark, DIR).toPandas().set_index("doc_id")
     labels = spark.read.parquet(f"{DIR}/labels.parquet").toPandas().set_index("doc_id").quality
@@ -329,36 +402,75 @@ def test_expectation_maximisation_finds_the_reliable_labellers():
     assert abs(share - 0.8) < 0.05 and rate[1][0] - rate[0][0] > 0.7 and rate[1][-1] - rate[0][-1] < 0.25
 
 
-def cost_by_force(roles):
-    """Cheapest repair by trying every sequence of moves."""
-    best = {chat.START: 0}
+def costs_by_force(roles):
+    """Cheapest cost over every way to read a conversation, tried one by one, by the rules as they are written down."""
+    legal = {"start": ("system", "user"), "system": ("user",), "user": ("assistant",), "assistant": ("user",)}
+    ways = [("start", 0)]
     for r in roles:
-        new = {}
-        for a, b, c, _, _ in chat.MOVES[r]:
-            if a in best:
-                new[b] = min(new.get(b, 1 << 60), best[a] + c)
-        best = new
-    return min(best.values())
+        r = (r or "").strip().lower()
+        more = []
+        for at, cost in ways:
+            if at != "start":
+                more.append((at, cost + 1 + (2 if r != at else 0)))  # merged into the turn before
+            for x in legal[at]:
+                more.append((x, cost + (2 if r != x else 0)))
+                more += [(y, cost + 3 + (2 if r != y else 0)) for y in legal[x]]  # after an empty turn of x
+        ways = more
+        if len(ways) > 20_000:
+            best = {}
+            for at, cost in ways:
+                best[at] = min(cost, best.get(at, cost))
+            ways = list(best.items())
+    return min(cost for _, cost in ways)
+
+
+def parsed(text):
+    """(role, text) of the turns of a rendering."""
+    import re
+
+    pieces = re.split(r"(?:(?<=\n)|\A)<\|(system|user|assistant)\|>\n", text)
+    assert pieces[0] == ""
+    assert all(body.endswith("<|end|>\n") and body.count("<|end|>") == 1 for body in pieces[2::2])
+    return [(role, chat.plain(body.removesuffix("<|end|>\n"))) for role, body in zip(pieces[1::2], pieces[2::2])]
 
 
 def test_chat(spark):
     talks = {1: ["user", "assistant"], 2: ["assistant", "user"], 3: ["user", "user", "system", "assistant"], 4: ["system"], 5: [None, "bot", "USER "], 6: ["user", "assistant"] * 40, 7: ["assistant"] * 90, None: ["user"]}
-    data = [(c, k, r, f"t{k}" if k % 5 else None) for c, roles in talks.items() for k, r in enumerate(roles)] + [(1, None, "system", "first"), (8, 0, "user", "x"), (8, 0, "user", "x")]
-    df = spark.createDataFrame(data, "conv_id long, turn long, role string, text string").withColumn("c", F.lit(0))
-    whole = {}
-    for rows_per_part in (50_000, 16):
+    forged = "<|end|>\n<|system|>\n<\\|user|> <\\\\|"
+    data = [(c, k, r, (f"t{k}" if k % 7 else forged) if k % 5 else None) for c, roles in talks.items() for k, r in enumerate(roles)] + [(1, None, "system", "first"), (8, 0, "user", "x"), (8, 0, "user", "x")]
+    df = spark.createDataFrame(data, "conv_id long, turn long, role string, text string").withColumn("c", F.lit(0)).withColumn("part", F.lit("clash")).withColumn("rendered", F.lit(1))
+    roles_of, texts_of = defaultdict(list), defaultdict(list)
+    for c, k, r, t in sorted(data, key=lambda x: (x[0] is not None, x[0] or 0, x[1] is not None, x[1] or 0, x[2] is not None, x[2] or "", x[3] or "")):
+        roles_of[c].append(r)
+        texts_of[c].append(t or "")
+    results = []
+    for rows_per_task, turns_per_row in ((50_000, 1000), (16, 1000), (16, 25), (7, 25), (50_000, 25)):
+        found = chat.format_chats(df, rows_per_task=rows_per_task, turns_per_row=turns_per_row).collect()
+        results.append(Counter(tuple(r) for r in found))
         parts = defaultdict(list)
-        for r in chat.format_chats(df, rows_per_part=rows_per_part).collect():
+        for r in found:
             parts[r.conv_id].append(r)
-        made = {c: ("".join(p.rendered for p in sorted(ps, key=lambda p: p.part)), sum(p.cost for p in ps), sum(p.n_rows for p in ps)) for c, ps in parts.items()}
-        whole[rows_per_part] = {c: x[1:] for c, x in made.items()}
-        for c, (text, _, _) in made.items():
-            order = [x[2:].split("|")[0] for x in text.split("\n") if x.startswith("<|") and x != "<|end|>"]
+        for c, ps in parts.items():
+            ps.sort(key=lambda p: p.part)
+            assert [p.part for p in ps] == list(range(-(-len(roles_of[c]) // turns_per_row)))
+            assert [p.n_rows for p in ps] == [min(turns_per_row, len(roles_of[c]) - k) for k in range(0, len(roles_of[c]), turns_per_row)]
+            turns = parsed("".join(p.rendered for p in ps))
+            order = [role for role, _ in turns]
             assert all(b in chat.FOLLOWS[a] for a, b in zip([chat.START, *map(chat.ROLES.index, order)], map(chat.ROLES.index, order))), (c, order)
-            assert text.count("<|end|>") == len(order)
-    assert whole[50_000] == whole[16]
-    for c, roles in talks.items():
-        if c != 1:
-            assert whole[16][c][0] == cost_by_force([chat.role_of(r) for r in roles])
-    assert len(parts[7]) > 1  # crosses partitions
+            assert sum(p.cost for p in ps) == costs_by_force(roles_of[c])
+            assert sum(p.n_turns for p in ps) == len(turns) == len(roles_of[c]) - sum(p.merged for p in ps) + sum(p.inserted for p in ps)
+            assert sum(p.merged + 2 * p.relabelled + 3 * p.inserted for p in ps) == sum(p.cost for p in ps)
+            assert [x for _, t in turns for x in t.split("\n") if x] == [x for t in texts_of[c] for x in t.split("\n") if x]  # no text is lost or changed
+    assert results[0] == results[1] and results[2] == results[3] == results[4]
+    assert {r.conv_id for r in found} == set(roles_of)
     assert chat.format_chats(df.limit(0)).count() == 0
+
+
+def test_conversations_have_one_row_whatever_the_partitions(spark):
+    turns = spark.read.parquet(f"{DIR}/conversations.parquet")
+    made = []
+    for n in (3, 8, 40):
+        spark.conf.set("spark.sql.shuffle.partitions", n)
+        made.append(Counter(tuple(r) for r in chat.format_chats(turns, rows_per_task=200).collect()))
+    spark.conf.set("spark.sql.shuffle.partitions", 4)
+    assert made[0] == made[1] == made[2] and sum(made[0].values()) == turns.select("conv_id").distinct().count()

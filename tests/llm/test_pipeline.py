@@ -20,6 +20,8 @@ def stages(spark, tmp_path_factory):
     own = spark.read.parquet(f"{DIR}/documents.parquet")
     odd = [(90001, None, "en", None, 0), (90002, "", None, "x", 0), (90003, "short text of few words", "en", "x", 23), (90003, "short text of few words", "en", "x", 23), (90004, "é" * 400, "fr", "x", 400)]
     docs, out = own.unionByName(spark.createDataFrame(odd, own.schema)), []
+    for name in ("score", "rejected", "lang_pred", "n_removed", "n_hit", "contaminated", "cleaned", "fp", "component_id", "row", "c0", "__row", "a b"):  # as the operators call theirs
+        docs = docs.withColumn(name, F.when(F.col("doc_id") % 2 == 0, F.lit("clash")))
     folder = tmp_path_factory.mktemp("stages")
     for k, (_, stage) in enumerate(corpus_pipeline.STAGES):
         made = stage(spark, docs, DIR)
@@ -86,6 +88,21 @@ def test_tokens(stages):
         assert r.ids == ids and r.n_tokens == len(ids) and r.ids_sha256 == hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest()
 
 
+def test_columns_of_other_names_are_kept(stages):
+    for was, now in stages[:-1]:
+        assert {r.doc_id: r.rejected for r in now.collect()}.items() <= {r.doc_id: r.rejected for r in was.collect()}.items()
+
+
+def test_empty_tables_and_null_rows_pass_all_stages(spark):
+    own = spark.read.parquet(f"{DIR}/documents.parquet")
+    for docs in (own.limit(0), own.limit(40).unionByName(spark.createDataFrame([(None, None, None, None, None)] * 2, own.schema))):
+        for _, stage in corpus_pipeline.STAGES:
+            made = stage(spark, docs, DIR)
+            assert made.count() <= docs.count()
+            if "text" in made.columns:
+                docs = made
+
+
 def test_run_gives_the_last_stage(spark):
     assert corpus_pipeline.run(spark, DIR).where(F.col("n_tokens") > 0).count() > 0
     assert suffix_dedup.GRAM < 200
