@@ -1,7 +1,7 @@
 """Versioned tables over Parquet: every commit is a manifest that lists the folders which are the table from then on.
 
-Manifests are created exclusively through Hadoop's file system, so of two writers one has to try again. Data goes to a folder of
-its own first; readers resolve one manifest, so overwriting a table from itself and reading old versions are safe.
+A manifest is written whole under another name and then takes its own exclusively, so of two writers one has to try again, and one
+that dies leaves nothing that readers see. Data goes to a folder of its own first; readers resolve one manifest, so overwriting a table from itself and reading old versions are safe.
 """
 
 from __future__ import annotations
@@ -74,16 +74,28 @@ class VersionedTable:
     def _commit(self, version: int, folders: list[str], schema, properties: dict) -> bool:
         """False if another writer has taken this version."""
         body = json.dumps({"version": version, "folders": folders, "schema": json.loads(schema.json()), "properties": properties})
-        try:
-            stream = self._fs.create(self._path(f"{self.uri}/_commits/{version:020d}.json"), False)
-        except Py4JJavaError as e:
-            if "FileAlreadyExists" in str(e) or "already exists" in str(e):
-                return False
-            raise
+        target, draft = (self._path(f"{self.uri}/_commits/{name}") for name in (f"{version:020d}.json", f"{uuid.uuid4().hex}.draft"))
+        stream = self._fs.create(draft, False)
         try:
             stream.write(bytearray(body.encode()))
         finally:
             stream.close()
+        try:
+            return self._publish(draft, target)
+        finally:
+            self._fs.delete(draft, False)
+
+    def _publish(self, draft, target) -> bool:
+        """Give a whole file its name, unless another file has it: by rename, on a local disk, where that would replace it, by a link."""
+        if self._fs.getUri().getScheme() != "file":
+            return not self._fs.exists(target) and self._fs.rename(draft, target)
+        place = lambda p: self.spark._jvm.java.io.File(self._fs.makeQualified(p).toUri().getPath()).toPath()
+        try:
+            self.spark._jvm.java.nio.file.Files.createLink(place(target), place(draft))
+        except Py4JJavaError as e:
+            if "FileAlreadyExists" in str(e):
+                return False
+            raise
         return True
 
     def overwrite(self, df: DataFrame, **properties) -> int:
