@@ -11,13 +11,14 @@ from pyspark.sql import functions as F
 
 from ..errors import Refused
 from ..functions.canonical import canonical_json
-from ..functions.text import digest_key, hours_between, in_period, instant, matches
-from ..sources.envelopes import domain_fields
+from ..functions.text import digest_key, hours_between, in_period, matches
+from ..sources.envelopes import with_domain_fields
 
 #: Event types.
 CALL, SCAN, BOOKING = "ports.port-call.v1", "ports.gate.scan.v1", "ports.booking.created.v1"
-#: Statuses of a call that count it: it has been accepted.
-COUNTED = ("ACCEPTED", "ARRIVED", "BERTHED", "DEPARTED", "COMPLETED", "CLOSED")
+#: The statuses of a call, and those that count it: it has been accepted.
+STATUSES = ("DRAFT", "SUBMITTED", "ACCEPTED", "ARRIVED", "BERTHED", "DEPARTED", "COMPLETED", "REJECTED")
+COUNTED = ("ACCEPTED", "ARRIVED", "BERTHED", "DEPARTED", "COMPLETED")
 NAMESPACE = uuid.uuid5(uuid.NAMESPACE_URL, "keelstone:port-statistics")
 SALT = "keelstone/vessel"
 
@@ -54,38 +55,40 @@ def run_id(root: str, period: str, versions: dict[str, int]) -> str:
     return str(uuid.uuid5(NAMESPACE, canonical_json({"root": root.rstrip("/"), "period": period, "versions": versions, "definitions": definitions_hash()})))
 
 
-CALL_FIELDS = "struct<portCallId: string, portCode: string, status: string, vesselRef: string, shipClass: string, arrivedAt: string, berthedAt: string, departedAt: string, declaredTonnage: double>"
-SCAN_FIELDS = "struct<truckRef: string, truck_plate: string, direction: string, terminal: string, terminalReference: string, portCode: string>"
-BOOKING_FIELDS = "struct<bookingId: string, portCode: string, createdAt: string, slotWindowStart: string, bookedSlots: double, offeredSlots: double>"
+#: Fields of the events, with the kind of JSON value that each has to be.
+CALL_FIELDS = {"portCallId": "text!", "portCode": "text!", "status": "text!", "vesselRef": "text", "shipClass": "text", "arrivedAt": "instant", "berthedAt": "instant", "departedAt": "instant", "declaredTonnage": "number"}
+SCAN_FIELDS = {"truckRef": "text", "truck_plate": "text", "direction": "text!", "terminal": "text", "terminalReference": "text", "portCode": "text"}
+BOOKING_FIELDS = {"bookingId": "text", "portCode": "text", "createdAt": "instant", "slotWindowStart": "instant", "bookedSlots": "number", "offeredSlots": "number"}
 
 
-def _fields(events: DataFrame, kind: str, schema: str) -> DataFrame:
-    """Events of a kind with their domain fields."""
-    rows = events.where(F.col("event_type") == kind)
-    return rows.select("event_id", "occurred_at", domain_fields(F.col("payload_json"), schema).alias("f"))
+def _checked(events: DataFrame, kind: str, fields: dict[str, str], more, what: str) -> DataFrame:
+    """Events of a kind as (event_id, occurred_at, f). One pass looks for a fault in any of them, or in the payload of any other event; more: further rules, fault by predicate over `f`."""
+    read = with_domain_fields(events, fields)
+    own = F.col("event_type") == kind
+    rules = F.coalesce(F.col("fault"), *[F.when(F.coalesce(bad, F.lit(True)), F.lit(name)) for name, bad in more(F.col("f")).items()])
+    fault = F.when(own, rules).when(F.col("fault").isin("payload", "extension", "domain-payload"), F.col("fault"))
+    bad = read.select("event_id", fault.alias("fault")).where("fault is not null").limit(5).collect()
+    if bad:
+        raise Refused(f"{what}: {[(r[0], r[1]) for r in bad]}")
+    return read.where(own).select("event_id", "occurred_at", "f")
 
 
-def _refuse(rows: DataFrame, fault: Column, what: str) -> None:
-    bad = [r[0] for r in rows.where(F.coalesce(fault, F.lit(True))).select("event_id").limit(5).collect()]
-    if bad:
-        raise Refused(f"{what}: {bad}")
+def last_known(value: Column, at: Column) -> Column:
+    """Of a group the last value that isn't null."""
+    return F.max_by(value, F.when(value.isNotNull(), at))
 
 
 def call_facts(events: DataFrame, period: str) -> DataFrame:
-    """One row for each port call of the period: the latest status by (occurred_at, event_id), of every attribute the last value that isn't null."""
-    rows = _fields(events, CALL, CALL_FIELDS)
-    f = F.col("f")
-    _refuse(rows, f["portCallId"].isNull() | f["status"].isNull() | ~matches(f["portCode"], "port_code"), "port calls without id, status or port")
-    for name in ("arrivedAt", "berthedAt", "departedAt"):
-        _refuse(rows.where(f[name].isNotNull()), instant(f[name]).isNull(), f"{name} isn't an instant")
-    at = F.struct("occurred_at", "event_id")
-    last = lambda value, name: F.max_by(value, F.when(value.isNotNull(), at)).alias(name)
+    """One row for each port call of the period: the latest status by (occurred_at, event_id), of every attribute the last value that isn't null. Calls that aren't accepted are facts, too."""
+    rows = _checked(events, CALL, CALL_FIELDS, lambda f: {"portCode": ~matches(f["portCode"], "port_code"), "status": ~f["status"].isin(*STATUSES)}, "port calls")
+    f, at = F.col("f"), F.struct("occurred_at", "event_id")
+    last = lambda value, name: last_known(f[value], at).alias(name)
     calls = rows.groupBy(f["portCallId"].alias("port_call_id")).agg(
-        F.count_distinct(f["portCode"]).alias("ports"), F.min(f["portCode"]).alias("port_code"), F.max_by(f["status"], at).alias("status"), F.max("occurred_at").alias("latest"),
-        last(f["vesselRef"], "vessel_ref"), last(f["shipClass"], "ship_class"), last(instant(f["arrivedAt"]), "arrived_at"), last(instant(f["berthedAt"]), "berthed_at"),
-        last(instant(f["departedAt"]), "departed_at"), last(f["declaredTonnage"], "declared_tonnage"), F.to_json(F.array_sort(F.collect_list("event_id"))).alias("source_event_ids_json"),
+        F.max(f["portCode"]).alias("other"), F.min(f["portCode"]).alias("port_code"), F.max_by(f["status"], at).alias("status"), F.max("occurred_at").alias("latest"),
+        last("vesselRef", "vessel_ref"), last("shipClass", "ship_class"), last("arrivedAt", "arrived_at"), last("berthedAt", "berthed_at"),
+        last("departedAt", "departed_at"), last("declaredTonnage", "declared_tonnage"), F.to_json(F.array_sort(F.collect_list("event_id"))).alias("source_event_ids_json"),
     )
-    moved = [r[0] for r in calls.where("ports > 1").select("port_call_id").limit(5).collect()]
+    moved = [r[0] for r in calls.where("port_code != other").select("port_call_id").limit(5).collect()]
     if moved:
         raise Refused(f"port calls that changed their port: {moved}")
     hashed = F.when(F.col("vessel_ref").isNotNull(), F.sha2(F.concat_ws("/", F.lit(SALT), "vessel_ref"), 256)).alias("vessel_ref_hashed")
@@ -93,11 +96,11 @@ def call_facts(events: DataFrame, period: str) -> DataFrame:
 
 
 def gate_scans(events: DataFrame, period: str) -> DataFrame:
-    rows = _fields(events.where(in_period(F.col("occurred_at"), period)), SCAN, SCAN_FIELDS)
+    """Scans of the period: truck, terminal (empty if none), direction, port."""
+    truck = lambda f: F.coalesce(f["truckRef"], f["truck_plate"])
+    rows = _checked(events.where(in_period(F.col("occurred_at"), period)), SCAN, SCAN_FIELDS, lambda f: {"truck": truck(f).isNull(), "direction": ~f["direction"].isin("in", "out")}, "gate scans")
     f = F.col("f")
-    truck = F.coalesce(f["truckRef"], f["truck_plate"])
-    _refuse(rows, truck.isNull() | ~f["direction"].isin("in", "out"), "gate scans without truck or direction")
-    return rows.select("event_id", "occurred_at", truck.alias("truck"), f["direction"].alias("direction"), F.coalesce(f["terminal"], f["terminalReference"], F.lit("")).alias("terminal"), f["portCode"].alias("port_code"))
+    return rows.select("event_id", "occurred_at", truck(f).alias("truck"), f["direction"].alias("direction"), F.coalesce(f["terminal"], f["terminalReference"], F.lit("")).alias("terminal"), f["portCode"].alias("port_code"))
 
 
 def gate_turnarounds(scans: DataFrame) -> DataFrame:
@@ -108,10 +111,16 @@ def gate_turnarounds(scans: DataFrame) -> DataFrame:
 
 
 def bookings(events: DataFrame, period: str) -> DataFrame:
-    rows = _fields(events, BOOKING, BOOKING_FIELDS)
+    """Bookings whose slot begins in the period, with the hours from creation to it. Those without a slot are left out; a slot before the creation, or counters that aren't a share of an offer, are refused."""
+
+    def rules(f: Column) -> dict[str, Column]:
+        here = F.coalesce(in_period(f["slotWindowStart"], period), F.lit(False))
+        both = here & f["bookedSlots"].isNotNull() & f["offeredSlots"].isNotNull()
+        return {"slotWindowStart": here & (f["slotWindowStart"] < F.coalesce(f["createdAt"], F.col("occurred_at"))), "slots": F.coalesce(both & ((f["offeredSlots"] <= 0) | (f["bookedSlots"] < 0)), F.lit(False))}
+
+    rows = _checked(events, BOOKING, BOOKING_FIELDS, rules, "bookings")
     f = F.col("f")
-    made = rows.select("event_id", f["portCode"].alias("port_code"), F.coalesce(instant(f["createdAt"]), F.col("occurred_at")).alias("created_at"), instant(f["slotWindowStart"]).alias("slot_at"), f["bookedSlots"].alias("booked"), f["offeredSlots"].alias("offered"))
-    _refuse(made, F.col("slot_at").isNull() | (F.col("slot_at") < F.col("created_at")), "bookings whose slot is missing or before their creation")
+    made = rows.select("event_id", F.coalesce(f["bookingId"], "event_id").alias("booking_id"), f["portCode"].alias("port_code"), F.coalesce(f["createdAt"], F.col("occurred_at")).alias("created_at"), f["slotWindowStart"].alias("slot_at"), f["bookedSlots"].alias("booked"), f["offeredSlots"].alias("offered"))
     return made.where(in_period(F.col("slot_at"), period)).withColumn("lead_hours", hours_between(F.col("created_at"), F.col("slot_at")))
 
 
@@ -123,14 +132,14 @@ def quantiles(rows: DataFrame, kpi: str, value: str, names: tuple[str, ...]) ->
 
 
 def observations(facts: DataFrame, scans: DataFrame, booked: DataFrame) -> DataFrame:
-    """(kpi_id, port_code, ship_class, percentile, value, n_observations) of everything that has data."""
+    """(kpi_id, port_code, ship_class, percentile, value, n_observations) of everything that has data; of calls only the accepted count."""
     none = F.lit(None).cast("string")
     single = lambda df, kpi, value, n, ship=none: df.select(F.lit(kpi).alias("kpi_id"), "port_code", ship.alias("ship_class"), none.alias("percentile"), F.round(value, 6).alias("value"), n.cast("long").alias("n_observations"))
     counted = facts.where(F.col("status").isin(*COUNTED))
     calls = counted.groupingSets([["port_code", "ship_class"], ["port_code"]], "port_code", "ship_class").agg(F.count(F.lit(1)).alias("n"), F.grouping("ship_class").alias("whole")).where("whole = 1 or ship_class is not null")
-    hours = facts.withColumns({"turnaround": F.when(F.col("departed_at") >= F.col("arrived_at"), hours_between(F.col("arrived_at"), F.col("departed_at"))), "waiting": F.when(F.col("berthed_at") >= F.col("arrived_at"), hours_between(F.col("arrived_at"), F.col("berthed_at")))})
-    tonnes = facts.where("declared_tonnage is not null").groupBy("port_code").agg(F.sum(F.col("declared_tonnage").cast("decimal(28,6)")).cast("double").alias("v"), F.count(F.lit(1)).alias("n"))
-    slots = booked.where("booked is not null and offered is not null").groupBy("port_code").agg(F.sum("booked").alias("b"), F.sum("offered").alias("o"), F.count(F.lit(1)).alias("n")).where("o > 0")
+    hours = counted.withColumns({"turnaround": F.when(F.col("departed_at") >= F.col("arrived_at"), hours_between(F.col("arrived_at"), F.col("departed_at"))), "waiting": F.when(F.col("berthed_at") >= F.col("arrived_at"), hours_between(F.col("arrived_at"), F.col("berthed_at")))})
+    tonnes = counted.where("declared_tonnage is not null").groupBy("port_code").agg(F.sum(F.col("declared_tonnage").cast("decimal(28,6)")).cast("double").alias("v"), F.count(F.lit(1)).alias("n"))
+    slots = booked.where("booked is not null and offered is not null").groupBy("port_code").agg(*[F.sum(F.col(c).cast("decimal(28,6)")).cast("double").alias(a) for c, a in (("booked", "b"), ("offered", "o"))], F.count(F.lit(1)).alias("n"))
     parts = [
         single(calls, "vessel_calls", F.col("n").cast("double"), F.col("n"), F.col("ship_class")),
         quantiles(hours, "vessel_turnaround_hours", "turnaround", ("P50", "P90")),

@@ -10,10 +10,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..errors import Refused
-from ..functions.canonical import canonical_json
+from ..functions.canonical import canonical_json, to_canonical_json
 from ..functions.text import is_canonical_text, matches
 from ..functions.udf import vectorised
-from ..sources.envelopes import domain_fields
+from ..sources.envelopes import with_domain_fields
 from .governance import CLEARANCES, rank
 
 #: Event types and vocabularies.
@@ -37,9 +37,14 @@ def latest(rows: DataFrame, *keys: str) -> DataFrame:
     return rows.withColumn("__n", F.row_number().over(w)).where("__n = 1").drop("__n")
 
 
-def _of(events: DataFrame, kind: str, schema: str) -> DataFrame:
-    f = domain_fields(F.col("payload_json"), schema)
-    return events.where(F.col("event_type") == kind).select("event_id", "occurred_at", "payload_json", f.alias("f"))
+def _read(events: DataFrame, kind: str | Column, fields: dict[str, str], more=lambda f: {}, what: str = "") -> DataFrame:
+    """Events of a kind with their domain fields `f`, all rules checked in one pass; more: further rules, fault by predicate."""
+    own = F.col("event_type") == kind if isinstance(kind, str) else kind
+    read = with_domain_fields(events.where(own), fields)
+    bad = read.select("event_id", F.coalesce("fault", *[F.when(F.coalesce(b, F.lit(True)), F.lit(n)) for n, b in more(F.col("f")).items()]).alias("fault")).where("fault is not null").limit(5).collect()
+    if bad:
+        raise Refused(f"{what or kind}: {[(r[0], r[1]) for r in bad]}")
+    return read.drop("fault")
 
 
 def ledger_rollup(silver: DataFrame) -> DataFrame:
@@ -66,43 +71,90 @@ def silver_rows(events: DataFrame, ledger: bool) -> DataFrame:
     return refuse(out, F.col("ledger_commit_hash").isNull(), "events without a ledger commitment")
 
 
+def annual_reports(events: DataFrame) -> DataFrame:
+    """The latest VERIFIED report of each vessel and year. Others aren't looked at; a verified one with a fault is refused."""
+    state = with_domain_fields(events.where(F.col("event_type") == ANNUAL), {"state": "text"})
+    bad = [r[0] for r in state.where(F.col("fault").isin("payload", "extension", "domain-payload")).select("event_id").limit(5).collect()]
+    if bad:
+        raise Refused(f"annual reports that can't be read: {bad}")
+    fields = {"imoNumber": "text!", "calendarYear": "whole!", "reportId": "text!", "ciiRating": "text", "totals": "object!", "attainedCii": "number", "requiredCii": "number"}
+    rules = lambda f: {"imoNumber": ~matches(f["imoNumber"], "imo_number"), "calendarYear": ~f["calendarYear"].between(2000, 9999), "ciiRating": f["ciiRating"].isNotNull() & ~f["ciiRating"].isin(*RATINGS), "co2Tonnes": ~F.coalesce(_number_or_none(f["totals"], "co2Tonnes"), F.lit(False))}
+    rows = _read(state.where("f.state = 'VERIFIED'").drop("f", "fault"), ANNUAL, fields, rules)
+    f = F.col("f")
+    return latest(rows.select("event_id", "occurred_at", f["imoNumber"].alias("imo_number"), f["calendarYear"].cast("int").alias("calendar_year"), f["reportId"].alias("report_id"), to_canonical_json(f["totals"]).alias("totals"), F.try_variant_get(F.try_parse_json(f["totals"]), "$.co2Tonnes", "double").alias("co2_tonnes"), f["attainedCii"].alias("attained_cii"), f["requiredCii"].alias("required_cii"), f["ciiRating"].alias("cii_rating")), "imo_number", "calendar_year")
+
+
+def _number_or_none(text: Column, name: str) -> Column:
+    kind = F.schema_of_variant(F.try_variant_get(F.try_parse_json(text), f"$.{name}", "variant"))
+    return kind.isNull() | kind.rlike("^(VOID|BIGINT|DECIMAL|DOUBLE|FLOAT)")
+
+
+def statements(events: DataFrame) -> DataFrame:
+    """The latest statement of each report."""
+    f = F.col("f")
+    rows = _read(events, STATEMENT, {"reportId": "text!", "artifactSha256": "text!"}, lambda f: {"artifactSha256": ~matches(f["artifactSha256"], "sha256")})
+    return latest(rows.select("event_id", "occurred_at", f["reportId"].alias("report_id"), f["artifactSha256"].alias("soc_artifact_sha256")), "report_id")
+
+
+def orphans(reports: DataFrame, soc: DataFrame) -> DataFrame:
+    """Statements of reports that aren't among the verified ones."""
+    return soc.join(reports.select("report_id"), "report_id", "left_anti")
+
+
 def vessel_annual(events: DataFrame) -> DataFrame:
     """The latest VERIFIED report of each vessel and year with its statement; a statement of any other report is refused."""
-    rows = _of(events, ANNUAL, "reportId string, imoNumber string, calendarYear string, state string, attainedCii double, requiredCii double, ciiRating string, totals string").where("f.state = 'VERIFIED'")
-    f = F.col("f")
-    refuse(rows, ~matches(f["imoNumber"], "imo_number") | f["reportId"].isNull() | ~f["calendarYear"].rlike(r"\A[2-9][0-9]{3}\z"), "annual reports without vessel, id or year")
-    reports = latest(rows.select("event_id", "occurred_at", f["imoNumber"].alias("imo_number"), f["calendarYear"].cast("int").alias("calendar_year"), f["reportId"].alias("report_id"), f["totals"].alias("totals"), F.get_json_object(f["totals"], "$.co2Tonnes").cast("double").alias("co2_tonnes"), f["attainedCii"].alias("attained_cii"), f["requiredCii"].alias("required_cii"), f["ciiRating"].alias("cii_rating")), "imo_number", "calendar_year")
-    refuse(reports, F.json_object_keys("totals").isNull() | (F.col("cii_rating").isNotNull() & ~F.col("cii_rating").isin(*RATINGS)), "annual reports with a wrong rating or no totals")
-    soc = _of(events, STATEMENT, "reportId string, artifactSha256 string")
-    refuse(soc, f["reportId"].isNull() | ~matches(f["artifactSha256"], "sha256"), "statements without report or digest")
-    soc = latest(soc.select("event_id", "occurred_at", f["reportId"].alias("report_id"), f["artifactSha256"].alias("soc_artifact_sha256")), "report_id")
+    reports, soc = annual_reports(events), statements(events)
     # of several rows of one report the first takes the statement
     reports = reports.withColumn("turn", F.row_number().over(Window.partitionBy("report_id").orderBy("imo_number", "calendar_year")))
-    orphans = [r[0] for r in soc.join(reports, "report_id", "left_anti").select("report_id").limit(5).collect()]
-    if orphans:
-        raise Refused(f"statements of reports that aren't verified: {orphans}")
+    lost = [r[0] for r in orphans(reports, soc).select("report_id").limit(5).collect()]
+    if lost:
+        raise Refused(f"statements of reports that aren't verified: {lost}")
     s = soc.select("report_id", "soc_artifact_sha256", F.col("event_id").alias("soc_event"), F.lit(1).alias("turn"))
     made = reports.join(s, ["report_id", "turn"], "left")
     ids = F.to_json(F.array_sort(F.array_compact(F.array("event_id", "soc_event"))))
     return made.select("imo_number", "calendar_year", "report_id", F.col("totals").alias("fuel_totals_json"), "co2_tonnes", "attained_cii", "required_cii", "cii_rating", "soc_artifact_sha256", ids.alias("source_event_ids_json"))
 
 
+EXACT = "decimal(28,6)"
+
+
+def _plain(amount: Column) -> Column:
+    """A decimal as JSON text with one decimal at least."""
+    return F.regexp_replace(F.regexp_replace(amount.cast(EXACT).cast("string"), "0+$", ""), r"\.$", ".0")
+
+
+def credit_blocks(events: DataFrame) -> DataFrame:
+    """The latest state of each block, quantities as exact decimals."""
+    f = F.col("f")
+    fields = {"blockId": "text!", "projectId": "text!", "vintage": "text!", "status": "text!", "quantityKgCo2e": "number!", "bufferPool": "flag"}
+    rows = _read(events, BLOCK, fields, lambda f: {"status": ~f["status"].isin(*BLOCK_STATES), "quantityKgCo2e": ~(f["quantityKgCo2e"] >= 0)})
+    return latest(rows.withColumn("block_id", f["blockId"]), "block_id").select("event_id", "block_id", f["projectId"].alias("project_id"), f["vintage"].alias("vintage"), f["status"].alias("status"), f["quantityKgCo2e"].cast(EXACT).alias("q"), F.coalesce(f["bufferPool"], F.lit(False)).alias("buffer"))
+
+
+def vintage_totals(blocks: DataFrame) -> DataFrame:
+    """Issued, retired and cancelled by project and vintage; exact, in whatever order the rows come."""
+    of = lambda state: F.coalesce(F.sum(F.when(F.col("status") == state, F.col("q"))), F.lit(0)).cast(EXACT)
+    return blocks.groupBy("project_id", "vintage").agg(F.sum("q").cast(EXACT).alias("issued_kg_co2e"), of("RETIRED").alias("retired_kg_co2e"), of("CANCELLED").alias("cancelled_kg_co2e"))
+
+
+def retirements(events: DataFrame) -> DataFrame:
+    """Retirements, each with its beneficiary, purpose, quantity and artifact."""
+    fields = {"retirementId": "text!", "projectId": "text!", "serial": "text", "beneficiary": "text!", "purpose": "text!", "quantityKgCo2e": "number!", "artifactSha256": "text!", "retiredAt": "text"}
+    return _read(events, RETIREMENT, fields, lambda f: {"quantityKgCo2e": ~(f["quantityKgCo2e"] >= 0)})
+
+
 def public_registry(events: DataFrame) -> DataFrame:
     """Public fields of the latest state of each project with totals by vintage, buffer balance and retirements. Only listed fields are copied."""
     f = F.col("f")
-    projects = _of(events, PROJECT, "projectId string, projectName string, state string, ecosystem string, methodology string, countryCode string, strataCentroids string, externalRegistry string, externalProjectId string")
-    refuse(projects, f["projectId"].isNull() | f["state"].isNull(), "projects without id or state")
-    projects = latest(projects.withColumn("project_id", f["projectId"]), "project_id")
-    blocks = _of(events, BLOCK, "blockId string, projectId string, vintage string, status string, quantityKgCo2e double, bufferPool boolean")
-    refuse(blocks, f["blockId"].isNull() | f["projectId"].isNull() | f["vintage"].isNull() | ~f["status"].isin(*BLOCK_STATES) | ~(f["quantityKgCo2e"] >= 0), "credit blocks with a wrong state or quantity")
-    blocks = latest(blocks.withColumn("block_id", f["blockId"]), "block_id").select("event_id", f["projectId"].alias("project_id"), f["vintage"].alias("vintage"), f["status"].alias("status"), f["quantityKgCo2e"].alias("q"), F.coalesce(f["bufferPool"], F.lit(False)).alias("buffer"))
-    of = lambda state: F.sum(F.when(F.col("status") == state, F.col("q")).otherwise(0.0))
-    vintages = blocks.groupBy("project_id", "vintage").agg(F.sum("q").alias("issued_kg_co2e"), of("RETIRED").alias("retired_kg_co2e"), of("CANCELLED").alias("cancelled_kg_co2e"))
-    totals = vintages.groupBy("project_id").agg(F.to_json(F.array_sort(F.collect_list(F.struct("vintage", "issued_kg_co2e", "retired_kg_co2e", "cancelled_kg_co2e")))).alias("vintage_totals_json"))
-    buffers = blocks.groupBy("project_id").agg(F.sum(F.when(F.col("buffer") & (F.col("status") == "ACTIVE"), F.col("q")).otherwise(0.0)).alias("buffer"), F.collect_list("event_id").alias("block_ids"))
-    retired = _of(events, RETIREMENT, "retirementId string, projectId string, serial string, beneficiary string, purpose string, quantityKgCo2e double, artifactSha256 string, retiredAt string")
-    item = F.struct(f["retirementId"].alias("retirement_id"), f["serial"].alias("serial"), f["beneficiary"].alias("beneficiary"), f["purpose"].alias("purpose"), f["quantityKgCo2e"].alias("quantity_kg_co2e"), f["artifactSha256"].alias("artifact_sha256"), f["retiredAt"].alias("retired_at"))
-    lists = retired.groupBy(f["projectId"].alias("project_id")).agg(F.to_json(F.array_sort(F.collect_list(item))).alias("retirements_json"), F.collect_list("event_id").alias("retirement_ids"))
+    fields = {"projectId": "text!", "state": "text!", "projectName": "text", "ecosystem": "text", "methodology": "text", "countryCode": "text", "strataCentroids": "array", "externalRegistry": "text", "externalProjectId": "text"}
+    projects = latest(_read(events, PROJECT, fields).withColumn("project_id", f["projectId"]), "project_id")
+    blocks = credit_blocks(events)
+    line = F.concat(F.lit('{"vintage":'), F.regexp_replace(F.to_json(F.array("vintage")), r"^\[|\]$", ""), *[x for c in ("issued", "retired", "cancelled") for x in (F.lit(f',"{c}_kg_co2e":'), _plain(F.col(f"{c}_kg_co2e")))], F.lit("}"))
+    lines = lambda order, text: F.concat(F.lit("["), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(*order, text.alias("line")))), lambda x: x["line"]), ","), F.lit("]"))
+    totals = vintage_totals(blocks).groupBy("project_id").agg(lines(["vintage"], line).alias("vintage_totals_json"))
+    buffers = blocks.groupBy("project_id").agg(F.coalesce(F.sum(F.when(F.col("buffer") & (F.col("status") == "ACTIVE"), F.col("q"))), F.lit(0)).cast("double").alias("buffer"), F.collect_list("event_id").alias("block_ids"))
+    item = F.to_json(F.struct(f["retirementId"].alias("retirement_id"), f["serial"].alias("serial"), f["beneficiary"].alias("beneficiary"), f["purpose"].alias("purpose"), f["quantityKgCo2e"].alias("quantity_kg_co2e"), f["artifactSha256"].alias("artifact_sha256"), f["retiredAt"].alias("retired_at")), {"ignoreNullFields": "false"})
+    lists = retirements(events).withColumn("retirement", f["retirementId"]).groupBy(f["projectId"].alias("project_id")).agg(lines(["retirement", "event_id"], item).alias("retirements_json"), F.collect_list("event_id").alias("retirement_ids"))
     none = F.array().cast("array<string>")
     ids = F.array_sort(F.concat(F.array("event_id"), F.coalesce("block_ids", none), F.coalesce("retirement_ids", none)))
     return projects.join(totals, "project_id", "left").join(buffers, "project_id", "left").join(lists, "project_id", "left").select(
@@ -112,20 +164,19 @@ def public_registry(events: DataFrame) -> DataFrame:
 
 
 def excise_facts(events: DataFrame) -> DataFrame:
-    """One row for each stamp event. Money and quantities are whole numbers of minor units: 12.5, true and text are refused."""
-    rows = events.where(F.col("event_type").isin(ASSESSED, APPROVED, ISSUED, ACTIVATED)).withColumn("f", domain_fields(F.col("payload_json"), "assessmentId string, declarationRef string, batchId string, totalDutyKobo string, stampsRequired string, quantity string, activatedCount string")).withColumn("v", F.try_parse_json("payload_json"))
-    kind, f = F.col("event_type"), F.col("f")
+    """One row for each stamp event. Money and quantities are whole numbers of minor units: 12.5, true and text are refused, in a domain document, too."""
+    kind = F.col("event_type")
+    fields = {"assessmentId": "text", "declarationRef": "text", "batchId": "text", "totalDutyKobo": "whole", "stampsRequired": "whole", "quantity": "whole", "activatedCount": "whole"}
+    amounts = lambda f: (F.when(kind == ASSESSED, f["totalDutyKobo"]), F.when(kind == ASSESSED, f["stampsRequired"]).when(kind == ISSUED, f["quantity"]).when(kind == ACTIVATED, f["activatedCount"]))
 
-    def whole(name: str, least: int) -> Column:
-        """A JSON integer of at least `least`; text that looks like one isn't one."""
-        stated = F.schema_of_variant(F.try_variant_get("v", f"$.{name}", "variant"))
-        ok = f[name].rlike(r"\A[0-9]{1,18}\z") & (f[name].cast("long") >= least) & F.coalesce(stated == "BIGINT", F.lit(True))
-        return F.when(ok, f[name].cast("long"))
+    def rules(f: Column) -> dict[str, Column]:
+        duty, quantity = amounts(f)
+        return {"totalDutyKobo": (kind == ASSESSED) & ~F.coalesce(duty >= 0, F.lit(False)), "quantity": (kind != APPROVED) & ~F.coalesce(quantity >= F.when(kind == ISSUED, 1).otherwise(0), F.lit(False))}
 
-    duty = F.when(kind == ASSESSED, whole("totalDutyKobo", 0))
-    quantity = F.when(kind == ASSESSED, whole("stampsRequired", 0)).when(kind == ISSUED, whole("quantity", 1)).when(kind == ACTIVATED, whole("activatedCount", 0))
-    made = rows.select("event_id", "event_type", "occurred_at", F.coalesce(f["assessmentId"], F.lit("")).alias("assessment_id"), F.coalesce(f["declarationRef"], F.lit("")).alias("declaration_ref"), F.coalesce(f["batchId"], F.lit("")).alias("batch_id"), duty.alias("total_duty_kobo"), quantity.alias("quantity"), "payload_json")
-    return refuse(made, ((kind == ASSESSED) & F.col("total_duty_kobo").isNull()) | ((kind != APPROVED) & F.col("quantity").isNull()), "stamp events whose amounts aren't whole numbers")
+    rows = _read(events, kind.isin(ASSESSED, APPROVED, ISSUED, ACTIVATED), fields, rules, "stamp events")
+    f = F.col("f")
+    duty, quantity = amounts(f)
+    return rows.select("event_id", "event_type", "occurred_at", F.coalesce(f["assessmentId"], F.lit("")).alias("assessment_id"), F.coalesce(f["declarationRef"], F.lit("")).alias("declaration_ref"), F.coalesce(f["batchId"], F.lit("")).alias("batch_id"), duty.alias("total_duty_kobo"), quantity.alias("quantity"), "payload_json")
 
 
 @vectorised("string")
@@ -134,21 +185,40 @@ def sample_digest(samples: pd.Series) -> pd.Series:
     return samples.map(lambda rows: hashlib.sha256(canonical_json([{"event_id": r["event_id"], "occurred_at": r["at"], "temperature_celsius": r["t"]} for r in rows]).encode()).hexdigest())
 
 
+#: Families of consignment events by the beginning of their type, and what a consignment's name may be.
+FAMILIES = {"catch": "fisheries.catch.", "custody": "fisheries.custody.", "coldchain": "coldchain.", "export": "export."}
+CONSIGNMENT = r"\A[A-Za-z0-9][A-Za-z0-9._-]{0,127}\z"
+
+
 def consignments(events: DataFrame) -> DataFrame:
-    """One row for each consignment with exactly one catch: custody, temperatures and their digest, last export, the highest clearance of its events (unlabelled: SECRET)."""
-    rows = events.withColumn("f", domain_fields(F.col("payload_json"), "consignmentId string, speciesCode string, catchWeightKg double, temperatureCelsius double, exportReference string")).withColumn("kind", F.coalesce(*[F.when(F.col("event_type").contains(k), F.lit(k)) for k in ("catch", "custody", "coldchain", "export")])).where("kind is not null")
-    f, kind = F.col("f"), F.col("kind")
+    """One row for each consignment with exactly one catch: custody, temperatures and their digest, last export, the highest clearance of its events (unlabelled: SECRET). An event of any other family is refused, and so is an empty batch."""
+    kind = F.coalesce(*[F.when(F.col("event_type").startswith(p), F.lit(k)) for k, p in FAMILIES.items()])
+    fields = {"consignmentId": "text!", "speciesCode": "text", "catchWeightKg": "number", "temperatureCelsius": "number", "exportReference": "text"}
     level = F.when(F.col("record_classification").isNull(), F.lit(3)).otherwise(rank(F.col("record_classification")))
-    fault = ~is_canonical_text(f["consignmentId"], 128) | level.isNull() | ((kind == "catch") & (f["speciesCode"].isNull() | ~(f["catchWeightKg"] >= 0))) | ((kind == "coldchain") & ~F.coalesce(f["temperatureCelsius"].between(-80, 60), F.lit(False)))
-    refuse(rows, fault, "consignment events that break a rule")
+
+    def rules(f: Column) -> dict[str, Column]:
+        no = lambda c: ~F.coalesce(c, F.lit(False))
+        return {
+            "family": kind.isNull(), "consignmentId": ~f["consignmentId"].rlike(CONSIGNMENT), "record_classification": level.isNull(),
+            "catch": F.coalesce(kind == "catch", F.lit(False)) & (no(is_canonical_text(f["speciesCode"], 64)) | no((f["catchWeightKg"] >= 0) & (f["catchWeightKg"] < float("inf")))),
+            "temperatureCelsius": F.coalesce(kind == "coldchain", F.lit(False)) & no(f["temperatureCelsius"].between(-80, 60)),
+            "exportReference": F.coalesce(kind == "export", F.lit(False)) & no(is_canonical_text(f["exportReference"], 256)),
+        }
+
+    rows = _read(events, F.lit(True), fields, rules, "consignment events").withColumn("kind", kind)
+    f, kind = F.col("f"), F.col("kind")
     of = lambda k, c: F.when(kind == k, c)
     at = F.struct("occurred_at", "event_id")
-    sample = F.struct(F.col("occurred_at"), F.col("event_id"), F.date_format("occurred_at", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx").alias("at"), f["temperatureCelsius"].alias("t"))
+    micros = F.pmod(F.unix_micros("occurred_at"), F.lit(1_000_000))  # written only where there are some
+    text = F.concat(F.date_format("occurred_at", "yyyy-MM-dd'T'HH:mm:ss"), F.when(micros == 0, F.lit("")).otherwise(F.concat(F.lit("."), F.lpad(micros.cast("string"), 6, "0"))), F.date_format("occurred_at", "xxx"))
+    sample = F.struct(F.col("occurred_at"), F.col("event_id"), text.alias("at"), f["temperatureCelsius"].alias("t"))
     made = rows.groupBy(f["consignmentId"].alias("consignment_id")).agg(
         F.count_if(kind == "catch").alias("catches"), F.max(of("catch", F.col("event_id"))).alias("catch_event_id"), F.max(of("catch", F.col("occurred_at"))).alias("catch_occurred_at"), F.max(of("catch", f["speciesCode"])).alias("species_code"), F.max(of("catch", f["catchWeightKg"])).alias("catch_weight_kg"),
         F.array_sort(F.collect_list(of("custody", F.col("event_id")))).alias("custody"), F.array_sort(F.collect_list(of("coldchain", sample))).alias("samples"), F.min(of("coldchain", f["temperatureCelsius"])).alias("min_temperature_celsius"), F.max(of("coldchain", f["temperatureCelsius"])).alias("max_temperature_celsius"),
         F.max_by(f["exportReference"], of("export", at)).alias("export_reference"), F.max(level).alias("level"), F.array_sort(F.collect_list("event_id")).alias("ids"),
     )
+    if not rows.limit(1).count():
+        raise Refused("no events to assemble consignments from")
     refuse(made, F.col("catches") != 1, "consignments without exactly one catch", "consignment_id")
     return made.select(
         "consignment_id", "catch_event_id", "catch_occurred_at", "species_code", "catch_weight_kg", F.size("custody").cast("long").alias("custody_event_count"), F.to_json("custody").alias("custody_event_ids_json"), F.size("samples").cast("long").alias("coldchain_sample_count"),
@@ -157,10 +227,10 @@ def consignments(events: DataFrame) -> DataFrame:
 
 
 def nearest_rank(rows: DataFrame, value: str, *keys: str, least: int = 5) -> DataFrame:
-    """p50, p90, p95 by nearest rank, and the mean, where there are at least `least` values; else a note."""
+    """p50, p90, p95 by nearest rank, and the mean, of the finite values from 0 on, where there are at least `least`; else a note."""
     enough = F.col("n") >= least
     q = lambda p: F.expr(f"percentile_disc({p}) WITHIN GROUP (ORDER BY {value})")
-    made = rows.where(F.col(value).isNotNull()).groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), q(0.5).alias("p50"), q(0.9).alias("p90"), q(0.95).alias("p95"), F.avg(value).alias("mean"))
+    made = rows.where((F.col(value) >= 0) & (F.col(value) < float("inf"))).groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), q(0.5).alias("p50"), q(0.9).alias("p90"), q(0.95).alias("p95"), F.avg(value).alias("mean"))
     return made.select(*keys, "n", *[F.when(enough, F.col(c)).alias(c) for c in ("p50", "p90", "p95", "mean")], F.when(~enough, F.lit("INSUFFICIENT_DATA")).alias("note"))
 
 

@@ -7,18 +7,19 @@ from pyspark.sql import functions as F
 
 from ..functions.ais import decode_reports, mmsi, sentence_valid
 from ..functions.geometry import point_wkt
-from ..sources.envelopes import domain_fields, position_faults
+from ..sources.envelopes import position_faults, with_domain_fields
 from .products import refuse
 
 KIND = "vessels.observation.v1"
 #: Fixed value: degrees by which stated and decoded coordinates may differ.
 AGREEMENT = 1e-3
-FIELDS = "mmsi string, latitude double, longitude double, speedKnots double, headingDegrees double, nmeaSentences array<string>"
+FIELDS = {"mmsi": "word", "latitude": "number", "longitude": "number", "speedKnots": "number", "headingDegrees": "number", "nmeaSentences": "texts"}
 
 
 def observations(events: DataFrame) -> DataFrame:
     """Typed bronze rows of vessel events; any payload that breaks a rule is refused."""
-    rows = events.where(F.col("event_type") == KIND).withColumn("f", domain_fields(F.col("payload_json"), FIELDS))
+    rows = with_domain_fields(events.where(F.col("event_type") == KIND), FIELDS)
+    refuse(rows, F.col("fault").isNotNull(), "payloads that can't be read")
     f = F.col("f")
     raw = F.size(F.coalesce(f["nmeaSentences"], F.array().cast("array<string>"))) > 0
     rows = rows.withColumn("r", F.when(raw, decode_reports(f["nmeaSentences"])))

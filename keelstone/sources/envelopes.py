@@ -18,7 +18,9 @@ MAX_FILE, MAX_LINE, MAX_PAYLOAD, MAX_RECORDS = 256 << 20, 2 << 20, 1 << 20, 100_
 CLASSIFICATIONS = ("FIDUCIARY_SEGREGATED", "CONFIDENTIAL", "RESTRICTED", "INTERNAL", "PUBLIC")
 CLEARANCES = ("UNCLASSIFIED", "RESTRICTED", "CONFIDENTIAL", "SECRET")
 #: What of a resource is carriage, not domain data.
-CARRIAGE = ("resourceType", "id", "meta", "extension", "text", "contained", "identifier")
+CARRIAGE = ("resourceType", "id", "code", "extension", "provenance", "meta", "text")
+#: End of the address of the extension that holds a domain record; a deployment may set its whole address.
+DOMAIN_PAYLOAD = "/StructureDefinition/domain-payload"
 
 PROVENANCE = "struct<principalId: string, principalRole: string, signature: string, ledgerCommitHash: string>"
 ENVELOPE = f"struct<envelopeVersion: string, eventId: string, eventType: string, occurredAt: string, producer: string, correlationId: string, fhir: struct<resourceType: string, type: string, entry: array<struct<resource: string>>>, provenance: {PROVENANCE}, classification: string, recordClassification: string>"
@@ -67,16 +69,62 @@ def faults() -> Column:
     return F.filter(F.array(*[F.when(~ok, F.lit(name)) for name, ok in rules.items()]), lambda x: x.isNotNull())
 
 
-def domain_fields(resource: Column, schema: str) -> Column:
-    """A resource's domain fields as a struct of `schema`: its own, overridden by the JSON document of its last domain-payload extension that has them."""
-    own = F.from_json(resource, schema)
-    extensions = F.from_json(F.get_json_object(resource, "$.extension"), "array<struct<url: string, valueString: string>>")
-    last = F.element_at(F.filter(extensions, lambda x: x["url"].endswith("domain-payload")), -1)["valueString"]
-    more = F.from_json(last, schema)
-    from pyspark.sql.types import _parse_datatype_string
-
-    names = _parse_datatype_string(schema).names
-    return F.struct(*[F.coalesce(more[n], own[n]).alias(n) for n in names])
+def _member(v: Column, name: str) -> Column:
+    return F.try_variant_get(v, f"$.{name}", "variant")
+
+
+def _kind(v: Column) -> Column:
+    """What a JSON value is (STRING, BIGINT, DECIMAL(..), DOUBLE, BOOLEAN, OBJECT<..>, ARRAY<..>, VOID for null); null where there is none."""
+    return F.schema_of_variant(v)
+
+
+def _has(name: str):
+    return lambda document: _kind(_member(document, name)).isNotNull()
+
+
+#: How a field of a kind is told and read: the JSON kinds it may have, and what it becomes. A null or missing field is null.
+READERS = {
+    "text": (lambda k, v: (k == "STRING") & (F.trim(F.try_variant_get(v, "$", "string")) != ""), lambda v: F.try_variant_get(v, "$", "string")),
+    "number": (lambda k, v: k.rlike("^(BIGINT|DECIMAL|DOUBLE|FLOAT)"), lambda v: F.try_variant_get(v, "$", "double")),
+    "whole": (lambda k, v: k == "BIGINT", lambda v: F.try_variant_get(v, "$", "long")),
+    "instant": (lambda k, v: (k == "STRING") & instant(F.try_variant_get(v, "$", "string")).isNotNull(), lambda v: instant(F.try_variant_get(v, "$", "string"))),
+    "flag": (lambda k, v: F.lit(True), lambda v: (_kind(v) == "BOOLEAN") & F.try_variant_get(v, "$", "boolean")),
+    "object": (lambda k, v: k.startswith("OBJECT"), lambda v: F.to_json(v)),
+    "array": (lambda k, v: k.startswith("ARRAY"), lambda v: F.to_json(v)),
+    "texts": (lambda k, v: k.startswith("ARRAY"), lambda v: F.try_variant_get(v, "$", "array<string>")),
+    "word": (lambda k, v: k.isin("STRING", "BIGINT"), lambda v: F.try_variant_get(v, "$", "string")),
+}
+
+
+def with_domain_fields(events: DataFrame, fields: dict[str, str], payload: str = "payload_json", extension: str = DOMAIN_PAYLOAD) -> DataFrame:
+    """Adds `f`, the typed domain fields of a payload, and `fault`, the first thing that is wrong with it or null.
+
+    fields: the kind of each (see READERS), with a ! after it if the field has to be there. The record is the resource's own fields
+    but those of carriage, overridden in turn by the documents of its domain-payload extensions; a null overrides, too. A payload
+    or document that isn't a JSON object, an extension that isn't a list of objects, or one without its document is a fault.
+    """
+    v, ext, docs = F.col("__v"), F.col("__ext"), F.col("__docs")
+    ours = lambda x: F.coalesce(F.try_variant_get(x, "$.url", "string").endswith(extension), F.lit(False))
+    rows = events.withColumn("__v", F.try_parse_json(payload)).withColumn("__ext", F.try_variant_get(v, "$.extension", "array<variant>"))
+    rows = rows.withColumn("__docs", F.transform(F.filter(F.coalesce(ext, F.array().cast("array<variant>")), ours), lambda x: F.try_parse_json(F.when(_kind(_member(x, "valueString")) == "STRING", F.try_variant_get(x, "$.valueString", "string")))))
+    sound = F.coalesce(_kind(v).startswith("OBJECT"), F.lit(False))
+    listed = _kind(_member(v, "extension"))
+    listed_well = listed.isNull() | (listed == "VOID") | (ext.isNotNull() & F.forall(ext, lambda x: F.coalesce(_kind(x).startswith("OBJECT"), F.lit(False))))
+    documents = F.forall(docs, lambda d: F.coalesce(_kind(d).startswith("OBJECT"), F.lit(False)))
+    faults, values = [F.when(~sound, F.lit("payload")), F.when(~listed_well, F.lit("extension")), F.when(~documents, F.lit("domain-payload"))], []
+    for name, kind in fields.items():
+        having = F.filter(docs, _has(name))
+        own = F.lit(None).cast("variant") if name in CARRIAGE else _member(v, name)
+        value = F.when(F.size(having) > 0, _member(F.try_element_at(having, F.lit(-1)), name)).otherwise(own)
+        values.append(value.alias(name))
+        told, _ = READERS[kind.removesuffix("!")]
+        x = F.col("__f").getField(name)
+        k = _kind(x)
+        absent = k.isNull() | (k == "VOID")
+        faults.append(F.when(F.when(absent, F.lit(kind.endswith("!"))).otherwise(~F.coalesce(told(k, x), F.lit(False))), F.lit(name)))
+    rows = rows.withColumn("__f", F.struct(*values))
+    typed = [F.when(~F.coalesce(_kind(F.col("__f").getField(n)) == "VOID", F.lit(True)), READERS[k.removesuffix("!")][1](F.col("__f").getField(n))).alias(n) for n, k in fields.items()]
+    return rows.withColumn("fault", F.coalesce(*faults)).withColumn("f", F.struct(*typed)).drop("__v", "__ext", "__docs", "__f")
 
 
 def event_columns(ingested_at: Column, source_system: str = "event-stream") -> list[Column]:
