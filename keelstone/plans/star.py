@@ -61,26 +61,12 @@ def latest_per_key(spark, sf_dir):
     return products.latest(rows, "user_id").select("user_id", "event_id", "event_type", micros("occurred_at").alias("at_us"))
 
 
-@query("""SELECT user_id, event_type, arg_max(value, (ts, event_id)) FILTER (WHERE value > 10) AS last_value, arg_max(event_id, (ts, event_id)) AS last_event, count(*) AS n FROM events GROUP BY ALL""")
-def lifecycle_merge(spark, sf_dir):
-    """The last value over ten, and the last event, of each user and type."""
-    at, big = F.struct("ts", "event_id"), F.col("value") > 10
-    return table(spark, sf_dir, "events").groupBy("user_id", "event_type").agg(F.max_by("value", F.when(big, at)).alias("last_value"), F.max_by("event_id", at).alias("last_event"), F.count(F.lit(1)).alias("n"))
-
-
 @query("SELECT o_orderstatus, count(*) AS n, CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS total FROM orders WHERE o_orderdate >= TIMESTAMP '1997-02-01' AND o_orderdate < TIMESTAMP '1997-03-01' GROUP BY ALL")
 def period_filter(spark, sf_dir):
     """Orders of one month, half open."""
     return table(spark, sf_dir, "orders").where(in_period(F.col("o_orderdate"), "1997-02")).groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("n"), F.sum(money("o_totalprice")).cast("double").alias("total"))
 
 
-@query("SELECT n_name AS port, c_mktsegment AS class, count(*) AS n FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY GROUPING SETS ((n_name, c_mktsegment), (n_name))")
-def calls_grouping_sets(spark, sf_dir):
-    """Counts by port and class, and by port, in one pass."""
-    rows = table(spark, sf_dir, "customer").join(table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey")).select(F.col("n_name").alias("port"), F.col("c_mktsegment").alias("class"))
-    return rows.groupingSets([["port", "class"], ["port"]], "port", "class").agg(F.count(F.lit(1)).alias("n"))
-
-
 @query("""SELECT c_nationkey AS nation, round(quantile_cont(h, 0.5), 6) AS p50, round(quantile_cont(h, 0.9), 6) AS p90, count(*) AS n
 FROM (SELECT c_nationkey, date_diff('hour', o_orderdate, l_shipdate)::DOUBLE AS h FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey WHERE l_shipdate >= o_orderdate) GROUP BY ALL""")
 def quantiles_linear(spark, sf_dir):
@@ -101,20 +87,6 @@ def nearest_rank_gate(spark, sf_dir):
     return products.nearest_rank(rows, "value", "event_type", "lane").drop("mean")
 
 
-@query("SELECT l_shipmonth AS month, CAST(sum(CAST(l_quantity AS DECIMAL(28,6))) AS DOUBLE) AS tonnes, count(*) AS n FROM (SELECT *, strftime(l_shipdate, '%Y-%m') AS l_shipmonth FROM lineitem) GROUP BY ALL")
-def throughput_sum(spark, sf_dir):
-    """Quantities by month, summed as decimals."""
-    rows = table(spark, sf_dir, "lineitem").select(F.date_format("l_shipdate", "yyyy-MM").alias("month"), F.col("l_quantity").cast("decimal(28,6)").alias("q"))
-    return rows.groupBy("month").agg(F.sum("q").cast("double").alias("tonnes"), F.count(F.lit(1)).alias("n"))
-
-
-@query("SELECT l_suppkey, round(100 * sum(l_quantity) FILTER (WHERE l_returnflag = 'R') / sum(l_quantity), 6) AS pct FROM lineitem GROUP BY ALL HAVING sum(l_quantity) > 0")
-def slot_ratio(spark, sf_dir):
-    """A ratio of sums, not a mean of ratios."""
-    of = F.sum(F.when(F.col("l_returnflag") == "R", F.col("l_quantity")))
-    return table(spark, sf_dir, "lineitem").groupBy("l_suppkey").agg(F.round(100 * of / F.sum("l_quantity"), 6).alias("pct"))
-
-
 @query("""SELECT port_code, count(*) AS n, CAST(sum(us) AS BIGINT) AS total_us FROM (SELECT user_id % 5 AS port_code, event_type, lag(event_type) OVER w AS b, epoch_us(ts) - lag(epoch_us(ts)) OVER w AS us FROM events WHERE event_type IN ('view', 'purchase') WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id))
 WHERE b = 'view' AND event_type = 'purchase' GROUP BY ALL""")
 def pair_in_out(spark, sf_dir):
@@ -150,15 +122,6 @@ def dedup_key(spark, sf_dir):
     return table(spark, sf_dir, "events").select("event_id", digest_key(F.col("event_type"), F.col("user_id"), F.col("event_id")).alias("dedup_key"))
 
 
-@query("WITH t AS (SELECT o_orderkey FROM orders WHERE o_orderdate < TIMESTAMP '1998-01-01'), s AS (SELECT * FROM orders WHERE o_orderdate >= TIMESTAMP '1997-01-01') SELECT count(*) AS batch, count(*) FILTER (WHERE o_orderkey NOT IN (SELECT o_orderkey FROM t)) AS written, count(*) FILTER (WHERE o_orderkey IN (SELECT o_orderkey FROM t)) AS already_present FROM s")
-def insert_only_merge(spark, sf_dir):
-    """What an insert-only merge of two overlapping halves would write and find present."""
-    rows = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
-    known = rows.where("o_orderdate < timestamp '1998-01-01'").select("o_orderkey", F.lit(True).alias("known"))
-    batch = rows.where("o_orderdate >= timestamp '1997-01-01'").join(known, "o_orderkey", "left")
-    return batch.agg(F.count(F.lit(1)).alias("batch"), F.count_if(F.col("known").isNull()).alias("written"), F.count_if("known").alias("already_present"))
-
-
 @query("SELECT o_orderkey FROM orders WHERE o_orderdate >= TIMESTAMP '2000-01-01' AND o_orderstatus = 'P'")
 def replay_conflicts(spark, sf_dir):
     """Keys whose replay differs from what is stored: here pending orders arrive as final."""
@@ -167,53 +130,6 @@ def replay_conflicts(spark, sf_dir):
     return differing(rows, replay, "o_orderkey")
 
 
-@query("""WITH v AS (SELECT l_orderkey, min(l_linenumber) AS line FROM lineitem WHERE l_returnflag = 'R' GROUP BY ALL) SELECT o_orderkey, line FROM orders LEFT JOIN v ON o_orderkey = l_orderkey WHERE o_orderstatus = 'F'""")
-def verified_left(spark, sf_dir):
-    """Finished orders with the first line that was returned, if any."""
-    returned = table(spark, sf_dir, "lineitem").where("l_returnflag = 'R'").groupBy("l_orderkey").agg(F.min("l_linenumber").alias("line"))
-    return table(spark, sf_dir, "orders").where("o_orderstatus = 'F'").join(returned, F.col("o_orderkey") == F.col("l_orderkey"), "left").select("o_orderkey", "line")
-
-
-@query("SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderpriority = '1-URGENT')")
-def orphan_anti(spark, sf_dir):
-    """Customers without an urgent order."""
-    urgent = table(spark, sf_dir, "orders").where("o_orderpriority = '1-URGENT'").select("o_custkey")
-    return table(spark, sf_dir, "customer").join(urgent, F.col("c_custkey") == F.col("o_custkey"), "left_anti").select("c_custkey")
-
-
-@query("""SELECT l_suppkey AS project, year(l_shipdate) AS vintage, CAST(sum(CAST(l_quantity AS DECIMAL(18,2))) AS DOUBLE) AS issued, CAST(sum(CASE WHEN l_returnflag = 'R' THEN CAST(l_quantity AS DECIMAL(18,2)) ELSE 0 END) AS DOUBLE) AS retired,
-CAST(sum(CASE WHEN l_returnflag = 'A' THEN CAST(l_quantity AS DECIMAL(18,2)) ELSE 0 END) AS DOUBLE) AS cancelled FROM lineitem GROUP BY ALL""")
-def vintage_totals(spark, sf_dir):
-    """Conditional sums by supplier and year."""
-    of = lambda f: F.sum(F.when(F.col("l_returnflag") == f, money("l_quantity")).otherwise(F.lit(0).cast("decimal(18,2)"))).cast("double")
-    return table(spark, sf_dir, "lineitem").groupBy(F.col("l_suppkey").alias("project"), F.year("l_shipdate").cast("long").alias("vintage")).agg(F.sum(money("l_quantity")).cast("double").alias("issued"), of("R").alias("retired"), of("A").alias("cancelled"))
-
-
-PUBLIC = ("s_suppkey", "s_name", "s_nationkey")
-
-
-@query("SELECT s_suppkey, s_name, s_nationkey FROM supplier")
-def allow_list_projection(spark, sf_dir):
-    """Listed columns only: a column that is added later stays out."""
-    return table(spark, sf_dir, "supplier").select(*PUBLIC)
-
-
-@query("""SELECT event_id, CASE WHEN event_type = 'purchase' THEN CAST(floor(value * 100) AS BIGINT) END AS duty, CASE WHEN event_type IN ('purchase', 'view') THEN CAST(json_extract(props, '$.k') AS BIGINT) WHEN event_type = 'click' THEN 1 END AS quantity FROM events""")
-def excise_case(spark, sf_dir):
-    """One fact for each event, its amounts by type, in whole minor units."""
-    kind, k = F.col("event_type"), F.from_json("props", "k long")["k"]
-    return table(spark, sf_dir, "events").select("event_id", F.when(kind == "purchase", F.floor(F.col("value") * 100).cast("long")).alias("duty"), F.when(kind.isin("purchase", "view"), k).when(kind == "click", F.lit(1).cast("long")).alias("quantity"))
-
-
-@query("""SELECT l_orderkey, count(*) FILTER (WHERE l_returnflag = 'N') AS custody, min(l_quantity) FILTER (WHERE l_linestatus = 'O') AS low, max(l_quantity) FILTER (WHERE l_linestatus = 'O') AS high, arg_max(l_partkey, (l_shipdate, l_linenumber, l_partkey)) AS last_part
-FROM lineitem GROUP BY ALL HAVING count(*) FILTER (WHERE l_returnflag = 'A') = 1""")
-def consignment_pivot(spark, sf_dir):
-    """Per order its parts by kind, where exactly one line opens it."""
-    of = lambda c, v, x: F.when(F.col(c) == v, F.col(x))
-    made = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.count_if(F.col("l_returnflag") == "A").alias("opens"), F.count_if(F.col("l_returnflag") == "N").alias("custody"), F.min(of("l_linestatus", "O", "l_quantity")).alias("low"), F.max(of("l_linestatus", "O", "l_quantity")).alias("high"), F.max_by("l_partkey", F.struct("l_shipdate", "l_linenumber", "l_partkey")).alias("last_part"))
-    return made.where("opens = 1").drop("opens")
-
-
 @query("""SELECT o_orderkey, CASE o_orderpriority WHEN '1-URGENT' THEN 'SECRET' WHEN '2-HIGH' THEN 'CONFIDENTIAL' WHEN '3-MEDIUM' THEN 'RESTRICTED' WHEN '4-NOT SPECIFIED' THEN 'unclassified' END AS record_classification FROM orders WHERE o_orderpriority IN ('2-HIGH', '3-MEDIUM', '4-NOT SPECIFIED')""")
 def clearance_filter(spark, sf_dir):
     """Rows that a CONFIDENTIAL reader may see; unlabelled ones are withheld."""
@@ -299,13 +215,6 @@ def serving_values(spark, sf_dir):
     return orders.join(customers, F.col("o_custkey") == F.col("c_custkey")).select("o_orderkey", "o_orderstatus", "c_mktsegment", "n_name")
 
 
-@query("SELECT CAST(json_extract(props, '$.k') AS BIGINT) % 10 AS bucket, count(*) AS n, CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS total FROM events GROUP BY ALL")
-def json_domain_fields(spark, sf_dir):
-    """Typed fields of JSON text, parsed once."""
-    rows = table(spark, sf_dir, "events").select(F.from_json("props", "k long")["k"].alias("k"), money("value").alias("v"))
-    return rows.groupBy((F.col("k") % 10).alias("bucket")).agg(F.count(F.lit(1)).alias("n"), F.sum("v").cast("double").alias("total"))
-
-
 @query("SELECT k, 'both' AS side FROM (SELECT c_nationkey AS k FROM customer UNION SELECT s_nationkey FROM supplier) UNION ALL SELECT k, 'customer only' FROM (SELECT c_nationkey AS k FROM customer EXCEPT SELECT s_nationkey FROM supplier)")
 def set_operations(spark, sf_dir):
     """Nations of customers and suppliers together, and those of customers alone."""
