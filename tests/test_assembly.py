@@ -46,7 +46,7 @@ def test_published_months(spark, scope, tmp_path):
     try:
         assert get("/health", None)[0] == 200 and get("/runs", None)[0] == 401 and get("/runs", "other")[0] == 403
         assert len(get("/runs")[1]) == 1 and len(get("/kpis")[1]) == len(ports.KPIS)
-        assert {r["port_code"] for r in get("/values?port_code=BBBBB")[1]} == {"BBBBB"}
+        assert {r["port_code"] for r in get("/values?port_code=YLTUV")[1]} == {"YLTUV"}
         assert get("/values?color=red")[0] == 400 and get("/nothing")[0] == 404 and get("/reports/x")[0] == 404
         assert get(f"/reports/{a['run_id']}")[1]["sha256"] == a["sha256"]
     finally:

@@ -1,5 +1,6 @@
 """Operators against hand-computed expectations, refusals and replays."""
 
+import hashlib
 import json
 from datetime import UTC, datetime, timedelta
 
@@ -66,7 +67,7 @@ def test_overwrite_from_itself_and_lost_races(spark, tmp_path):
 
 
 def envelope(k=1, kind="ports.gate.scan.v1", label="INTERNAL", **more):
-    resource = {"resourceType": "Basic", "truckRef": f"t{k}", "extension": [{"url": "https://x/domain-payload", "valueString": json.dumps({"direction": "in", "n": 2})}]}
+    resource = {"resourceType": "Basic", "truckRef": f"t{k}", "extension": [{"url": "https://x/StructureDefinition/domain-payload", "valueString": json.dumps({"direction": "in", "n": 2})}]}
     doc = {"envelopeVersion": "1.0", "eventId": f"00000000-0000-4000-8000-{k:012d}", "eventType": kind, "occurredAt": "2026-03-01T10:00:00+01:00", "producer": "p", "correlationId": "c", "fhir": {"resourceType": "Bundle", "type": "message", "entry": [{"resource": resource}]}, "provenance": {"principalId": "p", "principalRole": "r", "ledgerCommitHash": "ab" * 32}, "classification": label}
     return signing.signed_envelope(doc | more, bytes(range(32)), "k")
 
@@ -161,12 +162,18 @@ def at(h):
 
 def port_events(spark):
     c, s, b = ports.CALL, ports.SCAN, ports.BOOKING
+    record = json.dumps({"status": "BERTHED", "berthedAt": at(7), "shipClass": None})
     return events(spark, [
-        (c, call("1", "AAAAA", "ACCEPTED", vesselRef="v", shipClass="container", arrivedAt=at(0), declaredTonnage=10000.0), 0, None), (c, call("1", "AAAAA", "DEPARTED", berthedAt=at(4), departedAt=at(12)), 12, None),
-        (c, call("2", "AAAAA", "ACCEPTED", shipClass="container", arrivedAt=at(1), berthedAt=at(3), departedAt=at(25), declaredTonnage=20000.0), 1, None), (c, call("3", "AAAAA", "ACCEPTED", shipClass="bulk", arrivedAt=at(2), berthedAt=at(8), departedAt=at(20), declaredTonnage=10000.0), 2, None),
-        (c, call("4", "AAAAA", "ANNOUNCED", arrivedAt=at(3)), 3, None), (c, call("5", "BBBBB", "ACCEPTED", arrivedAt=at(0), departedAt=at(24)), 0, None), (c, call("6", "AAAAA", "ACCEPTED", arrivedAt=at(24 * 40)), 5, None),
-        (s, {"truckRef": "t", "direction": "in", "terminal": "T", "portCode": "AAAAA"}, 1, None), (s, {"truckRef": "t", "direction": "out", "terminal": "T", "portCode": "AAAAA"}, 2, None), (s, {"truck_plate": "u", "direction": "in", "portCode": "AAAAA"}, 1, None), (s, {"truck_plate": "u", "direction": "out", "portCode": "AAAAA"}, 4.5, None), (s, {"truck_plate": "u", "direction": "out", "portCode": "AAAAA"}, 5, None),
-        (b, {"bookingId": "1", "portCode": "AAAAA", "createdAt": at(0), "slotWindowStart": at(48), "bookedSlots": 1.0, "offeredSlots": 2.0}, 0, None), (b, {"bookingId": "2", "portCode": "AAAAA", "slotWindowStart": at(97), "bookedSlots": 1.0, "offeredSlots": 1.0}, 1, None),
+        (c, call("q1", "XKQRS", "SUBMITTED", vesselRef="ship-17", shipClass="tanker", arrivedAt=at(2), declaredTonnage=731.25), 0, None),
+        (c, {"resourceType": "Basic", "code": "x", "id": "y", **call("q1", "XKQRS", "DRAFT"), "extension": [{"url": "urn:other"}, {"url": "https://example.org/StructureDefinition/domain-payload", "valueString": record}]}, 7, None),
+        (c, call("q2", "XKQRS", "COMPLETED", shipClass="tanker", arrivedAt=at(3), berthedAt=at(4), departedAt=at(9.5), declaredTonnage=12), 9, None),
+        (c, call("q3", "XKQRS", "DEPARTED", shipClass="ferry", arrivedAt=at(5), berthedAt=at(4), departedAt=at(18)), 18, None),  # berthed before it arrived: no waiting time
+        (c, call("q4", "XKQRS", "REJECTED", shipClass="ferry", arrivedAt=at(1), berthedAt=at(2), departedAt=at(3), declaredTonnage=9999.0), 3, None),
+        (c, call("q5", "XKQRS", "DRAFT"), 4, None), (c, call("q6", "YLTUV", "SUBMITTED", arrivedAt=at(1), departedAt=at(9), declaredTonnage=5.5), 1, None),
+        (c, call("q7", "XKQRS", "ARRIVED", arrivedAt=at(24 * 33)), 6, None),
+        *[(s, {"truckRef": "lorry", "direction": d, "terminal": "north", "portCode": "XKQRS"}, h, None) for d, h in (("out", 0), ("in", 1), ("in", 2), ("out", 2.75), ("out", 3))], (s, {"truck_plate": "van", "direction": "out", "portCode": "YLTUV"}, 1, None),
+        (b, {"bookingId": "m", "portCode": "YLTUV", "createdAt": at(6), "slotWindowStart": at(17), "bookedSlots": 3, "offeredSlots": 8}, 0, None), (b, {"portCode": "YLTUV", "slotWindowStart": at(30), "bookedSlots": 0, "offeredSlots": 5.0}, 10, None),
+        (b, {"portCode": "YLTUV", "slotWindowStart": at(25), "bookedSlots": 4}, 2, None), (b, {"portCode": "YLTUV"}, 2, None), (b, {"portCode": "YLTUV", "slotWindowStart": at(-9999), "offeredSlots": 0, "bookedSlots": 1}, 2, None),
     ])
 
 
@@ -174,28 +181,55 @@ def test_port_statistics(spark, tmp_path):
     t = VersionedTable(spark, str(tmp_path / "silver"))
     t.overwrite(port_events(spark))
     run, facts, values = ports.run_statistics(t, "2026-03", "/lake")
-    assert run == ports.run_statistics(t, "2026-03", "/lake/")[0] and facts.count() == 5
+    assert run == ports.run_statistics(t, "2026-03", "/lake/")[0]
+    assert rows(facts, "port_call_id", "status", "ship_class", "declared_tonnage")[:1] == [("q1", "BERTHED", "tanker", 731.25)] and facts.count() == 6
     v = {(r.kpi_id, r.port_code, r.ship_class, r.percentile): (r.value, r.n_observations, r.note) for r in values.collect()}
-    a = lambda k, s=None, p=None: v[k, "AAAAA", s, p][:2]
-    assert a("vessel_calls", "container") == (2, 2) and a("vessel_calls", "bulk") == (1, 1) and a("vessel_calls") == (3, 3)
-    assert a("vessel_turnaround_hours", p="P50") == (18.0, 3) and a("vessel_turnaround_hours", p="P90") == (22.8, 3)
-    assert a("waiting_time_hours", p="P50") == (4.0, 3) and a("waiting_time_hours", p="P90") == (5.6, 3)
-    assert a("throughput_tonnes") == (40000.0, 3) and a("truck_gate_turnaround_minutes", p="P50") == (135.0, 2)
-    assert a("booking_lead_time_hours", p="P50") == (72.0, 2) and a("slot_utilisation_pct") == (66.666667, 2)
-    assert v["vessel_turnaround_hours", "BBBBB", None, "P50"][0] == 24.0 and v["waiting_time_hours", "BBBBB", None, "P50"] == (None, 0, "NO_DATA")
-    assert v["berth_occupancy_pct", "AAAAA", None, None][2].startswith("GAP")
+    x = lambda k, s=None, p=None: v[k, "XKQRS", s, p][:2]
+    y = lambda k, s=None, p=None: v[k, "YLTUV", s, p]
+    assert x("vessel_calls") == (3, 3) and x("vessel_calls", "tanker") == (2, 2) and x("vessel_calls", "ferry") == (1, 1)  # neither the rejected call nor the draft
+    assert x("vessel_turnaround_hours", p="P50") == (9.75, 2) and x("vessel_turnaround_hours", p="P90") == (12.35, 2)
+    assert x("waiting_time_hours", p="P50") == (3.0, 2) and x("throughput_tonnes") == (743.25, 2)
+    assert x("truck_gate_turnaround_minutes", p="P50") == (45.0, 1) and y("truck_gate_turnaround_minutes", p="P50") == (None, 0, "NO_DATA")
+    assert y("vessel_calls") == y("throughput_tonnes") == (None, 0, "NO_DATA")
+    assert y("booking_lead_time_hours", p="P50")[:2] == (20.0, 3) and y("slot_utilisation_pct")[:2] == (23.076923, 2)
+    assert v["berth_occupancy_pct", "XKQRS", None, None][2].startswith("GAP")
     assert values.select("value_key").distinct().count() == values.count()
     _, _, nothing = ports.run_statistics(t, "2020-01", "/lake")
     assert {(r.port_code, r.value) for r in nothing.collect()} == {(None, None)} and nothing.select("kpi_id").distinct().count() == 9
 
 
-def test_port_refusals(spark):
-    for kind, bad in ((ports.CALL, call("1", "nope", "ACCEPTED")), (ports.CALL, call(None, "AAAAA", "X")), (ports.SCAN, {"truckRef": "t", "direction": "up"}), (ports.BOOKING, {"slotWindowStart": at(-5), "portCode": "AAAAA"})):
-        f = {ports.CALL: ports.call_facts, ports.SCAN: ports.gate_scans, ports.BOOKING: ports.bookings}[kind]
-        with pytest.raises(Refused):
-            f(events(spark, [(kind, bad, 0, None)]), "2026-03")
+GOOD = {ports.CALL: call("z", "XKQRS", "ARRIVED"), ports.SCAN: {"truckRef": "t", "direction": "in"}, ports.BOOKING: {"portCode": "XKQRS", "slotWindowStart": at(5), "bookedSlots": 1, "offeredSlots": 2}}
+
+
+def refused(spark, f, bad):
+    """Each of the events (type, payload) is refused by name; five go together, as so many are named."""
+    for k in range(0, len(bad), 5):
+        some = events(spark, [(t, p, 0, "SECRET") for t, p in bad[k : k + 5]])
+        with pytest.raises(Refused) as e:
+            f(some)
+        assert all(f"e{n:02d}" in str(e.value) for n in range(len(bad[k : k + 5]))), (k, str(e.value))
+
+
+PAYLOAD = "u/StructureDefinition/domain-payload"
+CHANGES = {
+    ports.CALL: ({"portCode": "xkqrs"}, {"portCallId": " "}, {"portCallId": None}, {"status": "CLOSED"}, {"status": "A"}, {"declaredTonnage": "7"}, {"declaredTonnage": True}, {"arrivedAt": "2026-03-01"}, {"shipClass": 4}, {"extension": {}}, {"extension": ["x"]}, {"extension": [{"url": PAYLOAD}]}, {"extension": [{"url": PAYLOAD, "valueString": "[1]"}]}, {"extension": [{"url": PAYLOAD, "valueString": "{"}]}, {"extension": [{"url": PAYLOAD, "valueString": '{"status": null}'}]}),
+    ports.SCAN: ({"truckRef": None}, {"direction": "up"}, {"terminal": 1}),
+    ports.BOOKING: ({"createdAt": at(9)}, {"offeredSlots": 0}, {"bookedSlots": -1}, {"slotWindowStart": 9}, {"slotWindowStart": "soon"}),
+}
+
+
+@pytest.mark.parametrize("kind", [ports.CALL, ports.SCAN, ports.BOOKING])
+def test_port_refusals(spark, kind):
+    f = {ports.CALL: ports.call_facts, ports.SCAN: ports.gate_scans, ports.BOOKING: ports.bookings}[kind]
+    assert f(events(spark, [(kind, GOOD[kind], 0, None)]), "2026-03").count() == 1
+    refused(spark, lambda e: f(e, "2026-03"), [(kind, GOOD[kind] | c) for c in CHANGES[kind]])
+
+
+def test_a_call_stays_in_its_port(spark):
     with pytest.raises(Refused, match="changed"):
-        ports.call_facts(events(spark, [(ports.CALL, call("1", "AAAAA", "A"), 0, None), (ports.CALL, call("1", "BBBBB", "A"), 1, None)]), "2026-03")
+        ports.call_facts(events(spark, [(ports.CALL, call("z", p, "ARRIVED"), k, None) for k, p in enumerate(("XKQRS", "YLTUV"))]), "2026-03")
+    with pytest.raises(Refused):  # an event of another kind that can't be read
+        ports.call_facts(events(spark, [(ports.CALL, GOOD[ports.CALL], 0, None)]).unionByName(events(spark, [("ports.other.v1", [], 0, None)])), "2026-03")
 
 
 # ---- products
@@ -212,53 +246,65 @@ def test_ledger(spark):
 
 
 def annual(i, state="VERIFIED", **more):
-    return {"reportId": i, "imoNumber": "1234567", "calendarYear": 2025, "state": state, "requiredCii": 2.5, "ciiRating": "B", "totals": {"co2Tonnes": 9.5}, **more}
+    return {"reportId": i, "imoNumber": "7654321", "calendarYear": 2031, "state": state, "attainedCii": 4.75, "ciiRating": "D", "totals": {"n": [2], "co2Tonnes": 31.125, "a": {"z": 1, "b": None}}, **more}
 
 
 def test_vessel_annual(spark):
-    soc = {"reportId": "r2", "artifactSha256": "cd" * 32}
-    r = products.vessel_annual(events(spark, [(products.ANNUAL, annual("r1"), 0, None), (products.ANNUAL, annual("r2"), 1, None), (products.ANNUAL, annual("r3", "DRAFT"), 2, None), (products.STATEMENT, soc, 3, None)])).collect()
-    assert len(r) == 1 and (r[0].report_id, r[0].co2_tonnes, r[0].soc_artifact_sha256, json.loads(r[0].source_event_ids_json)) == ("r2", 9.5, "cd" * 32, ["e01", "e03"])
-    for bad in ([(products.ANNUAL, annual("r1", "DRAFT"), 0, None), (products.STATEMENT, soc, 3, None)], [(products.ANNUAL, annual("r1", imoNumber="12"), 0, None)], [(products.ANNUAL, annual("r1", ciiRating="F"), 0, None)], [(products.ANNUAL, annual("r1", totals=None), 0, None)]):
-        with pytest.raises(Refused):
-            products.vessel_annual(events(spark, bad))
+    soc = {"reportId": "second", "artifactSha256": "0f" * 32}
+    r = products.vessel_annual(events(spark, [(products.ANNUAL, annual("first"), 0, None), (products.ANNUAL, annual("second"), 1, None), (products.ANNUAL, {"state": "DRAFT", "calendarYear": "odd"}, 2, None), (products.STATEMENT, soc | {"artifactSha256": "11" * 32}, 2, None), (products.STATEMENT, soc, 3, None)])).collect()
+    assert len(r) == 1 and (r[0].report_id, r[0].co2_tonnes, r[0].soc_artifact_sha256, json.loads(r[0].source_event_ids_json)) == ("second", 31.125, "0f" * 32, ["e01", "e04"])
+    assert r[0].fuel_totals_json == '{"a":{"b":null,"z":1},"co2Tonnes":31.125,"n":[2]}' and r[0].attained_cii == 4.75 and r[0].required_cii is None
+    changes = ({"imoNumber": "765432"}, {"ciiRating": "Z"}, {"totals": None}, {"totals": [1]}, {"totals": {"co2Tonnes": "31"}}, {"calendarYear": "2031"}, {"calendarYear": 1999}, {"calendarYear": 2031.5}, {"attainedCii": False}, {"reportId": ""})
+    refused(spark, products.annual_reports, [(products.ANNUAL, annual("r") | c) for c in changes])
+    refused(spark, products.statements, [(products.STATEMENT, soc | {"artifactSha256": "0F" * 32}), (products.STATEMENT, {"artifactSha256": "0f" * 32})])
+    with pytest.raises(Refused, match="second"):  # of an older report
+        products.vessel_annual(events(spark, [(products.ANNUAL, annual("second"), 0, None), (products.ANNUAL, annual("third"), 1, None), (products.STATEMENT, soc, 2, None)]))
+
+
+RETIRED = {"retirementId": "w", "projectId": "mangrove", "beneficiary": "someone", "purpose": "offset", "quantityKgCo2e": 41.5, "artifactSha256": "5a" * 32}
 
 
 def test_public_registry(spark):
-    block = lambda i, s, q, b=False: {"blockId": i, "projectId": "p", "vintage": "2024", "status": s, "quantityKgCo2e": q, "bufferPool": b}
-    e = [(products.PROJECT, {"projectId": "p", "projectName": "old", "state": "DRAFT"}, 0, None), (products.PROJECT, {"projectId": "p", "projectName": "new", "state": "ACTIVE", "secretContact": "x"}, 1, None)]
-    e += [(products.BLOCK, b, 2, None) for b in (block("1", "ACTIVE", 1000.0), block("2", "RETIRED", 250.0), block("3", "CANCELLED", 50.0), block("4", "ACTIVE", 200.0, True))]
-    e += [(products.RETIREMENT, {"retirementId": "x", "projectId": "p", "serial": "s", "quantityKgCo2e": 250.0}, 3, None)]
+    block = lambda i, s, q, v="2027", **x: {"blockId": i, "projectId": "mangrove", "vintage": v, "status": s, "quantityKgCo2e": q, **x}
+    e = [(products.PROJECT, {"projectId": "mangrove", "projectName": "before", "state": "DRAFT"}, 0, None), (products.PROJECT, {"projectId": "mangrove", "projectName": "after", "state": "LISTED", "strataCentroids": [[1, 2.5]], "privatePhone": "x"}, 1, None)]
+    e += [(products.BLOCK, b, 2 + k, None) for k, b in enumerate((block("a", "ACTIVE", 7), block("a", "RETIRED", 41.5), block("b", "CANCELLED", 0.25), block("c", "ACTIVE", 3.5, bufferPool=True), block("d", "ACTIVE", 2, "2026", bufferPool="yes"), block("f", "RETIRED", 100, bufferPool=True)))]
+    e += [(products.RETIREMENT, RETIRED, 9, None), (products.RETIREMENT, RETIRED | {"retirementId": "v", "retiredAt": "soon"}, 9, None)]
     made = products.public_registry(events(spark, e))
     r = made.first()
-    assert (r.project_name, r.buffer_balance_kg_co2e) == ("new", 200.0) and "secret" not in " ".join(made.columns).lower() and "secret" not in str(r)
-    assert json.loads(r.vintage_totals_json) == [{"vintage": "2024", "issued_kg_co2e": 1500.0, "retired_kg_co2e": 250.0, "cancelled_kg_co2e": 50.0}]
-    assert len(json.loads(r.source_event_ids_json)) == 6 and json.loads(r.retirements_json)[0]["retirement_id"] == "x"
-    with pytest.raises(Refused):
-        products.public_registry(events(spark, [(products.BLOCK, block("1", "ODD", 1.0), 0, None)]))
+    assert (r.project_name, r.state, r.buffer_balance_kg_co2e, r.strata_centroids_json) == ("after", "LISTED", 3.5, "[[1,2.5]]") and "private" not in str(r).lower()
+    assert r.vintage_totals_json == '[{"vintage":"2026","issued_kg_co2e":2.0,"retired_kg_co2e":0.0,"cancelled_kg_co2e":0.0},{"vintage":"2027","issued_kg_co2e":145.25,"retired_kg_co2e":141.5,"cancelled_kg_co2e":0.25}]'
+    found = json.loads(r.retirements_json)
+    assert [x["retirement_id"] for x in found] == ["v", "w"] and found[1] == {"retirement_id": "w", "serial": None, "beneficiary": "someone", "purpose": "offset", "quantity_kg_co2e": 41.5, "artifact_sha256": "5a" * 32, "retired_at": None}
+    assert json.loads(r.source_event_ids_json) == ["e01", "e03", "e04", "e05", "e06", "e07", "e08", "e09"]
+    refused(spark, products.credit_blocks, [(products.BLOCK, b) for b in (block("a", "SOLD", 1), block("a", "ACTIVE", -1), block("a", "ACTIVE", "1"), block("", "ACTIVE", 1))])
+    refused(spark, products.retirements, [(products.RETIREMENT, {k: v for k, v in RETIRED.items() if k != gone}) for gone in ("beneficiary", "purpose", "artifactSha256", "quantityKgCo2e", "projectId")])
+    refused(spark, products.public_registry, [(products.PROJECT, {"projectId": "p"})])
 
 
 def test_excise(spark):
-    good = [(products.ASSESSED, {"assessmentId": "a", "totalDutyKobo": 1250000, "stampsRequired": 10}, 0, None), (products.APPROVED, {"assessmentId": "a"}, 1, None), (products.ISSUED, {"batchId": "b", "quantity": 1}, 2, None), (products.ACTIVATED, {"batchId": "b", "activatedCount": 0}, 3, None)]
-    got = rows(products.excise_facts(events(spark, good)), "event_id", "total_duty_kobo", "quantity")
-    assert got == [("e00", 1250000, 10), ("e01", None, None), ("e02", None, 1), ("e03", None, 0)]
-    for bad in (12.5, -1, "1", None, True):
-        with pytest.raises(Refused):
-            products.excise_facts(events(spark, [(products.ASSESSED, {"totalDutyKobo": bad, "stampsRequired": 1}, 0, None)]))
-    with pytest.raises(Refused):
-        products.excise_facts(events(spark, [(products.ISSUED, {"quantity": 0}, 0, None)]))
+    a, p, i, t = products.ASSESSED, products.APPROVED, products.ISSUED, products.ACTIVATED
+    carried = {"extension": [{"url": "urn:x/StructureDefinition/domain-payload", "valueString": json.dumps({"batchId": "nine", "quantity": 17})}], "quantity": 3}
+    got = rows(products.excise_facts(events(spark, [(a, {"assessmentId": "m", "totalDutyKobo": 0, "stampsRequired": 88}, 0, None), (p, {"declarationRef": "d", "totalDutyKobo": 5}, 1, None), (i, carried, 2, None), (t, {"activatedCount": 6}, 3, None), ("stamps.other.v1", {}, 4, None)])), "event_id", "batch_id", "total_duty_kobo", "quantity")
+    assert got == [("e00", "", 0, 88), ("e01", "", None, None), ("e02", "nine", None, 17), ("e03", "", None, 6)]
+    text = {"extension": [{"url": "urn:x/StructureDefinition/domain-payload", "valueString": json.dumps({"quantity": "17"})}]}
+    refused(spark, products.excise_facts, [(a, {"totalDutyKobo": 3.5, "stampsRequired": 1}), (a, {"totalDutyKobo": -2, "stampsRequired": 1}), (a, {"totalDutyKobo": "4", "stampsRequired": 1}), (a, {"stampsRequired": 1}), (a, {"totalDutyKobo": False, "stampsRequired": 1}), (a, {"totalDutyKobo": 1}), (i, {"quantity": 0}), (i, text), (t, {"activatedCount": -1})])
 
 
 def test_consignments(spark):
-    c = {"consignmentId": "c1"}
-    e = [("fisheries.catch.v1", c | {"speciesCode": "TUN", "catchWeightKg": 5.0}, 0, "RESTRICTED"), ("fisheries.custody.v1", c, 1, "RESTRICTED"), ("coldchain.reading.v1", c | {"temperatureCelsius": -18.2}, 2, "CONFIDENTIAL"), ("coldchain.reading.v1", c | {"temperatureCelsius": -17.6}, 3, "RESTRICTED"), ("export.consignment.created.v1", c | {"exportReference": "X1"}, 4, "RESTRICTED")]
+    c = {"consignmentId": "lot-7.b"}
+    e = [("fisheries.catch.landed.v1", c | {"speciesCode": "SOL", "catchWeightKg": 0}, 0, "UNCLASSIFIED"), *[("fisheries.custody.moved.v1", c, h, "RESTRICTED") for h in (1, 2, 3)], ("coldchain.temperature.v1", c | {"temperatureCelsius": 4}, 2.5, "CONFIDENTIAL"), ("coldchain.temperature.v1", c | {"temperatureCelsius": -1.75}, 2.000001, None), *[("export.declared.v1", c | {"exportReference": x}, h, "RESTRICTED") for x, h in (("late", 9), ("early", 8))]]
+    e[5] = (*e[5][:3], "SECRET")
     a, b = (products.consignments(events(spark, e).orderBy(F.desc("event_id") if back else "event_id")).first() for back in (False, True))
-    assert a == b and (a.custody_event_count, a.coldchain_sample_count, a.min_temperature_celsius, a.max_temperature_celsius, a.export_reference, a.record_classification) == (1, 2, -18.2, -17.6, "X1", "CONFIDENTIAL")
-    assert len(json.loads(a.source_event_ids_json)) == 5
-    assert products.consignments(events(spark, [*e, ("fisheries.custody.v1", c, 9, None)])).first().record_classification == "SECRET"
-    for bad in (e[1:], [*e, e[0]], [*e, ("coldchain.reading.v1", c | {"temperatureCelsius": 99.0}, 5, None)]):
-        with pytest.raises(Refused):
+    assert a == b and (a.custody_event_count, a.coldchain_sample_count, a.min_temperature_celsius, a.max_temperature_celsius, a.export_reference, a.record_classification) == (3, 2, -1.75, 4.0, "late", "SECRET")
+    written = [(i, (T0 + timedelta(hours=h)).isoformat(), t) for i, h, t in (("e05", 2.000001, -1.75), ("e04", 2.5, 4.0))]
+    assert a.coldchain_digest_sha256 == hashlib.sha256(json.dumps([{"event_id": i, "occurred_at": w, "temperature_celsius": t} for i, w, t in written], sort_keys=True, separators=(",", ":")).encode()).hexdigest()
+    assert json.loads(a.source_event_ids_json) == [f"e{k:02d}" for k in range(8)]
+    refused(spark, products.consignments, [("coldchain.temperature.v1", c | {"temperatureCelsius": 60.5}), ("fisheries.licence.v1", c), ("ports.export.v1", c), ("export.declared.v1", c), ("fisheries.custody.v1", {"consignmentId": "-x"}), ("fisheries.catch.v1", c | {"speciesCode": "S" * 65, "catchWeightKg": 1}), ("fisheries.catch.v1", c | {"speciesCode": "S", "catchWeightKg": -1})])
+    for bad in (e[1:], [*e, e[0]]):  # none or two catches
+        with pytest.raises(Refused, match="lot-7.b"):
             products.consignments(events(spark, bad))
+    with pytest.raises(Refused):
+        products.consignments(events(spark, e).limit(0))
 
 
 def test_nearest_rank(spark):

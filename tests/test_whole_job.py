@@ -16,7 +16,7 @@ SMALL = "/root/testdata/sf0.01"
 
 def test_port_statistics_sees_all_orders(spark):
     orders = workload.table(spark, SMALL, "orders")
-    assert fixtures._port_events(spark, SMALL).count() == 3 * orders.count()
+    assert fixtures._port_events(spark, SMALL).count() == 3 * orders.count() + orders.where("o_orderstatus = 'F'").count()
     slot = F.timestamp_micros(F.unix_micros("o_orderdate") + F.col("o_orderkey") % 97 * 3_600_000_000)
     port = F.concat(F.lit("AB"), F.lpad((F.col("o_custkey") % 7).cast("string"), 3, "0"))
     due = orders.where((slot >= "1997-05-01") & (slot < "1997-06-01"))
@@ -29,6 +29,7 @@ def test_port_statistics_sees_all_orders(spark):
 def test_lines_that_make_no_valid_event_are_quarantined(spark, tmp_path):
     wide = {"resourceType": "Bundle", "type": "message", "entry": [{"resource": {"a": "x" * (1 << 20)}}]}
     bad = [envelope(1, producer=" p"), envelope(2, correlationId="c\u0007"), envelope(3, producer="é" * 200), envelope(4, fhir=wide)]
+    bad[3]["provenance"]["signature"] = "a.b.c"  # which repeats the whole envelope, too long for a line
     lines = [json.dumps(x) for x in [*bad, envelope(1), envelope(5), envelope(5)]]
     batch = spark.createDataFrame([(x, "t", 0, k) for k, x in enumerate(lines)], "line string, topic string, partition int, offset long")
     bronze, dlq = (VersionedTable(spark, str(tmp_path / n)) for n in ("b", "q"))
@@ -54,4 +55,4 @@ def test_answers_are_whole_or_refused(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(http, "MAX_ROWS", n - 1)
     status, body = ask("/values")
     assert status == 413 and "more than" in body["error"]
-    assert ask("/values?port_code=BBBBB")[0] == 200 and ask("/runs")[0] == 200
+    assert ask("/values?port_code=YLTUV")[0] == 200 and ask("/runs")[0] == 200
