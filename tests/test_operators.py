@@ -79,7 +79,7 @@ def test_read_events(spark, tmp_path):
     assert len(got) == 2 and got[0].occurred_at == datetime(2026, 3, 1, 9) and got[1].record_classification == "SECRET"
     body = json.loads(got[0].payload_json)
     assert body["truckRef"] == "t1" and body["provenance"]["principalId"] == "p"
-    fields = envelopes.read_events(spark, str(f), F.lit(T0)).select(envelopes.domain_fields(F.col("payload_json"), "truckRef string, direction string, n int").alias("f")).first().f
+    fields = envelopes.read_events(spark, str(f), F.lit(T0)).transform(lambda e: envelopes.with_domain_fields(e, {"truckRef": "text", "direction": "text!", "n": "whole"})).first().f
     assert (fields.truckRef, fields.direction, fields.n) == ("t1", "in", 2)
     f.write_text(json.dumps(envelope(1)) + "\n" + json.dumps(envelope(1)))
     with pytest.raises(Refused, match="repeated"):
