@@ -43,6 +43,9 @@ FLOORS = {
     "bluecarbon": ("CONFIDENTIAL", "CONFIDENTIAL", "UNCLASSIFIED"),
 }
 
+#: The floor of each schema ("scope_layer").
+SCHEMAS = {f"{scope}_{layer}": floor for scope, floors in FLOORS.items() for layer, floor in zip(LAYERS, floors, strict=True)}
+
 
 def _first(cases: list[tuple[Column, str]]) -> Column:
     return F.coalesce(*[F.when(c, F.lit(v)) for c, v in cases])
@@ -120,27 +123,40 @@ def declared_scopes(uri: str) -> set[str]:
 
 @dataclass(frozen=True)
 class Policy:
-    """Which layers ("scope_layer") each role may read. Roles are a deployment's own; nobody may write through a role."""
+    """Which layers ("scope_layer") each role may read. Roles are a deployment's own, and they only read."""
 
     grants: dict[str, frozenset[str]] = field(default_factory=dict)
 
-    def authorize(self, roles: list[str], schema: str, clearance: str) -> None:
-        names = {r.strip() for r in roles}
-        if not names or "" in names or names - self.grants.keys():
-            raise AccessError(f"unknown roles: {sorted(names - self.grants.keys())}")
-        scope, _, layer = schema.rpartition("_")
-        if scope not in FLOORS or layer not in LAYERS:
+    def known(self, roles: list[str]) -> set[str]:
+        """The roles claimed; refused if there is none, or one isn't named exactly as granted."""
+        odd = [r for r in roles if not isinstance(r, str) or r not in self.grants]
+        if odd or not roles:
+            raise AccessError(f"unknown roles: {odd}")
+        return set(roles)
+
+    def readable(self, roles: list[str]) -> frozenset[str]:
+        """The schemas that any of the roles may read, given the clearance."""
+        return reduce(frozenset.union, (self.grants[r] for r in self.known(roles)))
+
+    def authorize(self, roles: list[str], schema: str, clearance: str | None = None) -> None:
+        """Refused unless a role may read the schema and the clearance reaches its floor; the lowest floor asks for none."""
+        if schema not in SCHEMAS:
             raise AccessError(f"no such schema: {schema}")
-        if schema not in reduce(frozenset.union, (self.grants[r] for r in names)):
-            raise AccessError(f"{sorted(names)} may not read {schema}")
-        if clearance_level(clearance) < clearance_level(FLOORS[scope][LAYERS.index(layer)]):
+        if schema not in self.readable(roles):
+            raise AccessError(f"{sorted(set(roles))} may not read {schema}")
+        level = 0 if clearance is None else clearance_level(clearance)
+        if level < clearance_level(SCHEMAS[schema]):
             raise AccessError(f"{clearance} is below the floor of {schema}")
 
-    def read(self, table, roles: list[str], schema: str, clearance: str) -> DataFrame:
-        """The rows of a table that the reader may see; refused before anything is read."""
+    def authorize_write(self, roles: list[str], schema: str) -> None:
+        """Always refused: writing is for the jobs of a scope, through `Scope`."""
+        raise AccessError(f"{sorted(self.known(roles))} only read; {schema} isn't written by them")
+
+    def read(self, table, roles: list[str], schema: str, clearance: str | None = None) -> DataFrame:
+        """The rows of a table that the reader may see, without a clearance the unclassified ones; refused before anything is read."""
         self.authorize(roles, schema, clearance)
         rows = table.read()
-        return visible(rows, clearance) if "record_classification" in rows.columns else rows
+        return visible(rows, clearance or CLEARANCES[0]) if "record_classification" in rows.columns else rows
 
 
 def whole_scope(name: str, *layers: str) -> frozenset[str]:
