@@ -45,29 +45,57 @@ def report(rows: DataFrame, policy: Retention, reference: datetime) -> dict[str,
     return {t: found.get(t, 0) for t in ("hot", "cold", "expired")}
 
 
-def plan(rows: DataFrame, policy: Retention, reference: datetime, key: str = "event_id") -> DataFrame:
-    """(day, n_rows, keys_sha256, audit_id) of what has expired, a row a day. The day's keys are digested without collecting them in order in one place: as the sum of their hashes."""
-    expired = tiers(rows, policy, reference).where("tier = 'expired'")
-    days = expired.groupBy(F.to_date("occurred_at").alias("day")).agg(F.count(F.lit(1)).alias("n_rows"), F.sum(F.xxhash64(key).cast("decimal(38,0)")).cast("string").alias("s"), F.min(key).alias("first_key"), F.max(key).alias("last_key"))
+def windows(rows: DataFrame, key: str = "event_id") -> DataFrame:
+    """(day, n_rows, keys_sha256, audit_id), a row a day. The day's keys are digested without collecting them in order in one place: as the sum of their hashes."""
+    days = rows.groupBy(F.to_date("occurred_at").alias("day")).agg(F.count(F.lit(1)).alias("n_rows"), F.sum(F.xxhash64(key).cast("decimal(38,0)")).cast("string").alias("s"), F.min(key).alias("first_key"), F.max(key).alias("last_key"))
     return days.withColumn("keys_sha256", F.sha2(F.concat_ws("/", F.col("n_rows").cast("string"), "s", F.col("first_key").cast("string"), F.col("last_key").cast("string")), 256)).withColumn("audit_id", digest_key(F.col("day"), F.col("keys_sha256"))).drop("s")
 
 
-def enforce(table: VersionedTable, audit: VersionedTable, policy: Retention, reference: datetime, apply: bool, archive: VersionedTable | None = None, key: str = "event_id") -> dict:
-    """Audit what has expired, archive what is cold, and (if `apply`) delete what has expired in one new version; then look whether it is gone."""
+def plan(rows: DataFrame, policy: Retention, reference: datetime, key: str = "event_id") -> DataFrame:
+    """The windows of what has expired."""
+    return windows(tiers(rows, policy, reference).where("tier = 'expired'"), key)
+
+
+def recheck(keys: DataFrame, current: DataFrame, policy: Retention, reference: datetime, key: str = "event_id") -> None:
+    """Refused unless every key is still in the table and expired there."""
+    held = current.select(key, policy.tier(F.col("occurred_at"), F.lit(reference)).alias("__tier"))
+    bad = keys.join(held, key, "left").where("__tier is null or __tier <> 'expired'").limit(5).collect()
+    if bad:
+        raise Refused(f"keys that are gone or not expired: {[(r[0], r[1]) for r in bad]}")
+
+
+def enforce(table: VersionedTable, audit: VersionedTable, policy: Retention, reference: datetime, apply: bool, operator: str, archive: VersionedTable | None = None, key: str = "event_id") -> dict:
+    """Audit what has expired, and (if `apply`) archive what is cold, check the keys again, delete what has expired in one new version, audit that, and look whether just that is gone.
+
+    Audited are windows of a day by what is done with them: plan-delete before anything goes, tier-archive and delete once it is
+    done. The same plan of one operator, version and time is audited once. All statements of one run are about one version of
+    the table; properties, append-only among them, hold on in the new one.
+    """
+    if not operator or operator != operator.strip():
+        raise Refused("the audit names who enforces")
     version = table.version()
     rows = table.read(version)
-    planned = plan(rows, policy, reference, key).withColumns({"dry_run": F.lit(not apply), "table_uri": F.lit(table.uri), "table_version": F.lit(version), "reference_time": F.lit(reference)})
-    keyed = planned.withColumn("audit_id", digest_key(F.col("audit_id"), F.col("dry_run"), F.col("table_version")))
-    n = keyed.count()
-    if n:
-        audit.append_new(keyed, "audit_id")
     tiered = tiers(rows, policy, reference)
-    if archive is not None:
-        archive.append_new(tiered.where("tier = 'cold'").drop("tier"), key)
+    expired, cold = (tiered.where(F.col("tier") == t).drop("tier") for t in ("expired", "cold"))
+
+    def audited(mode: str, about: DataFrame) -> tuple[int, int]:
+        told = {"mode": mode, "operator": operator, "table_uri": table.uri, "table_version": version, "policy_hot_days": policy.hot_days, "policy_cold_years": policy.cold_years, "reference_time": reference}
+        made = windows(about, key).withColumns({name: F.lit(value) for name, value in told.items()})
+        made = made.withColumn("audit_id", digest_key(*[F.col(c) for c in ("audit_id", "mode", "operator", "table_uri", "table_version", "policy_hot_days", "policy_cold_years")], F.unix_micros("reference_time"))).withColumn("executed_at", F.current_timestamp())
+        n = made.agg(F.count(F.lit(1)), F.coalesce(F.sum("n_rows"), F.lit(0))).first()
+        if n[0]:
+            audit.append_new(made, "audit_id", ignore=("executed_at",))
+        return n[0], n[1]
+
+    n, planned = audited("plan-delete", expired)
     deleted = 0
+    if apply and archive is not None:
+        archive.append_new(cold, key)
+        audited("tier-archive", cold)
     if apply and n:
-        expired = tiered.where("tier = 'expired'").select(key)
-        _, deleted = table.delete_keys(expired, key)
-        if report(table.read(), policy, reference)["expired"]:
-            raise Refused("expired rows are still there")
+        recheck(expired.select(key), table.read(), policy, reference, key)
+        _, deleted = table.delete_keys(expired.select(key), key)
+        audited("delete", expired)
+        if deleted != planned or report(table.read(), policy, reference)["expired"]:
+            raise Refused(f"{deleted} rows of {planned} went, or expired rows are still there")
     return {"windows": n, "deleted": deleted, "dry_run": not apply}
