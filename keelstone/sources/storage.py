@@ -39,6 +39,19 @@ def resolve(env: dict[str, str]) -> tuple[str, str, dict[str, str]]:
     return kind, root, {"spark.hadoop.fs.azure.account.auth.type": env.get("ADLS_AUTH_TYPE", "OAuth")}
 
 
+def export_target(uri: str, env: dict[str, str]) -> str:
+    """The file an export goes to, as Hadoop's file systems name it; it has to lie under the root of the environment's storage, on this machine by its real path."""
+    kind, root, _ = resolve(env)
+    place, root = re.sub(r"\As3://", "s3a://", uri), root.rstrip("/")
+    if uri != uri.strip() or re.search(r"[?#]", uri) or {"..", "."} & set(uri.split("/")) or uri.endswith("/"):
+        raise Refused(f"{uri!r} names no file")
+    if kind == "local":
+        place, root = (os.path.realpath(re.sub(r"\Afile:(//)?(?=/)", "", p)) for p in (place, root))
+    if not place.startswith(f"{root}/"):
+        raise Refused(f"{uri!r} is outside {root}")
+    return place
+
+
 def kafka_options(env: dict[str, str]) -> dict[str, str]:
     """Options of Spark's Kafka source and sink: PLAINTEXT on this machine only, else SASL over TLS with what the environment names."""
     servers, protocol = env.get("KAFKA_SERVERS", ""), env.get("KAFKA_PROTOCOL", "SASL_SSL")
