@@ -63,3 +63,10 @@ def base64url_bytes(value: Column) -> Column:
     body = F.translate(value, "-_", "+/")
     padded = F.rpad(body, ((F.length(value) + 3) / 4).cast("int") * 4, "=")
     return F.when(value.rlike(r"\A[A-Za-z0-9_-]*\z") & (F.length(value) % 4 != 1), F.unbase64(padded))
+
+
+def iso_instant(at: Column) -> Column:
+    """A UTC time as text with its offset; microseconds only where there are any."""
+    micros = F.pmod(F.unix_micros(at), F.lit(1_000_000))
+    fraction = F.when(micros == 0, "").otherwise(F.concat(F.lit("."), F.lpad(micros.cast("string"), 6, "0")))
+    return F.concat(F.date_format(at, "yyyy-MM-dd'T'HH:mm:ss"), fraction, F.lit("+00:00"))

@@ -6,9 +6,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..errors import Refused
+from ..functions.ais import mmsi
 from ..functions.geometry import in_polygons, line_wkt, point_wkt, simplified, validate_geofence
+from ..functions.text import instant, iso_instant
+from ..sources.envelopes import position_faults
+from .products import refuse
 
 EARTH_METRES = 6_371_008.8
+#: Fixed value: observations of one document for an engine of movement at most.
+MAX_FEATURES = 250_000
 
 
 def without_repeats(rows: DataFrame, key: str, order: list[str], same: list[str]) -> DataFrame:
@@ -151,3 +157,29 @@ def encounters(observations: DataFrame, distance: float, min_seconds: float, key
 
 def observation_wkt(rows: DataFrame) -> DataFrame:
     return rows.withColumn("geometry_wkt", point_wkt(F.col("longitude"), F.col("latitude")))
+
+
+def movement_features(observations: DataFrame) -> DataFrame:
+    """(mmsi, occurred_at, feature): every observation as a GeoJSON feature of one line, for engines that read those; written as text, a folder of them has any size.
+
+    Times are timestamps or RFC 3339 text. Refused if a coordinate isn't a number in its range, or an MMSI or time isn't one.
+    """
+    kinds = dict(observations.dtypes)
+    odd = [c for c in ("latitude", "longitude") if kinds.get(c) not in ("double", "float", "int", "bigint")]
+    if odd:
+        raise Refused(f"{odd} have to be numbers")
+    at = instant(F.col("occurred_at")) if kinds["occurred_at"] == "string" else F.col("occurred_at")
+    checked = observations.select(F.col("mmsi").alias("given"), mmsi(F.col("mmsi")).alias("mmsi"), at.alias("occurred_at"), F.col("longitude").cast("double").alias("x"), F.col("latitude").cast("double").alias("y"))
+    none = F.lit(None).cast("double")
+    refuse(checked, F.col("mmsi").isNull() | F.col("occurred_at").isNull() | (F.size(position_faults(F.col("y"), F.col("x"), none, none)) > 0), "observations without a valid MMSI, time or position", "given")
+    shape = F.struct(F.lit("Point").alias("type"), F.array("x", "y").alias("coordinates"))
+    told = F.struct("mmsi", iso_instant(F.col("occurred_at")).alias("occurred_at"))
+    return checked.select("mmsi", "occurred_at", F.to_json(F.struct(F.lit("Feature").alias("type"), shape.alias("geometry"), told.alias("properties"))).alias("feature"))
+
+
+def feature_collection(features: DataFrame) -> str:
+    """One GeoJSON document of 1 to MAX_FEATURES features, by MMSI and time; refused beyond."""
+    found = features.orderBy("mmsi", "occurred_at", "feature").select("feature").limit(MAX_FEATURES + 1).collect()
+    if not 1 <= len(found) <= MAX_FEATURES:
+        raise Refused(f"a document holds 1 to {MAX_FEATURES} observations")
+    return f'{{"type":"FeatureCollection","features":[{",".join(r.feature for r in found)}]}}'
