@@ -9,10 +9,11 @@ from datetime import UTC, datetime
 import pytest
 from pyspark.sql import functions as F
 
-from keelstone.errors import Refused
+from keelstone.errors import ConflictError, Refused
 from keelstone.operators import governance, ports, serving, tracks, vessels
 from keelstone.plans import assembly, http
 from keelstone.sources import storage
+from keelstone.sources.tables import VersionedTable
 from keelstone.streaming import telemetry
 from test_functions import SENTENCE
 from test_operators import T0, events, observed, port_events
@@ -75,13 +76,18 @@ def vessel(**f):
     return (vessels.KIND, f, 0, None)
 
 
-def test_vessels(spark, scope):
+def test_vessels(spark, scope, tmp_path):
     good = [vessel(mmsi="123456789", latitude=1.0, longitude=2.0, speedKnots=3.0), vessel(nmeaSentences=[SENTENCE])]
     r = vessels.observations(events(spark, good)).orderBy("event_id").collect()
     assert (r[0].mmsi, r[0].geometry_wkt) == ("123456789", "POINT (2 1)") and (r[1].mmsi, r[1].message_type) == ("477553000", 1)
     for bad in (vessel(mmsi="12", latitude=1.0, longitude=2.0), vessel(mmsi="123456789", latitude=91.0, longitude=2.0), vessel(nmeaSentences=[SENTENCE[:-1] + "D"]), vessel(nmeaSentences=[SENTENCE], latitude=1.0)):
         with pytest.raises(Refused):
             vessels.observations(events(spark, [bad]))
+    bronze, seen = VersionedTable(spark, str(tmp_path / "seen")), events(spark, good).withColumns({c: F.lit(c) for c in ("producer", "source_record_reference")})
+    assert vessels.append_observations(bronze, seen)[1:] == (2, 0) and vessels.append_observations(bronze, seen)[1:] == (0, 2)
+    assert sorted(r.decode_source for r in bronze.read().collect()) == ["ais-nmea", "payload"] and bronze.manifest()["properties"]["append_only"]
+    with pytest.raises(ConflictError):
+        vessels.append_observations(bronze, seen.withColumn("producer", F.lit("other")))
     assembly.table(spark, scope, "bronze").append_new(events(spark, good), "event_id")
     fence = tracks.fences(spark, {"f": {"type": "Polygon", "coordinates": [[[0, 0], [3, 0], [3, 3], [0, 3], [0, 0]]]}})
     made = assembly.rebuild_tracks(spark, scope, fence)

@@ -149,6 +149,18 @@ def test_access(spark, tmp_path):
     assert rows(policy.read(t, ["analyst"], "isr_gold", "CONFIDENTIAL"), "k") == [(2,)]
 
 
+def test_roles_only_read():
+    policy = governance.Policy({"desk": governance.whole_scope("platform", "gold"), "isr": governance.whole_scope("isr")})
+    policy.authorize(["desk"], "platform_gold")
+    assert policy.readable(["desk", "isr"]) == {"platform_gold", "isr_bronze", "isr_silver", "isr_gold"}
+    for call in (
+        lambda: policy.authorize_write(["desk"], "platform_gold"), lambda: policy.authorize_write(["nobody"], "platform_gold"), lambda: policy.authorize(["isr"], "isr_gold"),
+        lambda: policy.authorize([" desk"], "platform_gold"), lambda: policy.authorize(["desk"], "platform_gold", "odd"), lambda: policy.readable([]),
+    ):
+        with pytest.raises(AccessError):
+            call()
+
+
 # ---- port statistics
 
 
@@ -364,11 +376,18 @@ def test_retention(spark, tmp_path):
     assert retention.report(df, policy, T0) == {"hot": 2, "cold": 2, "expired": 2}
     table, audit, cold = (VersionedTable(spark, str(tmp_path / n)) for n in ("t", "a", "c"))
     table.append_new(df, "event_id")
-    assert retention.enforce(table, audit, policy, T0, apply=False) == {"windows": 2, "deleted": 0, "dry_run": True}
-    assert table.read().count() == 6
-    assert retention.enforce(table, audit, policy, T0, apply=True, archive=cold)["deleted"] == 2
-    assert rows(table.read(), "event_id") == [("e0",), ("e1",), ("e2",), ("e3",)] and cold.read().count() == 2 and audit.read().count() == 4
-    assert retention.enforce(table, audit, policy, T0, apply=True, archive=cold)["deleted"] == 0
+    for _ in range(2):  # the same plan is audited once
+        assert retention.enforce(table, audit, policy, T0, False, "me") == {"windows": 2, "deleted": 0, "dry_run": True}
+    assert table.read().count() == 6 and audit.read().count() == 2
+    assert retention.enforce(table, audit, policy, T0, True, "me", cold)["deleted"] == 2
+    assert rows(table.read(), "event_id") == [("e0",), ("e1",), ("e2",), ("e3",)] and cold.read().count() == 2 and table.manifest()["properties"]["append_only"]
+    assert rows(audit.read().groupBy("mode").agg(F.count("*").alias("n"), F.sum("n_rows").alias("r")), "mode", "n", "r") == [("delete", 2, 2), ("plan-delete", 2, 2), ("tier-archive", 2, 2)]
+    assert retention.enforce(table, audit, policy, T0, True, "me", cold)["deleted"] == 0
+    for gone in ("e4", "e0"):  # not in the table any more; not expired
+        with pytest.raises(Refused):
+            retention.recheck(df.where(F.col("event_id") == gone).select("event_id"), table.read(), policy, T0)
+    with pytest.raises(Refused):
+        retention.enforce(table, audit, policy, T0, False, " ")
     with pytest.raises(Refused):
         retention.report(df, policy, T0 - timedelta(days=5))
     with pytest.raises(Refused):
@@ -385,6 +404,34 @@ def test_geoparquet(spark, tmp_path):
     with pytest.raises(Refused):
         export.export_geoparquet(df.withColumn("wkt", F.lit("oops")), "wkt", path, "t", 3)
     assert export.export_folder(df, "wkt", str(tmp_path / "f"))[2] == 2
+    env = {"STORAGE_BACKEND": "local", "STORAGE_ROOT": str(tmp_path / "root"), "STORAGE_ALLOW_LOCAL": "1"}
+    inside = str(tmp_path / "root" / "d" / "y.parquet")
+    assert export.export_geoparquet(df, "wkt", inside, "t", 3, env=env)["quality"] == {"row_count": 2} and pq.read_table(inside).num_rows == 2
+    for outside in (path, str(tmp_path / "root" / ".." / "z.parquet"), str(tmp_path / "rooted" / "z.parquet")):
+        with pytest.raises(Refused):
+            export.export_geoparquet(df, "wkt", outside, "t", 3, env=env)
+
+
+def test_quality_metrics(spark):
+    q = lambda a, b: json.dumps({"point_count": a, "simplified_point_count": b})
+    df = spark.createDataFrame([("1", q(9, 3), 4), ("1", q(3, 1), None), (None, None, 2)], "mmsi string, quality_json string, observation_count int")
+    wanted = {"row_count": 3, "distinct_mmsi": 1, "segments_with_quality": 2, "total_track_points": 12, "simplified_track_points": 4, "simplification_ratio": 0.333333}
+    assert export.quality_metrics(df) == wanted | {"geofence_observations": 6} and export.quality_metrics(df.limit(0)) == {"row_count": 0}
+
+
+def test_movement_features(spark):
+    at = T0 + timedelta(microseconds=5)
+    df = spark.createDataFrame([("123456789", 1.5, 2.0, at), ("123456788", -3.0, 4.0, T0)], "mmsi string, latitude double, longitude double, occurred_at timestamp")
+    made = json.loads(tracks.feature_collection(tracks.movement_features(df)))
+    assert [f["geometry"]["coordinates"] for f in made["features"]] == [[4.0, -3.0], [2.0, 1.5]]
+    assert [f["properties"]["occurred_at"] for f in made["features"]] == [T0.isoformat(), at.isoformat()] and made["features"][0]["properties"]["mmsi"] == "123456788"
+    text = df.withColumn("occurred_at", F.lit("2026-03-01T00:00:00Z"))
+    assert tracks.movement_features(text).where(F.col("occurred_at") == F.lit(T0)).count() == 2
+    for change in ({"latitude": F.lit(91.0)}, {"longitude": F.lit(float("nan"))}, {"mmsi": F.lit("12")}, {"occurred_at": F.lit("soon")}, {"latitude": F.lit("1")}, {"longitude": F.lit(None).cast("double")}):
+        with pytest.raises(Refused):
+            tracks.movement_features(df.withColumns(change))
+    with pytest.raises(Refused):
+        tracks.feature_collection(tracks.movement_features(df.limit(0)))
 
 
 def test_serving(spark):
