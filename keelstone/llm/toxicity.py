@@ -7,10 +7,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER, as_binary, id_crc32, tidied
+from .common import LOWER, as_binary, cut_lineage, id_crc32, tidied
 
 #: Labelled documents that the model is fitted on, at most (about); those whose tokens train the field; tokens of a training sequence.
 SAMPLE, SEQUENCES, STRETCH = 20_000, 3_000, 128
@@ -69,19 +70,26 @@ class Field:
         return 1 / (1 + math.exp(-max(-500.0, min(500.0, z))))
 
 
-class _Emissions(dict):
-    """Emissions of the tokens met so far, and the sum and peak of the marginals of texts without any feature, by length."""
+class _Remembered(dict):
+    """What `of` gives for the tokens met so far, up to REMEMBERED of them."""
 
-    def __init__(self, field: Field):
+    def __init__(self, of):
         super().__init__()
-        self.field = field
-        self.plain: dict[int, tuple[float, float]] = {}
+        self.of = of
 
-    def __missing__(self, token: bytes) -> float:
-        e = self.field.emission(token)
+    def __missing__(self, token: bytes):
+        out = self.of(token)
         if len(self) < REMEMBERED:
-            self[token] = e
-        return e
+            self[token] = out
+        return out
+
+
+class _Emissions(_Remembered):
+    """Emissions of the tokens met so far, and the sum and peak of the marginals of texts without any feature, by length."""
+
+    def __init__(self, field: Field):
+        super().__init__(field.emission)
+        self.plain: dict[int, tuple[float, float]] = {}
 
 
 def excess_toxic(field: Field, memory: _Emissions, e: list[float], span_at: float) -> tuple[float, list[float] | None]:
@@ -105,6 +113,35 @@ def excess_toxic(field: Field, memory: _Emissions, e: list[float], span_at: floa
     return max(0.0, sum(m) - total), m
 
 
+def _with_kind(batches):
+    """Rows of (i, y, t) with the least hash of the text's shingles of five tokens, which near copies mostly share."""
+    for batch in batches:
+        kinds = []
+        for text in as_binary(batch.column(2)):
+            tokens = tokens_of(text.as_py())
+            kinds.append(min((xxhash.xxh3_64_intdigest(b" ".join(tokens[j : j + 5])) for j in range(max(1, len(tokens) - 4)))) >> 1)
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(kinds, pa.int64())], ["i", "y", "t", "kind"])
+
+
+def _feature_counts(batches):
+    """(f, p, n) of rows of (y, t): toxic and other texts that have the feature, summed in the worker up to REMEMBERED features at a time."""
+    sums: dict[bytes, list[int]] = {}
+    features = _Remembered(features_of)
+
+    def out():
+        return pa.RecordBatch.from_arrays([pa.array(list(sums), pa.binary()), *(pa.array([v[k] for v in sums.values()], pa.int64()) for k in (1, 0))], ["f", "p", "n"])
+
+    for batch in batches:
+        for y, text in zip(batch.column(0).to_pylist(), as_binary(batch.column(1)), strict=True):
+            for f in {f for token in set(tokens_of(text.as_py())) for f in features[token]}:
+                sums.setdefault(f, [0, 0])[int(y > 0)] += 1
+            if len(sums) > REMEMBERED:
+                yield out()
+                sums.clear()
+    if sums:
+        yield out()
+
+
 def _train(sequences: list[tuple[np.ndarray, np.ndarray]], patterns: np.ndarray, n_features: int, rounds: int = 80) -> tuple[np.ndarray, float, float, float, float]:
     """Gradient ascent on the penalised likelihood of labelled sequences (pattern of each token, label of each token)."""
     m, length = len(sequences), max(len(s) for s, _ in sequences)
@@ -148,7 +185,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col="doc_id", text_col="text", la
 
     Labels are of documents; those of tokens are derived: a feature that is far likelier in toxic documents is a sign, and in a
     toxic document tokens with a sign are toxic. Near copies must not count as evidence again and again, so documents are counted
-    by kind, the least hash of their five-word shingles. How many it takes follows from the sample: a sign has to be LEAST_ODDS
+    by kind, the least hash of their five-word shingles: the document of the smallest id stands for its kind, which is toxic if any
+    of its documents is. The sample is written once to the shared folder and counted from there. How many it takes follows from the sample: a sign has to be LEAST_ODDS
     likelier, by LEAST_ERRORS standard errors; of more than FEATURES signs those in most kinds are used. An id labelled several
     times is toxic if any label says so. Without labelled documents of both classes, or with so few that no feature is a sign,
     nothing is toxic and all scores are equal. Null texts teach nothing.
@@ -161,20 +199,9 @@ def fit(docs: DataFrame, labels: DataFrame, id_col="doc_id", text_col="text", la
     toxic, clean = (min(1.0, sample / 2 / sizes[y]) for y in (1, 0))
     chosen = marked.where(at < F.when(F.col("y") == 1, toxic).otherwise(clean))
     rows = docs.select(F.col(id_col).alias("i"), F.col(text_col).alias("t")).where("t is not null").join(F.broadcast(chosen), "i")  # `sample` rows of two numbers
-
-    def found(batches):
-        import xxhash
-
-        for batch in batches:
-            for k in range(batch.num_rows):
-                tokens = tokens_of(as_binary(batch.column("t").slice(k, 1))[0].as_py())
-                kind = min((xxhash.xxh3_64_intdigest(b" ".join(tokens[j : j + 5])) for j in range(max(1, len(tokens) - 4))), default=0) >> 1
-                names = list({f for t in set(tokens) for f in features_of(t)})
-                y = batch.column("y")[k].as_py()
-                yield pa.RecordBatch.from_arrays([pa.array(names, pa.binary()), pa.array(np.full(len(names), y), pa.int32()), pa.array(np.full(len(names), kind, np.int64))], ["f", "y", "kind"])
-
-    kinds = rows.mapInArrow(tidied(found), "f binary, y int, kind long").groupBy("f", "kind").agg(F.max("y").alias("y"))
-    counted = kinds.groupBy("f").agg(F.sum("y").alias("p"), F.sum(1 - F.col("y")).alias("n")).where("p >= 2")
+    drawn = cut_lineage(rows.select("i", "y", "t").mapInArrow(tidied(_with_kind), f"i {rows.schema['i'].dataType.simpleString()}, y int, t string, kind long").withColumn("row", F.monotonically_increasing_id()))
+    firsts = drawn.groupBy("kind").agg(F.max("y").alias("y"), F.min(F.struct("i", F.xxhash64("t"), "row")).alias("first")).select("y", F.col("first.row").alias("row"))
+    counted = drawn.select("row", "t").join(firsts, "row").select("y", "t").mapInArrow(tidied(_feature_counts), "f binary, p long, n long").groupBy("f").agg(F.sum("p").alias("p"), F.sum("n").alias("n")).where("p >= 2")
     n1, n0 = (max(1.0, sizes[y] * s) for y, s in ((1, toxic), (0, clean)))
     odds = F.log((F.col("p") + 0.5) / (n1 + 1)) - F.log((F.col("n") + 0.5) / (n0 + 1))
     error = F.sqrt(1 / (F.col("p") + 0.5) + 1 / (F.col("n") + 0.5))
@@ -183,14 +210,13 @@ def fit(docs: DataFrame, labels: DataFrame, id_col="doc_id", text_col="text", la
         return Field({}, -20.0, 0.0, 0.0, 0.0, (0.0, 0.0, -20.0))
     number = {f: k + 1 for k, f in enumerate(signs)}
     share = min(1.0, sequences / (n1 + n0))
-    part = rows.where(F.pmod(F.xxhash64(F.lit(12), "i"), F.lit(1 << 20)) / float(1 << 20) < F.when(F.col("y") == 1, min(1.0, share * (n1 + n0) / 2 / n1)).otherwise(min(1.0, share * (n1 + n0) / 2 / n0)))
+    part = drawn.where(F.pmod(F.xxhash64(F.lit(12), "i"), F.lit(1 << 20)) / float(1 << 20) < F.when(F.col("y") == 1, min(1.0, share * (n1 + n0) / 2 / n1)).otherwise(min(1.0, share * (n1 + n0) / 2 / n0)))
 
     def sequence(batches):
+        signs_of = _Remembered(lambda x: ",".join(map(str, sorted(number[f] for f in features_of(x) if f in number))) or "0")
         for batch in batches:
-            out = []
-            for t in as_binary(batch.column("t")):
-                out.append([",".join(map(str, sorted(number[f] for f in features_of(x) if f in number))) for x in tokens_of(t.as_py())])
-            yield pa.RecordBatch.from_arrays([batch.column("y"), pa.array([" ".join(x or "0" for x in s) for s in out])], ["y", "s"])
+            out = [" ".join(map(signs_of.__getitem__, tokens_of(t.as_py()))) for t in as_binary(batch.column("t"))]
+            yield pa.RecordBatch.from_arrays([batch.column("y"), pa.array(out, pa.string())], ["y", "s"])
 
     pattern_of: dict[str, int] = {"0": 0}
     stretches, documents = [], []
