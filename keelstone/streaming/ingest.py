@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.signing import envelope_fault
-from ..operators.governance import Scope
+from ..operators.governance import Scope, internal_label
 from ..sources.envelopes import MAX_LINE, event_columns, event_faults, faults, parsed
 from ..sources.tables import VersionedTable
 
@@ -44,8 +44,7 @@ def ingest_batch(batch: DataFrame, scope: Scope, bronze: VersionedTable, quarant
     at = F.current_timestamp() if at is None else at
     rows = classified(batch, keys, at).persist()
     try:
-        events = rows.where("reason = ''").select("event.*")
-        events = events.withColumn("data_classification", F.coalesce(*_labels(events)))
+        events = labelled(rows.where("reason = ''").select("event.*"))
         counts = {r.reason or "accepted": r.n for r in rows.groupBy("reason").agg(F.count(F.lit(1)).alias("n")).collect()}
         if sum(v for k, v in counts.items() if k != "accepted"):
             # equal lines of a file have equal coordinates and are one record
@@ -58,10 +57,10 @@ def ingest_batch(batch: DataFrame, scope: Scope, bronze: VersionedTable, quarant
         rows.unpersist()
 
 
-def _labels(events: DataFrame) -> list[Column]:
-    from ..operators.governance import internal_label
-
-    return [internal_label(F.col("data_classification"), F.col("event_type")), F.lit("unmapped")]
+def labelled(events: DataFrame) -> DataFrame:
+    """Events with the internal label of their classification and type, `unmapped` if there is none."""
+    label = internal_label(F.col("data_classification"), F.col("event_type"))
+    return events.withColumn("data_classification", F.coalesce(label, F.lit("unmapped")))
 
 
 def start(lines: DataFrame, scope: Scope, bronze: VersionedTable, quarantine: VersionedTable, checkpoint: str, keys: dict[str, bytes] | None = None) -> StreamingQuery:
