@@ -39,7 +39,12 @@ def wkb_roundtrip(spark, sf_dir):
     return lines.select("trajectory_id", geometry.wkt_to_wkb("simplified_wkt").alias("g")).select("trajectory_id", F.hex("g.wkb").alias("wkb_hex"), "g.kind", "g.min_x", "g.max_y")
 
 
-@query()
+@query("""
+    WITH sorted AS (
+        SELECT event_id, '{"event_type":' || to_json(event_type) || ',"props":' || to_json(props) || ',"value":' || CAST(value AS VARCHAR) || '}' AS sorted FROM events
+    )
+    SELECT event_id, sorted, sha256(regexp_replace(sorted, '[.]0}$', '}')) AS jcs_sha256 FROM sorted
+""")
 def canonical_documents(spark, sf_dir):
     """Event properties in both canonical forms, with digests."""
     rows = table(spark, sf_dir, "events").select("event_id", F.to_json(F.struct("value", "event_type", "props")).alias("j"))
@@ -56,14 +61,33 @@ def signed_envelopes(spark, sf_dir):
     return rows.select("name", signing.envelope_fault(F.col("envelope"), {"k1": signing.public_key(seed)}).alias("fault"))
 
 
-@query()
+@query("""
+    WITH bodies AS (
+        SELECT event_id, 'AIVDM,1,1,,A,1' || translate(substr(md5(CAST(event_id AS VARCHAR)), 1, 27), 'abcdef', 'PQRSTU') || ',0' AS body FROM events
+    ), bits AS (
+        SELECT event_id, list_aggregate(list_transform(string_split(split_part(body, ',', 6), ''), lambda c: lpad(bin(ascii(c) - 48 - CASE WHEN ascii(c) - 48 > 40 THEN 8 ELSE 0 END), 6, '0')), 'string_agg', '') AS b FROM bodies
+    ), numbers AS (
+        SELECT event_id,
+            CAST(list_sum(list_transform(range(6), lambda i: CAST(b[1 + i] AS BIGINT) << (5 - i))) AS INTEGER) AS message_type,
+            CAST(list_sum(list_transform(range(30), lambda i: CAST(b[9 + i] AS BIGINT) << (29 - i))) AS BIGINT) AS m,
+            CAST(list_sum(list_transform(range(28), lambda i: CAST(b[62 + i] AS BIGINT) << (27 - i))) AS BIGINT) - CASE WHEN b[62] = '1' THEN 1 << 28 ELSE 0 END AS x,
+            CAST(list_sum(list_transform(range(27), lambda i: CAST(b[90 + i] AS BIGINT) << (26 - i))) AS BIGINT) - CASE WHEN b[90] = '1' THEN 1 << 27 ELSE 0 END AS y
+        FROM bits
+    ), placed AS (SELECT *, event_id % 7 <> 3 AS sound, abs(x) <= 108000000 AND abs(y) <= 54000000 AS here FROM numbers)
+    SELECT event_id, sound AS valid, CASE WHEN sound THEN message_type ELSE 0 END AS message_type,
+        CASE WHEN NOT sound THEN NULL WHEN m < 1000000000 THEN lpad(CAST(m AS VARCHAR), 9, '0') ELSE CAST(m AS VARCHAR) END AS mmsi,
+        CASE WHEN sound AND here THEN x / 600000.0::DOUBLE END AS longitude, CASE WHEN sound AND here THEN y / 600000.0::DOUBLE END AS latitude,
+        CASE WHEN NOT sound THEN 'not a valid sentence' END AS fault
+    FROM placed
+""")
 def ais_checksums(spark, sf_dir):
-    """Sentences made of events, their checksums told by Catalyst, and what they decode to."""
-    body = F.concat(F.lit("AIVDM,1,1,,A,1"), F.rpad(F.translate(F.hex("event_id"), "ABCDEF", "PQRSTU"), 27, "0"), F.lit(",0"))
+    """Position reports made of digests of all events, every seventh with a wrong checksum: checksums told by Catalyst, and what the sentences decode to."""
+    body = F.concat(F.lit("AIVDM,1,1,,A,1"), F.translate(F.substring(F.md5(F.col("event_id").cast("string").cast("binary")), 1, 27), "abcdef", "PQRSTU"), F.lit(",0"))
     codes = F.transform(F.filter(F.split(body, ""), lambda c: c != ""), F.ascii)
-    check = F.lpad(F.hex(F.aggregate(codes, F.lit(0), lambda a, c: a.bitwiseXOR(c))), 2, "0")
+    wrong = F.when(F.col("event_id") % 7 == 3, 1).otherwise(0)
+    check = F.lpad(F.hex(F.aggregate(codes, wrong, lambda a, c: a.bitwiseXOR(c))), 2, "0")
     rows = table(spark, sf_dir, "events").select("event_id", F.concat(F.lit("!"), body, F.lit("*"), check).alias("s"))
-    return rows.select("event_id", ais.sentence_valid(F.col("s")).alias("valid"), ais.decode_reports(F.array("s")).alias("r")).select("event_id", "valid", "r.message_type", "r.mmsi", "r.longitude", "r.latitude", "r.fault")
+    return rows.select("event_id", ais.sentence_valid(F.col("s")).alias("valid"), ais.decode_reports(F.array("s")).alias("r")).select("event_id", "valid", F.coalesce("r.message_type", F.lit(0)).alias("message_type"), "r.mmsi", "r.longitude", "r.latitude", "r.fault")
 
 
 def event(kind, i, at, *fields):
