@@ -26,10 +26,29 @@ def trajectories(spark, sf_dir):
     return tracks.trajectories(_observations(spark, sf_dir), gap_seconds=12 * 3600, tolerance=0.5)
 
 
-@query()
+@query("""
+    WITH p AS (
+        SELECT lpad(CAST(user_id AS VARCHAR), 9, '2') AS mmsi, event_id, epoch_us(ts) AS us, value / 10 AS lon, (user_id % 60)::DOUBLE + (event_id % 10) / 100.0 AS lat FROM events
+    ), l AS (
+        SELECT *, lag(lon) OVER w AS lon0, lag(lat) OVER w AS lat0, us - lag(us) OVER w AS gap FROM p WINDOW w AS (PARTITION BY mmsi ORDER BY us, event_id)
+    ), m AS (
+        SELECT *, gap IS NULL OR gap > 43200000000 AS begins,
+            2 * 6371008.8 * asin(least(sqrt(pow(sin(radians(lat - lat0) / 2), 2) + cos(radians(lat0)) * cos(radians(lat)) * pow(sin(radians(lon - lon0) / 2), 2)), 1.0)) AS metres FROM l
+    ), s AS (
+        SELECT *, sum(CASE WHEN begins AND gap IS NOT NULL THEN 1 ELSE 0 END) OVER (PARTITION BY mmsi ORDER BY us, event_id ROWS UNBOUNDED PRECEDING) AS segment FROM m
+    ), t AS (
+        SELECT mmsi, segment, count(*) AS n_points, min(us) AS first_us, max(us) AS last_us, sum(CASE WHEN begins THEN 0 ELSE metres END) AS length, sum(CASE WHEN begins THEN 0 ELSE gap END) AS elapsed FROM s GROUP BY mmsi, segment
+    )
+    SELECT mmsi, CAST(segment AS BIGINT) AS segment_index, n_points, first_us, last_us, CAST(round(length, 1) AS DOUBLE) AS length_metres, CAST(elapsed AS BIGINT) AS elapsed_us,
+        CAST(CASE WHEN elapsed > 0 THEN round(length / (elapsed / 1e6), 3) ELSE 0 END AS DOUBLE) AS mean_speed FROM t
+""")
 def reconstructed_tracks(spark, sf_dir):
     """Length, duration and mean speed of segments."""
-    return tracks.reconstructed(_observations(spark, sf_dir), gap_hours=12)
+    made = tracks.reconstructed(_observations(spark, sf_dir), gap_hours=12)
+    return made.select(
+        "mmsi", F.col("segment_index").cast("long").alias("segment_index"), "n_points", F.unix_micros("started_at").alias("first_us"), F.unix_micros("ended_at").alias("last_us"),
+        F.round("length_metres", 1).alias("length_metres"), F.round(F.col("seconds") * 1e6).cast("long").alias("elapsed_us"), F.round("mean_speed", 3).alias("mean_speed"),
+    )
 
 
 @query()
