@@ -13,7 +13,7 @@ from ..errors import Refused
 from ..functions.canonical import canonical_json, to_canonical_json
 from ..functions.text import is_canonical_text, matches
 from ..functions.udf import vectorised
-from ..sources.envelopes import with_domain_fields
+from ..sources.envelopes import UNREADABLE, found_faults, where_read, with_domain_fields
 from .governance import CLEARANCES, rank
 
 #: Event types and vocabularies.
@@ -41,12 +41,15 @@ def _read(events: DataFrame, kind: str | Column, fields: dict[str, str], more=la
     """Events of a kind with their domain fields `f`, all rules checked in one pass; more: further rules, fault by predicate."""
     own = F.col("event_type") == kind if isinstance(kind, str) else kind
     read = with_domain_fields(events.where(own), fields)
-    bad = read.select("event_id", F.coalesce("fault", *[F.when(F.coalesce(b, F.lit(True)), F.lit(n)) for n, b in more(F.col("f")).items()]).alias("fault")).where("fault is not null").limit(5).collect()
-    if bad:
-        raise Refused(f"{what or kind}: {[(r[0], r[1]) for r in bad]}")
+    if bad := found_faults(read, _first_fault(more(F.col("f")))):
+        raise Refused(f"{what or kind}: {bad}")
     return read.drop("fault")
 
 
+def _first_fault(rules: dict[str, Column]) -> Column:
+    return F.coalesce("fault", *[F.when(F.coalesce(bad, F.lit(True)), F.lit(name)) for name, bad in rules.items()])
+
+
 def ledger_rollup(silver: DataFrame) -> DataFrame:
     """By ledger commitment: records, first and last time, sources and event ids as sorted JSON."""
     return silver.groupBy("ledger_commit_hash").agg(
@@ -131,10 +134,10 @@ def credit_blocks(events: DataFrame) -> DataFrame:
     return latest(rows.withColumn("block_id", f["blockId"]), "block_id").select("event_id", "block_id", f["projectId"].alias("project_id"), f["vintage"].alias("vintage"), f["status"].alias("status"), f["quantityKgCo2e"].cast(EXACT).alias("q"), F.coalesce(f["bufferPool"], F.lit(False)).alias("buffer"))
 
 
-def vintage_totals(blocks: DataFrame) -> DataFrame:
-    """Issued, retired and cancelled by project and vintage; exact, in whatever order the rows come."""
+def vintage_totals(blocks: DataFrame, *more: Column) -> DataFrame:
+    """Issued, retired and cancelled by project and vintage; exact, in whatever order the rows come. more: further aggregates."""
     of = lambda state: F.coalesce(F.sum(F.when(F.col("status") == state, F.col("q"))), F.lit(0)).cast(EXACT)
-    return blocks.groupBy("project_id", "vintage").agg(F.sum("q").cast(EXACT).alias("issued_kg_co2e"), of("RETIRED").alias("retired_kg_co2e"), of("CANCELLED").alias("cancelled_kg_co2e"))
+    return blocks.groupBy("project_id", "vintage").agg(F.sum("q").cast(EXACT).alias("issued_kg_co2e"), of("RETIRED").alias("retired_kg_co2e"), of("CANCELLED").alias("cancelled_kg_co2e"), *more)
 
 
 def retirements(events: DataFrame) -> DataFrame:

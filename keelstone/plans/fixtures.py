@@ -125,7 +125,7 @@ def instant_text(c):
 
 
 def events_of(rows, *events):
-    return rows.select(F.explode(F.array_compact(F.array(*events))).alias("e")).select("e.*")
+    return rows.select(F.explode(F.array(*events)).alias("e")).where("e is not null").select("e.*")  # compacting the array first would make its events twice, to infer a filter
 
 
 def _port_events(spark, sf_dir):

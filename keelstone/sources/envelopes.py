@@ -21,6 +21,8 @@ CLEARANCES = ("UNCLASSIFIED", "RESTRICTED", "CONFIDENTIAL", "SECRET")
 CARRIAGE = ("resourceType", "id", "code", "extension", "provenance", "meta", "text")
 #: End of the address of the extension that holds a domain record; a deployment may set its whole address.
 DOMAIN_PAYLOAD = "/StructureDefinition/domain-payload"
+#: Faults of a payload as a whole, of which no field can be told.
+UNREADABLE = ("payload", "extension", "domain-payload")
 
 PROVENANCE = "struct<principalId: string, principalRole: string, signature: string, ledgerCommitHash: string>"
 ENVELOPE = f"struct<envelopeVersion: string, eventId: string, eventType: string, occurredAt: string, producer: string, correlationId: string, fhir: struct<resourceType: string, type: string, entry: array<struct<resource: string>>>, provenance: {PROVENANCE}, classification: string, recordClassification: string>"
@@ -82,17 +84,17 @@ def _has(name: str):
     return lambda document: _kind(_member(document, name)).isNotNull()
 
 
-#: How a field of a kind is told and read: the JSON kinds it may have, and what it becomes. A null or missing field is null.
+#: How a field of a kind is read, and told from the JSON kind it has and what was read. A null or missing field is null.
 READERS = {
-    "text": (lambda k, v: (k == "STRING") & (F.trim(F.try_variant_get(v, "$", "string")) != ""), lambda v: F.try_variant_get(v, "$", "string")),
-    "number": (lambda k, v: k.rlike("^(BIGINT|DECIMAL|DOUBLE|FLOAT)"), lambda v: F.try_variant_get(v, "$", "double")),
-    "whole": (lambda k, v: k == "BIGINT", lambda v: F.try_variant_get(v, "$", "long")),
-    "instant": (lambda k, v: (k == "STRING") & instant(F.try_variant_get(v, "$", "string")).isNotNull(), lambda v: instant(F.try_variant_get(v, "$", "string"))),
-    "flag": (lambda k, v: F.lit(True), lambda v: (_kind(v) == "BOOLEAN") & F.try_variant_get(v, "$", "boolean")),
-    "object": (lambda k, v: k.startswith("OBJECT"), lambda v: F.to_json(v)),
-    "array": (lambda k, v: k.startswith("ARRAY"), lambda v: F.to_json(v)),
-    "texts": (lambda k, v: k.startswith("ARRAY"), lambda v: F.try_variant_get(v, "$", "array<string>")),
-    "word": (lambda k, v: k.isin("STRING", "BIGINT"), lambda v: F.try_variant_get(v, "$", "string")),
+    "text": (lambda v: F.try_variant_get(v, "$", "string"), lambda k, x: (k == "STRING") & (F.trim(x) != "")),
+    "number": (lambda v: F.try_variant_get(v, "$", "double"), lambda k, x: F.substring(k, 1, 6).isin("BIGINT", "DECIMA", "DOUBLE", "FLOAT")),
+    "whole": (lambda v: F.try_variant_get(v, "$", "long"), lambda k, x: k == "BIGINT"),
+    "instant": (lambda v: instant(F.try_variant_get(v, "$", "string")), lambda k, x: (k == "STRING") & x.isNotNull()),
+    "flag": (lambda v: (_kind(v) == "BOOLEAN") & F.try_variant_get(v, "$", "boolean"), lambda k, x: F.lit(True)),
+    "object": (lambda v: F.to_json(v), lambda k, x: k.startswith("OBJECT")),
+    "array": (lambda v: F.to_json(v), lambda k, x: k.startswith("ARRAY")),
+    "texts": (lambda v: F.try_variant_get(v, "$", "array<string>"), lambda k, x: k.startswith("ARRAY")),
+    "word": (lambda v: F.try_variant_get(v, "$", "string"), lambda k, x: k.isin("STRING", "BIGINT")),
 }
 
 
@@ -102,29 +104,48 @@ def with_domain_fields(events: DataFrame, fields: dict[str, str], payload: str =
     fields: the kind of each (see READERS), with a ! after it if the field has to be there. The record is the resource's own fields
     but those of carriage, overridden in turn by the documents of its domain-payload extensions; a null overrides, too. A payload
     or document that isn't a JSON object, an extension that isn't a list of objects, or one without its document is a fault.
+
+    Each step is a column of its own that the next ones use more than once, so the optimiser doesn't write it out again. Below a
+    filter it would: `found_faults` and `where_read` are for that.
     """
-    v, ext, docs = F.col("__v"), F.col("__ext"), F.col("__docs")
-    ours = lambda x: F.coalesce(F.try_variant_get(x, "$.url", "string").endswith(extension), F.lit(False))
-    rows = events.withColumn("__v", F.try_parse_json(payload)).withColumn("__ext", F.try_variant_get(v, "$.extension", "array<variant>"))
-    rows = rows.withColumn("__docs", F.transform(F.filter(F.coalesce(ext, F.array().cast("array<variant>")), ours), lambda x: F.try_parse_json(F.when(_kind(_member(x, "valueString")) == "STRING", F.try_variant_get(x, "$.valueString", "string")))))
-    sound = F.coalesce(_kind(v).startswith("OBJECT"), F.lit(False))
-    listed = _kind(_member(v, "extension"))
-    listed_well = listed.isNull() | (listed == "VOID") | (ext.isNotNull() & F.forall(ext, lambda x: F.coalesce(_kind(x).startswith("OBJECT"), F.lit(False))))
-    documents = F.forall(docs, lambda d: F.coalesce(_kind(d).startswith("OBJECT"), F.lit(False)))
-    faults, values = [F.when(~sound, F.lit("payload")), F.when(~listed_well, F.lit("extension")), F.when(~documents, F.lit("domain-payload"))], []
-    for name, kind in fields.items():
-        having = F.filter(docs, _has(name))
-        own = F.lit(None).cast("variant") if name in CARRIAGE else _member(v, name)
-        value = F.when(F.size(having) > 0, _member(F.try_element_at(having, F.lit(-1)), name)).otherwise(own)
-        values.append(value.alias(name))
-        told, _ = READERS[kind.removesuffix("!")]
-        x = F.col("__f").getField(name)
-        k = _kind(x)
-        absent = k.isNull() | (k == "VOID")
-        faults.append(F.when(F.when(absent, F.lit(kind.endswith("!"))).otherwise(~F.coalesce(told(k, x), F.lit(False))), F.lit(name)))
-    rows = rows.withColumn("__f", F.struct(*values))
-    typed = [F.when(~F.coalesce(_kind(F.col("__f").getField(n)) == "VOID", F.lit(True)), READERS[k.removesuffix("!")][1](F.col("__f").getField(n))).alias(n) for n, k in fields.items()]
-    return rows.withColumn("fault", F.coalesce(*faults)).withColumn("f", F.struct(*typed)).drop("__v", "__ext", "__docs", "__f")
+    v, listed, ext, docs = F.col("__v"), F.col("__listed"), F.col("__ext"), F.col("__docs")
+    x, k, t = (lambda name, kind=kind: F.col(f"`__{kind}_{name}`") for kind in "xkt")
+    ours = lambda e: F.coalesce(F.try_variant_get(e, "$.url", "string").endswith(extension), F.lit(False))
+    document = lambda e: F.try_parse_json(F.when(_kind(_member(e, "valueString")) == "STRING", F.try_variant_get(e, "$.valueString", "string")))
+    is_object = lambda e: F.coalesce(_kind(e).startswith("OBJECT"), F.lit(False))
+    own = lambda name: F.lit(None).cast("variant") if name in CARRIAGE else _member(v, name)
+    last = lambda name: F.try_element_at(F.filter(docs, _has(name)), F.lit(-1))
+    present = lambda name: k(name).isNotNull() & (k(name) != "VOID")
+    rows = events.withColumn("__v", F.try_parse_json(payload)).withColumn("__listed", _kind(_member(v, "extension")))
+    rows = rows.withColumn("__ext", F.when(listed != "VOID", F.try_variant_get(v, "$.extension", "array<variant>")))
+    rows = rows.withColumn("__docs", F.when(ext.isNotNull(), F.transform(F.filter(ext, ours), document)))
+    rows = rows.withColumns({f"__x_{n}": F.when(F.coalesce(F.exists(docs, _has(n)), F.lit(False)), _member(last(n), n)).otherwise(own(n)) for n in fields})
+    rows = rows.withColumns({f"__k_{n}": _kind(x(n)) for n in fields})
+    rows = rows.withColumns({f"__t_{n}": F.when(present(n), READERS[kind.removesuffix("!")][0](x(n))) for n, kind in fields.items()})
+    opens = F.substring(F.ltrim(F.col(payload), F.lit(" \t\r\n")), 1, 1) == "{"  # what parses and opens so is an object
+    faults = [
+        F.when(~F.coalesce(v.isNotNull() & opens, F.lit(False)), F.lit("payload")),
+        F.when((listed != "VOID") & (ext.isNull() | ~F.forall(ext, is_object)), F.lit("extension")),
+        F.when(docs.isNotNull() & ~F.forall(docs, is_object), F.lit("domain-payload")),
+    ]
+    for n, kind in fields.items():
+        told = F.coalesce(READERS[kind.removesuffix("!")][1](k(n), t(n)), F.lit(False))
+        faults.append(F.when(F.when(present(n), ~told).otherwise(F.lit(kind.endswith("!"))), F.lit(n)))
+    rows = rows.withColumns({"fault": F.coalesce(*faults), "f": F.struct(*[t(n).alias(n) for n in fields])})
+    return rows.drop("__v", "__listed", "__ext", "__docs", *[f"__{kind}_{n}" for n in fields for kind in "xkt"])
+
+
+def where_read(rows: DataFrame, condition: Column) -> DataFrame:
+    """The rows of a condition over fields that have been read. A plain filter would be moved below the reading, and read them again; none passes what a generator has made."""
+    return rows.withColumn("__where", F.explode(F.array(condition))).where("__where").drop("__where")
+
+
+def found_faults(read: DataFrame, fault: Column, most: int = 5) -> list[tuple[str, str]]:
+    """A few (event_id, fault) of the rows that have a fault. They are counted first, over all partitions at once; only if there are any another pass names some."""
+    told = read.select("event_id", fault.alias("fault"))
+    if not told.agg(F.count("fault")).first()[0]:
+        return []
+    return [(r[0], r[1]) for r in where_read(told, F.col("fault").isNotNull()).limit(most).collect()]
 
 
 def event_columns(ingested_at: Column, source_system: str = "event-stream") -> list[Column]:
