@@ -154,13 +154,15 @@ def public_registry(events: DataFrame) -> DataFrame:
     blocks = credit_blocks(events)
     line = F.concat(F.lit('{"vintage":'), F.regexp_replace(F.to_json(F.array("vintage")), r"^\[|\]$", ""), *[x for c in ("issued", "retired", "cancelled") for x in (F.lit(f',"{c}_kg_co2e":'), _plain(F.col(f"{c}_kg_co2e")))], F.lit("}"))
     lines = lambda order, text: F.concat(F.lit("["), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(*order, text.alias("line")))), lambda x: x["line"]), ","), F.lit("]"))
-    totals = vintage_totals(blocks).groupBy("project_id").agg(lines(["vintage"], line).alias("vintage_totals_json"))
-    buffers = blocks.groupBy("project_id").agg(F.coalesce(F.sum(F.when(F.col("buffer") & (F.col("status") == "ACTIVE"), F.col("q"))), F.lit(0)).cast("double").alias("buffer"), F.collect_list("event_id").alias("block_ids"))
+    # totals, buffer and ids by vintage first, so the blocks are read once
+    held = F.sum(F.when(F.col("buffer") & (F.col("status") == "ACTIVE"), F.col("q")))
+    by_vintage = vintage_totals(blocks, held.alias("held"), F.collect_list("event_id").alias("block_ids"))
+    totals = by_vintage.groupBy("project_id").agg(lines(["vintage"], line).alias("vintage_totals_json"), F.coalesce(F.sum("held"), F.lit(0)).cast("double").alias("buffer"), F.flatten(F.collect_list("block_ids")).alias("block_ids"))
     item = F.to_json(F.struct(f["retirementId"].alias("retirement_id"), f["serial"].alias("serial"), f["beneficiary"].alias("beneficiary"), f["purpose"].alias("purpose"), f["quantityKgCo2e"].alias("quantity_kg_co2e"), f["artifactSha256"].alias("artifact_sha256"), f["retiredAt"].alias("retired_at")), {"ignoreNullFields": "false"})
     lists = retirements(events).withColumn("retirement", f["retirementId"]).groupBy(f["projectId"].alias("project_id")).agg(lines(["retirement", "event_id"], item).alias("retirements_json"), F.collect_list("event_id").alias("retirement_ids"))
     none = F.array().cast("array<string>")
     ids = F.array_sort(F.concat(F.array("event_id"), F.coalesce("block_ids", none), F.coalesce("retirement_ids", none)))
-    return projects.join(totals, "project_id", "left").join(buffers, "project_id", "left").join(lists, "project_id", "left").select(
+    return projects.join(totals, "project_id", "left").join(lists, "project_id", "left").select(
         "project_id", f["projectName"].alias("project_name"), f["state"].alias("state"), f["ecosystem"].alias("ecosystem"), f["methodology"].alias("methodology"), f["countryCode"].alias("country_code"), f["strataCentroids"].alias("strata_centroids_json"),
         f["externalRegistry"].alias("external_registry"), f["externalProjectId"].alias("external_project_id"), F.coalesce("vintage_totals_json", F.lit("[]")).alias("vintage_totals_json"), F.coalesce("buffer", F.lit(0.0)).alias("buffer_balance_kg_co2e"), F.coalesce("retirements_json", F.lit("[]")).alias("retirements_json"), F.to_json(ids).alias("source_event_ids_json"),
     )
