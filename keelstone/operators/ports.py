@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ..errors import Refused
 from ..functions.canonical import canonical_json
 from ..functions.text import digest_key, hours_between, in_period, matches
-from ..sources.envelopes import with_domain_fields
+from ..sources.envelopes import UNREADABLE, found_faults, where_read, with_domain_fields
 
 #: Event types.
 CALL, SCAN, BOOKING = "ports.port-call.v1", "ports.gate.scan.v1", "ports.booking.created.v1"
@@ -66,10 +66,9 @@ def _checked(events: DataFrame, kind: str, fields: dict[str, str], more, what: s
     read = with_domain_fields(events, fields)
     own = F.col("event_type") == kind
     rules = F.coalesce(F.col("fault"), *[F.when(F.coalesce(bad, F.lit(True)), F.lit(name)) for name, bad in more(F.col("f")).items()])
-    fault = F.when(own, rules).when(F.col("fault").isin("payload", "extension", "domain-payload"), F.col("fault"))
-    bad = read.select("event_id", fault.alias("fault")).where("fault is not null").limit(5).collect()
-    if bad:
-        raise Refused(f"{what}: {[(r[0], r[1]) for r in bad]}")
+    fault = F.when(own, rules).when(F.col("fault").isin(*UNREADABLE), F.col("fault"))
+    if bad := found_faults(read, fault):
+        raise Refused(f"{what}: {bad}")
     return read.where(own).select("event_id", "occurred_at", "f")
 
 
@@ -121,7 +120,7 @@ def bookings(events: DataFrame, period: str) -> DataFrame:
     rows = _checked(events, BOOKING, BOOKING_FIELDS, rules, "bookings")
     f = F.col("f")
     made = rows.select("event_id", F.coalesce(f["bookingId"], "event_id").alias("booking_id"), f["portCode"].alias("port_code"), F.coalesce(f["createdAt"], F.col("occurred_at")).alias("created_at"), f["slotWindowStart"].alias("slot_at"), f["bookedSlots"].alias("booked"), f["offeredSlots"].alias("offered"))
-    return made.where(in_period(F.col("slot_at"), period)).withColumn("lead_hours", hours_between(F.col("created_at"), F.col("slot_at")))
+    return where_read(made, in_period(F.col("slot_at"), period)).withColumn("lead_hours", hours_between(F.col("created_at"), F.col("slot_at")))
 
 
 def quantiles(rows: DataFrame, kpi: str, value: str, names: tuple[str, ...]) -> DataFrame:
