@@ -76,13 +76,16 @@ def silver_rows(events: DataFrame, ledger: bool) -> DataFrame:
 
 def annual_reports(events: DataFrame) -> DataFrame:
     """The latest VERIFIED report of each vessel and year. Others aren't looked at; a verified one with a fault is refused."""
-    state = with_domain_fields(events.where(F.col("event_type") == ANNUAL), {"state": "text"})
-    bad = [r[0] for r in state.where(F.col("fault").isin("payload", "extension", "domain-payload")).select("event_id").limit(5).collect()]
-    if bad:
-        raise Refused(f"annual reports that can't be read: {bad}")
-    fields = {"imoNumber": "text!", "calendarYear": "whole!", "reportId": "text!", "ciiRating": "text", "totals": "object!", "attainedCii": "number", "requiredCii": "number"}
+    fields = {"imoNumber": "text!", "calendarYear": "whole!", "reportId": "text!", "ciiRating": "text", "totals": "object!", "attainedCii": "number", "requiredCii": "number", "state": "text"}
     rules = lambda f: {"imoNumber": ~matches(f["imoNumber"], "imo_number"), "calendarYear": ~f["calendarYear"].between(2000, 9999), "ciiRating": f["ciiRating"].isNotNull() & ~f["ciiRating"].isin(*RATINGS), "co2Tonnes": ~F.coalesce(_number_or_none(f["totals"], "co2Tonnes"), F.lit(False))}
-    rows = _read(state.where("f.state = 'VERIFIED'").drop("f", "fault"), ANNUAL, fields, rules)
+    read = with_domain_fields(events.where(F.col("event_type") == ANNUAL), fields)
+    verified = F.coalesce(F.col("f.state") == "VERIFIED", F.lit(False))
+    bad = found_faults(read, F.when(F.col("fault").isin(*UNREADABLE), F.col("fault")).when(verified, _first_fault(rules(F.col("f")))))
+    if lost := [i for i, fault in bad if fault in UNREADABLE]:
+        raise Refused(f"annual reports that can't be read: {lost}")
+    if bad:
+        raise Refused(f"{ANNUAL}: {bad}")
+    rows = where_read(read.drop("fault"), verified)
     f = F.col("f")
     return latest(rows.select("event_id", "occurred_at", f["imoNumber"].alias("imo_number"), f["calendarYear"].cast("int").alias("calendar_year"), f["reportId"].alias("report_id"), to_canonical_json(f["totals"]).alias("totals"), F.try_variant_get(F.try_parse_json(f["totals"]), "$.co2Tonnes", "double").alias("co2_tonnes"), f["attainedCii"].alias("attained_cii"), f["requiredCii"].alias("required_cii"), f["ciiRating"].alias("cii_rating")), "imo_number", "calendar_year")
 
