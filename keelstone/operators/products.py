@@ -200,8 +200,9 @@ CONSIGNMENT = r"\A[A-Za-z0-9][A-Za-z0-9._-]{0,127}\z"
 
 def consignments(events: DataFrame) -> DataFrame:
     """One row for each consignment with exactly one catch: custody, temperatures and their digest, last export, the highest clearance of its events (unlabelled: SECRET). An event of any other family is refused, and so is an empty batch."""
-    kind = F.coalesce(*[F.when(F.col("event_type").startswith(p), F.lit(k)) for k, p in FAMILIES.items()])
+    family = F.coalesce(*[F.when(F.col("event_type").startswith(p), F.lit(k)) for k, p in FAMILIES.items()])
     fields = {"consignmentId": "text!", "speciesCode": "text", "catchWeightKg": "number", "temperatureCelsius": "number", "exportReference": "text"}
+    f, kind = F.col("f"), F.col("kind")
     level = F.when(F.col("record_classification").isNull(), F.lit(3)).otherwise(rank(F.col("record_classification")))
 
     def rules(f: Column) -> dict[str, Column]:
@@ -213,21 +214,27 @@ def consignments(events: DataFrame) -> DataFrame:
             "exportReference": F.coalesce(kind == "export", F.lit(False)) & no(is_canonical_text(f["exportReference"], 256)),
         }
 
-    rows = _read(events, F.lit(True), fields, rules, "consignment events").withColumn("kind", kind)
-    f, kind = F.col("f"), F.col("kind")
+    read = with_domain_fields(events.withColumn("kind", family), fields)
+    fault, name = _first_fault(rules(f)), f["consignmentId"].alias("consignment_id")
+    # faults and catches are counted in one pass; only if any are wrong another names some
+    told = read.groupBy(name).agg(F.count(fault).alias("faults"), F.count_if(kind == "catch").alias("catches"))
+    n, faulty, odd = told.agg(F.count(F.lit(1)), F.sum("faults"), F.count_if(F.col("catches") != 1)).first()
+    if not n:
+        raise Refused("no events to assemble consignments from")
+    if faulty:
+        raise Refused(f"consignment events: {found_faults(read, fault)}")
+    if odd:
+        refuse(told, F.col("catches") != 1, "consignments without exactly one catch", "consignment_id")
     of = lambda k, c: F.when(kind == k, c)
     at = F.struct("occurred_at", "event_id")
     micros = F.pmod(F.unix_micros("occurred_at"), F.lit(1_000_000))  # written only where there are some
     text = F.concat(F.date_format("occurred_at", "yyyy-MM-dd'T'HH:mm:ss"), F.when(micros == 0, F.lit("")).otherwise(F.concat(F.lit("."), F.lpad(micros.cast("string"), 6, "0"))), F.date_format("occurred_at", "xxx"))
     sample = F.struct(F.col("occurred_at"), F.col("event_id"), text.alias("at"), f["temperatureCelsius"].alias("t"))
-    made = rows.groupBy(f["consignmentId"].alias("consignment_id")).agg(
-        F.count_if(kind == "catch").alias("catches"), F.max(of("catch", F.col("event_id"))).alias("catch_event_id"), F.max(of("catch", F.col("occurred_at"))).alias("catch_occurred_at"), F.max(of("catch", f["speciesCode"])).alias("species_code"), F.max(of("catch", f["catchWeightKg"])).alias("catch_weight_kg"),
+    made = read.groupBy(name).agg(
+        F.max(of("catch", F.col("event_id"))).alias("catch_event_id"), F.max(of("catch", F.col("occurred_at"))).alias("catch_occurred_at"), F.max(of("catch", f["speciesCode"])).alias("species_code"), F.max(of("catch", f["catchWeightKg"])).alias("catch_weight_kg"),
         F.array_sort(F.collect_list(of("custody", F.col("event_id")))).alias("custody"), F.array_sort(F.collect_list(of("coldchain", sample))).alias("samples"), F.min(of("coldchain", f["temperatureCelsius"])).alias("min_temperature_celsius"), F.max(of("coldchain", f["temperatureCelsius"])).alias("max_temperature_celsius"),
         F.max_by(f["exportReference"], of("export", at)).alias("export_reference"), F.max(level).alias("level"), F.array_sort(F.collect_list("event_id")).alias("ids"),
     )
-    if not rows.limit(1).count():
-        raise Refused("no events to assemble consignments from")
-    refuse(made, F.col("catches") != 1, "consignments without exactly one catch", "consignment_id")
     return made.select(
         "consignment_id", "catch_event_id", "catch_occurred_at", "species_code", "catch_weight_kg", F.size("custody").cast("long").alias("custody_event_count"), F.to_json("custody").alias("custody_event_ids_json"), F.size("samples").cast("long").alias("coldchain_sample_count"),
         "min_temperature_celsius", "max_temperature_celsius", sample_digest(F.transform("samples", lambda s: F.struct(s["event_id"].alias("event_id"), s["at"].alias("at"), s["t"].alias("t")))).alias("coldchain_digest_sha256"), "export_reference", F.element_at(F.lit(list(CLEARANCES)), F.col("level").cast("int") + 1).alias("record_classification"), F.to_json("ids").alias("source_event_ids_json"),

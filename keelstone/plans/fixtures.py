@@ -239,9 +239,10 @@ FROM orders LEFT JOIN (SELECT l_orderkey, count(*) FILTER (WHERE l_returnflag =
 LEFT JOIN (SELECT l_orderkey, count(*) AS samples, min(l_quantity - 60) AS low, max(l_quantity - 60) AS high, string_agg('{{"event_id":"coldchain.temperature.v1-' || k || '","occurred_at":"' || strftime(l_shipdate, '%Y-%m-%dT%H:%M:%S') || '+00:00","temperature_celsius":' || CAST(CAST(l_quantity - 60 AS BIGINT) AS VARCHAR) || '.0}}', ',' ORDER BY l_shipdate, 'coldchain.temperature.v1-' || k) AS list FROM c GROUP BY ALL) b ON b.l_orderkey = o_orderkey""")
 def consignment_pivot(spark, sf_dir):
     """Consignments of all orders: catch, custody, temperatures with their digest, the last export and the highest clearance."""
-    lines = table(spark, sf_dir, "lineitem").withColumn("k", F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")))
-    w = Window.partitionBy("k").orderBy("l_shipdate", "l_partkey")
-    lines = lines.withColumn("n", F.row_number().over(w)).where("n = 1")
+    # dealt by order, so that a consignment's events are counted and gathered where they are made
+    w = Window.partitionBy("l_orderkey", "l_linenumber").orderBy("l_shipdate", "l_partkey")
+    lines = table(spark, sf_dir, "lineitem").repartition("l_orderkey").withColumn("n", F.row_number().over(w)).where("n = 1")
+    lines = lines.withColumn("k", F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")))
     label = lambda e, x: e.withField("record_classification", x)
     name = F.col("l_orderkey").cast("string").alias("consignmentId")
     catch = event("fisheries.catch.landed.v1", F.col("o_orderkey"), F.col("o_orderdate"), F.col("o_orderkey").cast("string").alias("consignmentId"), F.lit("TUN").alias("speciesCode"), F.col("o_totalprice").alias("catchWeightKg"))

@@ -71,8 +71,9 @@ def faults() -> Column:
     return F.filter(F.array(*[F.when(~ok, F.lit(name)) for name, ok in rules.items()]), lambda x: x.isNotNull())
 
 
-def _member(v: Column, name: str) -> Column:
-    return F.try_variant_get(v, f"$.{name}", "variant")
+def _members(v: Column, *names: str) -> Column:
+    """A struct of the members of these names, each as a variant or null if it isn't there; null if the value isn't an object. A path to a member that isn't there would cost a thrown exception for each row."""
+    return F.try_variant_get(v, "$", f"struct<{', '.join(f'`{n}`: variant' for n in names)}>")
 
 
 def _kind(v: Column) -> Column:
@@ -80,10 +81,6 @@ def _kind(v: Column) -> Column:
     return F.schema_of_variant(v)
 
 
-def _has(name: str):
-    return lambda document: _kind(_member(document, name)).isNotNull()
-
-
 #: How a field of a kind is read, and told from the JSON kind it has and what was read. A null or missing field is null.
 READERS = {
     "text": (lambda v: F.try_variant_get(v, "$", "string"), lambda k, x: (k == "STRING") & (F.trim(x) != "")),
@@ -108,31 +105,33 @@ def with_domain_fields(events: DataFrame, fields: dict[str, str], payload: str =
     Each step is a column of its own that the next ones use more than once, so the optimiser doesn't write it out again. Below a
     filter it would: `found_faults` and `where_read` are for that.
     """
-    v, listed, ext, docs = F.col("__v"), F.col("__listed"), F.col("__ext"), F.col("__docs")
+    v, own, listed, ext, docs = F.col("__v"), F.col("__own"), F.col("__listed"), F.col("__ext"), F.col("__docs")
     x, k, t = (lambda name, kind=kind: F.col(f"`__{kind}_{name}`") for kind in "xkt")
-    ours = lambda e: F.coalesce(F.try_variant_get(e, "$.url", "string").endswith(extension), F.lit(False))
-    document = lambda e: F.try_parse_json(F.when(_kind(_member(e, "valueString")) == "STRING", F.try_variant_get(e, "$.valueString", "string")))
-    is_object = lambda e: F.coalesce(_kind(e).startswith("OBJECT"), F.lit(False))
-    own = lambda name: F.lit(None).cast("variant") if name in CARRIAGE else _member(v, name)
-    last = lambda name: F.try_element_at(F.filter(docs, _has(name)), F.lit(-1))
+    text = lambda x: F.try_variant_get(x, "$", "string")
+    ours = lambda e: F.coalesce(text(e["url"]).endswith(extension), F.lit(False))
+    document = lambda e: _members(F.try_parse_json(F.when(_kind(e["valueString"]) == "STRING", text(e["valueString"]))), *fields)
+    given = lambda name: F.lit(None).cast("variant") if name in CARRIAGE else own[name]
+    having = lambda name: lambda d: d[name].isNotNull()
+    last = lambda name: F.try_element_at(F.filter(docs, having(name)), F.lit(-1))
     present = lambda name: k(name).isNotNull() & (k(name) != "VOID")
-    rows = events.withColumn("__v", F.try_parse_json(payload)).withColumn("__listed", _kind(_member(v, "extension")))
-    rows = rows.withColumn("__ext", F.when(listed != "VOID", F.try_variant_get(v, "$.extension", "array<variant>")))
+    rows = events.withColumn("__v", F.try_parse_json(payload)).withColumn("__own", _members(v, "extension", *[n for n in fields if n not in CARRIAGE])).withColumn("__listed", _kind(own["extension"]))
+    # the extensions, each null if it isn't an object, and the documents of ours likewise
+    rows = rows.withColumn("__ext", F.when(listed != "VOID", F.transform(F.try_variant_get(own["extension"], "$", "array<variant>"), lambda e: _members(e, "url", "valueString"))))
     rows = rows.withColumn("__docs", F.when(ext.isNotNull(), F.transform(F.filter(ext, ours), document)))
-    rows = rows.withColumns({f"__x_{n}": F.when(F.coalesce(F.exists(docs, _has(n)), F.lit(False)), _member(last(n), n)).otherwise(own(n)) for n in fields})
+    rows = rows.withColumns({f"__x_{n}": F.when(F.coalesce(F.exists(docs, having(n)), F.lit(False)), last(n)[n]).otherwise(given(n)) for n in fields})
     rows = rows.withColumns({f"__k_{n}": _kind(x(n)) for n in fields})
     rows = rows.withColumns({f"__t_{n}": F.when(present(n), READERS[kind.removesuffix("!")][0](x(n))) for n, kind in fields.items()})
     opens = F.substring(F.ltrim(F.col(payload), F.lit(" \t\r\n")), 1, 1) == "{"  # what parses and opens so is an object
     faults = [
         F.when(~F.coalesce(v.isNotNull() & opens, F.lit(False)), F.lit("payload")),
-        F.when((listed != "VOID") & (ext.isNull() | ~F.forall(ext, is_object)), F.lit("extension")),
-        F.when(docs.isNotNull() & ~F.forall(docs, is_object), F.lit("domain-payload")),
+        F.when((listed != "VOID") & (ext.isNull() | F.exists(ext, F.isnull)), F.lit("extension")),
+        F.when(docs.isNotNull() & F.exists(docs, F.isnull), F.lit("domain-payload")),
     ]
     for n, kind in fields.items():
         told = F.coalesce(READERS[kind.removesuffix("!")][1](k(n), t(n)), F.lit(False))
         faults.append(F.when(F.when(present(n), ~told).otherwise(F.lit(kind.endswith("!"))), F.lit(n)))
     rows = rows.withColumns({"fault": F.coalesce(*faults), "f": F.struct(*[t(n).alias(n) for n in fields])})
-    return rows.drop("__v", "__listed", "__ext", "__docs", *[f"__{kind}_{n}" for n in fields for kind in "xkt"])
+    return rows.drop("__v", "__own", "__listed", "__ext", "__docs", *[f"__{kind}_{n}" for n in fields for kind in "xkt"])
 
 
 def where_read(rows: DataFrame, condition: Column) -> DataFrame:

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from keelstone.operators import ports, products
+from keelstone.sources.envelopes import with_domain_fields
 
 T = datetime(2026, 3, 1, tzinfo=UTC)
 BLOCK = {"blockId": "b", "projectId": "p", "vintage": "2020", "status": "ACTIVE", "quantityKgCo2e": 1}
@@ -43,3 +44,25 @@ def test_registry_reads_blocks_once(spark, tmp_path):
     assert plan.count("Window [row_number()") == 2  # the latest of projects, and of blocks once for totals and buffers
     row = made.select("buffer_balance_kg_co2e", "vintage_totals_json", F.size(F.from_json("source_event_ids_json", "array<string>"))).first()
     assert row[0] == 1.0 and [x["issued_kg_co2e"] for x in json.loads(row[1])] == [1.0, 1.0] and row[2] == 3
+
+
+def test_consignments_are_read_twice(spark, tmp_path):
+    """Once to count faults and catches, once for the rows."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    events = stored(spark, tmp_path / "e", "fisheries.catch.landed.v1", *[CATCH | {"consignmentId": f"c{n}"} for n in range(30)])
+    assert len(products.consignments(events.mapInArrow(count, events.schema)).collect()) == 30 and seen.value == 60
+
+
+def test_members_are_taken_without_paths(spark, tmp_path):
+    """A path to a member that isn't there throws an exception for each row."""
+    made = with_domain_fields(stored(spark, tmp_path / "e", "k", CATCH), {"consignmentId": "text!", "absent": "number", "when": "instant"})
+    plan = made._jdf.queryExecution().optimizedPlan().toString()
+    assert "try_variant_get" in plan and "$." not in plan
+    row = made.first()
+    assert (row.fault, row.f.consignmentId, row.f.absent, row.f.when) == (None, "c", None, None)
